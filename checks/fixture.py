@@ -23,6 +23,7 @@ from hexrarity.operators.features import complete_scores
 from hexrarity.operators.observations import assign_cells, filter_observations
 from hexrarity.operators.occupancy import species_occupancy
 from hexrarity.operators.scores import score_cells
+from hexrarity.operators.skew import estimated_bytes
 from hexrarity.schemas import SCORE_COLUMNS
 from hexrarity.sources.tables import write_table
 
@@ -57,14 +58,25 @@ SELECT
 FROM b
 """
 
+SPLIT_BYTES = 64 * 1024 * 1024
+
 LATTICE_DEGREES = {3: 8, 4: 4, 5: 2, 6: 1, 7: 0.5}
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """The test files have one row group and would be read by one task; tables too
+    small to occupy every core by their size are dealt out to all cores."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    small = estimated_bytes(table) < cores * SPLIT_BYTES
+    return table.repartition(cores) if small else table
+
+
 def raw_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {
         name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
         for name in ("lineitem", "orders", "part", "supplier")
     }
+    tables["lineitem"] = spread(tables["lineitem"])
     text = reduce(
         lambda sql, name: sql.replace(f"{name} {name[0]} ", f"{{{name}}} {name[0]} "),
         tables, RAW_SQL,
@@ -121,6 +133,10 @@ def stored(
     return spark.read.parquet(_stored[key])
 
 
+def stored_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    return _stored[(spark.sparkContext.applicationId, sf_dir, name)]
+
+
 def observation_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "observations", lambda: observations(spark, sf_dir))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,24 +53,23 @@ def assign_cells(
 def to_long(
     observations: DataFrame,
     resolutions: Sequence[int] = RESOLUTIONS,
-    extra: dict[str, dict[int, Column]] | None = None,
+    extra: Mapping[str, Mapping[int, str]] | None = None,
 ) -> DataFrame:
     """Unpivot the cell columns to rows (``resolution``, ``cell``).
 
-    ``extra`` maps a new column name to its expression per resolution.
+    ``extra`` maps a new column name to its SQL expression per resolution.
     """
     extra = extra or {}
-    entries = F.array(*(
-        F.struct(
-            F.lit(r).alias("resolution"),
-            F.col(cell_column(r)).alias("cell"),
-            *(by_resolution[r].alias(name) for name, by_resolution in extra.items()),
-        )
-        for r in resolutions
-    ))
+
+    def entry(r: int) -> str:
+        fields = [f"{r} AS resolution", f"{cell_column(r)} AS cell"]
+        fields += [f"{by_resolution[r]} AS {name}" for name, by_resolution in extra.items()]
+        return f"struct({', '.join(fields)})"
+
     cells = {cell_column(r) for r in resolutions}
     kept = [c for c in observations.columns if c not in cells]
-    return observations.select(*kept, F.inline(entries))
+    rows = f"inline(array({', '.join(map(entry, resolutions))}))"
+    return observations.select(*kept, F.expr(rows))
 
 
 def observation_stats(observations: DataFrame) -> DataFrame:

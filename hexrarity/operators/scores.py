@@ -43,8 +43,8 @@ def observer_extents(
         .agg(
             F.count("*").alias("observer_rows"),
             *(
-                (F.min(cell_column(r)) != F.max(cell_column(r))).alias(f"multi_{r}")
-                for r in resolutions
+                F.expr(f"min({cell}) != max({cell}) AS multi_{r}")
+                for r, cell in zip(resolutions, map(cell_column, resolutions), strict=True)
             ),
         )
     )
@@ -54,13 +54,10 @@ def valid_observers(
     observations: DataFrame, resolutions: Sequence[int] = RESOLUTIONS
 ) -> DataFrame:
     """(resolution, recordedBy) of the observers seen in two or more cells."""
-    pairs = F.array(*(
-        F.struct(F.lit(r).alias("resolution"), F.col(f"multi_{r}").alias("multi"))
-        for r in resolutions
-    ))
+    pairs = ", ".join(f"struct({r} AS resolution, multi_{r} AS multi)" for r in resolutions)
     return (
         observer_extents(observations, resolutions)
-        .select("recordedBy", F.inline(pairs))
+        .selectExpr("recordedBy", f"inline(array({pairs}))")
         .filter("multi")
         .select("resolution", "recordedBy")
     )
@@ -96,8 +93,8 @@ def scored_observations(
         spread_by=["speciesKey", *(cell_column(r) for r in resolutions)],
         **join_options,
     )
-    counts: dict[int, Column] = {
-        r: F.col(f"multi_{r}") & (F.col(uncertainty) <= edge_m[r]) for r in resolutions
+    counts = {
+        r: f"multi_{r} AND {uncertainty} <= {float(edge_m[r])!r}D" for r in resolutions
     }
     return (
         to_long(joined, resolutions, {"counts": counts})
@@ -212,41 +209,38 @@ def score_cells(
 
     Observer rows and distinct-species rows of a cell meet in one union and one
     aggregate: one shuffle by cell, no join of two per-cell tables.
+
+    Rows without a cell count for an observer's baseline but are not scored. They
+    are removed by an aggregate (``_named``) rather than by the key: a filter on
+    the key would be pushed into two of the three branches that read the counts,
+    which could then no longer share their shuffle.
     """
     scored = scored_observations(observations, resolutions, edge_m, **join_options)
     counts = species_counts(scored)
-    by_observer = residuals(observer_rarity(counts, occupancy, **join_options)).select(
-        *CELL,
-        "n",
-        (F.col("n") * F.ln("n")).alias("n_ln_n"),
-        "residual",
-        F.lit(1).alias("observer"),
-        F.lit(None).cast("long").alias("speciesKey"),
+    by_observer = residuals(observer_rarity(counts, occupancy, **join_options)).selectExpr(
+        *CELL, "n", "n * ln(n) AS n_ln_n", "residual", "1 AS observer",
+        "CAST(NULL AS BIGINT) AS speciesKey",
     )
-    by_species = counts.select(*CELL, "speciesKey").distinct().select(
-        *CELL,
-        F.lit(0).cast("long").alias("n"),
-        F.lit(0.0).alias("n_ln_n"),
-        F.lit(None).cast("double").alias("residual"),
-        F.lit(0).alias("observer"),
-        "speciesKey",
+    by_species = counts.select(*CELL, "speciesKey").distinct().selectExpr(
+        *CELL, "0L AS n", "0D AS n_ln_n", "CAST(NULL AS DOUBLE) AS residual",
+        "0 AS observer", "speciesKey",
     )
     total = F.col("count_observations")
     return (
         by_observer.unionByName(by_species)
-        .filter(F.col("cell").isNotNull())
         .groupBy(*CELL)
         .agg(
+            F.count("cell").alias("_named"),
             F.avg("residual").alias("rarity_zscore"),
             F.count("speciesKey").alias("count_species"),
             F.sum("n").alias("count_observations"),
             F.sum("observer").alias("count_observers"),
             F.sum("n_ln_n").alias("_n_ln_n"),
         )
-        .filter(F.col("rarity_zscore").isNotNull())
+        .filter((F.col("_named") > 0) & F.col("rarity_zscore").isNotNull())
         .withColumn(
             "confidence_scores",
             confidence(effective_observers(total, F.col("_n_ln_n")), total, k_neff, k_obs),
         )
-        .drop("_n_ln_n")
+        .drop("_n_ln_n", "_named")
     )
