@@ -103,9 +103,9 @@ def _rarity(spark, sf):
 def precise_observations(spark, sf):
     scored = scores.scored_observations(fixture.observation_table(spark, sf))
     return scored.groupBy("resolution").agg(
-        F.count("*").alias("n_observations"),
-        F.sum("cell").alias("sum_cell"),
-        F.sum("speciesKey").alias("sum_species"),
+        F.sum("n").alias("n_observations"),
+        F.sum(F.col("cell") * F.col("n")).alias("sum_cell"),
+        F.sum(F.col("speciesKey") * F.col("n")).alias("sum_species"),
     )
 
 

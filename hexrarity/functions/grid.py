@@ -28,6 +28,12 @@ RING_TYPE = T.ArrayType(T.StructType([
 ]), False)
 
 
+def _once(udf):
+    """Keep the optimizer from copying the call into filters on its result, which
+    would run it twice. (The functions are deterministic.)"""
+    return udf.asNondeterministic()
+
+
 def latlng_to_cells(lat: Column, lng: Column, resolutions: Sequence[int]) -> Column:
     """Struct with one cell id (long) per resolution; NULL fields where a
     coordinate is NULL or not finite."""
@@ -45,7 +51,7 @@ def latlng_to_cells(lat: Column, lng: Column, resolutions: Sequence[int]) -> Col
         )
 
     schema = T.StructType([T.StructField(name, T.LongType()) for name in names])
-    return F.arrow_udf(cells, returnType=schema)(lat.cast("double"), lng.cast("double"))
+    return _once(F.arrow_udf(cells, returnType=schema))(lat.cast("double"), lng.cast("double"))
 
 
 def cell_to_boundary(cell: Column) -> Column:
@@ -68,7 +74,7 @@ def cell_to_boundary(cell: Column) -> Column:
             type=pa.list_(pa.field("element", points.type, False)),
         )
 
-    return F.arrow_udf(rings, returnType=RING_TYPE)(cell.cast("long"))
+    return _once(F.arrow_udf(rings, returnType=RING_TYPE))(cell.cast("long"))
 
 
 def cell_hex(cell: Column) -> Column:

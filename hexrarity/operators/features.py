@@ -22,10 +22,14 @@ def complete_scores(scores: DataFrame) -> DataFrame:
 def cell_features(scores: DataFrame) -> DataFrame:
     """Complete scores with ``h3`` (hex id) and ``ring``: the closed boundary,
     continuous across the date line."""
-    return complete_scores(scores).select(
+    drawn = complete_scores(scores).select(
         "*",
         cell_hex(F.col("cell")).alias("h3"),
-        close_ring(unwrap_dateline(cell_to_boundary(F.col("cell")))).alias("ring"),
+        cell_to_boundary(F.col("cell")).alias("ring"),
+    )
+    # a step of its own each: the expressions refer to the ring more than once
+    return drawn.withColumn("ring", unwrap_dateline(F.col("ring"))).withColumn(
+        "ring", close_ring(F.col("ring"))
     )
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from hexrarity.config import EDGE_LENGTH_M, RESOLUTIONS, cell_column
 from hexrarity.operators.observations import to_long
-from hexrarity.operators.skew import join_dimension
+from hexrarity.operators.skew import fits_broadcast, join_dimension
 
 CELL = ["resolution", "cell"]
 CELL_OBSERVER = [*CELL, "recordedBy"]
@@ -67,39 +67,46 @@ def scored_observations(
     observations: DataFrame,
     resolutions: Sequence[int] = RESOLUTIONS,
     edge_m: Mapping[int, float] = EDGE_LENGTH_M,
-    **join_options,
+    limit_bytes: int | None = None,
+    rows_per_salt: int | None = None,
 ) -> DataFrame:
     """Long observations that count for scoring: by an observer valid at that
-    resolution, and located more precisely than the cell's edge length.
+    resolution, and located more precisely than the cell's edge length. Equal rows
+    may come as one row with their number in ``n``.
 
     Validity comes from all observations, precise or not. The coarsest edge is
     applied before the join, so that the scan can skip row groups by it.
     """
     resolutions = tuple(resolutions)
     uncertainty = "coordinateUncertaintyInMeters"
-    extents = observer_extents(observations, resolutions)
-    any_multi = " OR ".join(f"multi_{r}" for r in resolutions)
+    extents = observer_extents(observations, resolutions).filter(
+        " OR ".join(f"multi_{r}" for r in resolutions)
+    )
+    cells = [cell_column(r) for r in resolutions]
     precise = observations.filter(
         (F.col(uncertainty) <= max(edge_m[r] for r in resolutions))
         & F.col("recordedBy").isNotNull()
-    ).select(
-        "recordedBy", "speciesKey", uncertainty, *(cell_column(r) for r in resolutions)
+    ).selectExpr(
+        "recordedBy", "speciesKey", *cells,
+        *(f"{uncertainty} <= {float(edge_m[r])!r}D AS precise_{r}" for r in resolutions),
+        "1L AS n",
     )
+    if not fits_broadcast(extents, limit_bytes):
+        # The join will shuffle. Merge an observer's repeats of a species in a place
+        # first: less to shuffle five-fold later, and no group of copies is left
+        # that a salt could not spread.
+        keys = [c for c in precise.columns if c != "n"]
+        precise = precise.groupBy(*keys).agg(F.count("*").alias("n"))
     joined = join_dimension(
-        precise,
-        extents.filter(any_multi),
-        key="recordedBy",
-        weight="observer_rows",
-        spread_by=["speciesKey", *(cell_column(r) for r in resolutions)],
-        **join_options,
+        precise, extents, key="recordedBy", weight="observer_rows",
+        spread_by=["speciesKey", *cells],
+        limit_bytes=limit_bytes, rows_per_salt=rows_per_salt,
     )
-    counts = {
-        r: f"multi_{r} AND {uncertainty} <= {float(edge_m[r])!r}D" for r in resolutions
-    }
+    counts = {r: f"multi_{r} AND precise_{r}" for r in resolutions}
     return (
         to_long(joined, resolutions, {"counts": counts})
         .filter("counts")
-        .select(*CELL_OBSERVER_SPECIES)
+        .select(*CELL_OBSERVER_SPECIES, "n")
     )
 
 
@@ -110,9 +117,7 @@ def species_counts(scored: DataFrame) -> DataFrame:
     plans below it stay equal after column pruning and share one shuffle.
     """
     return (
-        scored.groupBy(*CELL_OBSERVER_SPECIES)
-        .agg(F.count("*").alias("n"))
-        .filter("n > 0")
+        scored.groupBy(*CELL_OBSERVER_SPECIES).agg(F.sum("n").alias("n")).filter("n > 0")
     )
 
 

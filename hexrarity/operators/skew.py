@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.utils import is_remote
 
 # A dimension is broadcast only if Catalyst's size estimate is below this.
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
@@ -19,6 +20,9 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, limit_bytes: int | None = None) -> bool:
+    """Whether a plan is estimated small. A remote session cannot tell: no."""
+    if is_remote():
+        return False
     limit = BROADCAST_LIMIT_BYTES if limit_bytes is None else limit_bytes
     return estimated_bytes(df) <= limit
 
@@ -39,8 +43,9 @@ def join_dimension(
     key. A small dimension is broadcast. Otherwise each key gets
     ``ceil(weight / rows_per_salt)`` salts: the dimension row is repeated once
     per salt, and the fact rows of that key pick a salt by a hash of
-    ``spread_by``. Only the hot keys (more than one salt) are broadcast to the
-    fact side; every other key has salt 0 on both sides.
+    ``spread_by``, columns that tell the rows of a key apart. Only the hot keys
+    (more than one salt) are broadcast to the fact side; every other key has
+    salt 0 on both sides.
     """
     if fits_broadcast(dimension, limit_bytes):
         return fact.join(F.broadcast(dimension.drop(weight)), key, how)
