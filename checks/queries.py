@@ -91,18 +91,22 @@ def valid_observers(spark, sf):
     return scores.valid_observers(fixture.observation_table(spark, sf))
 
 
+def _scored(spark, sf):
+    return scores.scored_observations(
+        fixture.observation_table(spark, sf), fixture.occupancy_table(spark, sf)
+    )
+
+
 def _counts(spark, sf):
-    scored = scores.scored_observations(fixture.observation_table(spark, sf))
-    return scores.species_counts(scored)
+    return scores.species_counts(_scored(spark, sf))
 
 
 def _rarity(spark, sf):
-    return scores.observer_rarity(_counts(spark, sf), fixture.occupancy_table(spark, sf))
+    return scores.observer_rarity(_counts(spark, sf))
 
 
 def precise_observations(spark, sf):
-    scored = scores.scored_observations(fixture.observation_table(spark, sf))
-    return scored.groupBy("resolution").agg(
+    return _scored(spark, sf).groupBy("resolution").agg(
         F.sum("n").alias("n_observations"),
         F.sum(F.col("cell") * F.col("n")).alias("sum_cell"),
         F.sum(F.col("speciesKey") * F.col("n")).alias("sum_species"),

@@ -3,14 +3,15 @@
 All resolutions are computed in one job: ``resolution`` is a grouping key. The
 flow is
 
-    observations -> (resolution, cell, observer, species) counts
-                 -> (resolution, cell, observer) mean rarity, counts
-                 -> (resolution, cell) residual, counts, effective observers
-
-Each step is an algebraic aggregate of the one before it, so every shuffle is
-preceded by a map-side combine and no key, however hot, brings more than one
-row per map task and group to a reducer. The cell columns may hold any long; the
-grid is not called here.
+    observations            wide, one shuffle by observer (and part of species)
+    -> species per (resolution, cell, observer), in the same stage
+    -> (resolution, cell, observer) mean rarity and counts
+    -> (resolution, cell) residual, counts, effective observers
+
+Observations are shuffled before they are unpivoted, never five-fold. What is
+shuffled afterwards is an aggregate of the step before, combined map-side, so no
+key, however hot, brings more than one row per map task and group to a reducer.
+The cell columns may hold any long; the grid is not called here.
 """
 
 from __future__ import annotations
@@ -65,24 +66,32 @@ def valid_observers(
 
 def scored_observations(
     observations: DataFrame,
+    occupancy: DataFrame,
     resolutions: Sequence[int] = RESOLUTIONS,
     edge_m: Mapping[int, float] = EDGE_LENGTH_M,
     limit_bytes: int | None = None,
     rows_per_salt: int | None = None,
 ) -> DataFrame:
     """Long observations that count for scoring: by an observer valid at that
-    resolution, and located more precisely than the cell's edge length. Equal rows
-    may come as one row with their number in ``n``.
+    resolution, and located more precisely than the cell's edge length. ``rarity``
+    is that of the species, NULL if it has no occupancy. Equal rows may come as
+    one row with their number in ``n``.
 
     Validity comes from all observations, precise or not. The coarsest edge is
-    applied before the join, so that the scan can skip row groups by it.
+    applied before the joins, so that the scan can skip row groups by it.
+
+    All rows of an observer and species end up in one task, which lets
+    ``species_counts`` do without a shuffle. Small tables are partitioned by just
+    that. Otherwise it follows from the join with the observers, whose salt for
+    hot observers is taken from the species (``_salt`` stays in the result).
     """
     resolutions = tuple(resolutions)
+    sizes = {"limit_bytes": limit_bytes, "rows_per_salt": rows_per_salt}
     uncertainty = "coordinateUncertaintyInMeters"
+    cells = [cell_column(r) for r in resolutions]
     extents = observer_extents(observations, resolutions).filter(
         " OR ".join(f"multi_{r}" for r in resolutions)
     )
-    cells = [cell_column(r) for r in resolutions]
     precise = observations.filter(
         (F.col(uncertainty) <= max(edge_m[r] for r in resolutions))
         & F.col("recordedBy").isNotNull()
@@ -91,65 +100,56 @@ def scored_observations(
         *(f"{uncertainty} <= {float(edge_m[r])!r}D AS precise_{r}" for r in resolutions),
         "1L AS n",
     )
-    if not fits_broadcast(extents, limit_bytes):
-        # The join will shuffle. Merge an observer's repeats of a species in a place
-        # first: less to shuffle five-fold later, and no group of copies is left
-        # that a salt could not spread.
+    small = fits_broadcast(extents, limit_bytes)
+    if not small:
+        # Merge an observer's repeats of a species in a place before the shuffles
+        # by a single key: afterwards one observer and species have at most a row
+        # per cell, however many copies there were.
         keys = [c for c in precise.columns if c != "n"]
         precise = precise.groupBy(*keys).agg(F.count("*").alias("n"))
+    rated = join_dimension(
+        precise,
+        occupancy.select("speciesKey", "rarity", "n_observations"),
+        key="speciesKey", weight="n_observations", spread_by=["recordedBy", *cells],
+        how="left", **sizes,
+    )
     joined = join_dimension(
-        precise, extents, key="recordedBy", weight="observer_rows",
-        spread_by=["speciesKey", *cells],
-        limit_bytes=limit_bytes, rows_per_salt=rows_per_salt,
+        rated, extents, key="recordedBy", weight="observer_rows",
+        spread_by=["speciesKey"], keep_salt=True, **sizes,
     )
+    if small:
+        joined = joined.repartition("recordedBy", "speciesKey")
     counts = {r: f"multi_{r} AND precise_{r}" for r in resolutions}
+    salt = [c for c in joined.columns if c == "_salt"]
     return (
         to_long(joined, resolutions, {"counts": counts})
         .filter("counts")
-        .select(*CELL_OBSERVER_SPECIES, "n")
+        .select(*CELL_OBSERVER_SPECIES, *salt, "rarity", "n")
     )
 
 
 def species_counts(scored: DataFrame) -> DataFrame:
-    """Observations per (resolution, cell, observer, species).
-
-    The filter is always true. It makes every consumer need ``n``, so their
-    plans below it stay equal after column pruning and share one shuffle.
-    """
-    return (
-        scored.groupBy(*CELL_OBSERVER_SPECIES).agg(F.sum("n").alias("n")).filter("n > 0")
+    """Observations per (resolution, cell, observer, species), with the rarity."""
+    salt = [c for c in scored.columns if c == "_salt"]
+    return scored.groupBy(*CELL_OBSERVER_SPECIES, *salt).agg(
+        F.sum("n").alias("n"), F.max("rarity").alias("rarity")
     )
 
 
-def observer_rarity(
-    counts: DataFrame, occupancy: DataFrame, **join_options
-) -> DataFrame:
+def observer_rarity(counts: DataFrame) -> DataFrame:
     """Per (resolution, cell, observer): observations and the mean rarity of the
     species found, each species once; NULL if none of them has an occupancy.
 
-    The filter serves the same purpose as in ``species_counts``.
+    The filter is always true. It makes every consumer need ``n``, so their
+    plans below it stay equal after column pruning and share one shuffle.
     """
-    rated = join_dimension(
-        counts,
-        occupancy.select("speciesKey", "rarity", _joined_rows(occupancy)),
-        key="speciesKey",
-        weight="species_rows",
-        spread_by=CELL_OBSERVER,
-        how="left",
-        **join_options,
-    )
     return (
-        rated.groupBy(*CELL_OBSERVER)
+        counts.groupBy(*CELL_OBSERVER)
         .agg(F.sum("n").alias("n"), F.avg("rarity").alias("mean_rarity"))
         .filter("n > 0")
     )
 
 
-def _joined_rows(occupancy: DataFrame) -> Column:
-    # every observation may appear once per resolution
-    return (F.col("n_observations") * len(EDGE_LENGTH_M)).alias("species_rows")
-
-
 def observer_baseline(rarity: DataFrame) -> DataFrame:
     """Unweighted mean over an observer's cells of their mean rarity."""
     return rarity.groupBy("resolution", "recordedBy").agg(
@@ -220,13 +220,18 @@ def score_cells(
     the key would be pushed into two of the three branches that read the counts,
     which could then no longer share their shuffle.
     """
-    scored = scored_observations(observations, resolutions, edge_m, **join_options)
-    counts = species_counts(scored)
-    by_observer = residuals(observer_rarity(counts, occupancy, **join_options)).selectExpr(
+    scored = scored_observations(
+        observations, occupancy, resolutions, edge_m, **join_options
+    )
+    rarity = observer_rarity(species_counts(scored))
+    by_observer = residuals(rarity).selectExpr(
         *CELL, "n", "n * ln(n) AS n_ln_n", "residual", "1 AS observer",
         "CAST(NULL AS BIGINT) AS speciesKey",
     )
-    by_species = counts.select(*CELL, "speciesKey").distinct().selectExpr(
+    # asks for the same columns as the other branch, to share its shuffle
+    by_species = scored.groupBy(*CELL, "speciesKey").agg(
+        F.sum("n").alias("n"), F.max("rarity").alias("rarity")
+    ).filter("n > 0 OR rarity > 0").selectExpr(
         *CELL, "0L AS n", "0D AS n_ln_n", "CAST(NULL AS DOUBLE) AS residual",
         "0 AS observer", "speciesKey",
     )

@@ -36,6 +36,7 @@ def join_dimension(
     how: str = "inner",
     limit_bytes: int | None = None,
     rows_per_salt: int | None = None,
+    keep_salt: bool = False,
 ) -> DataFrame:
     """Join ``fact`` to ``dimension`` (unique on ``key``) without a hot task.
 
@@ -45,7 +46,8 @@ def join_dimension(
     per salt, and the fact rows of that key pick a salt by a hash of
     ``spread_by``, columns that tell the rows of a key apart. Only the hot keys
     (more than one salt) are broadcast to the fact side; every other key has
-    salt 0 on both sides.
+    salt 0 on both sides. With ``keep_salt`` a shuffled join leaves its ``_salt``
+    in the result, so that a grouping by key, salt and more needs no shuffle.
     """
     if fits_broadcast(dimension, limit_bytes):
         return fact.join(F.broadcast(dimension.drop(weight)), key, how)
@@ -68,4 +70,5 @@ def join_dimension(
     salted_dimension = dimension.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), last_salt))
     ).drop(weight)
-    return salted_fact.join(salted_dimension, [key, "_salt"], how).drop("_salt")
+    joined = salted_fact.join(salted_dimension, [key, "_salt"], how)
+    return joined if keep_salt else joined.drop("_salt")

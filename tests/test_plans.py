@@ -48,14 +48,18 @@ def shuffles(text: str) -> list[str]:
 
 def test_small_scores(observations, occupancy):
     text = plan(score_cells(observations, occupancy), run=True)
-    # the shuffle of species counts serves two branches, that of observer means two
-    assert text.count("ReusedExchange") >= 2
+    # the shuffle of observations serves two branches, that of observer means two
+    assert text.count("ReusedExchange") == 2
     scans = re.findall(r"FileScan parquet \[([^\]]*)\]", text)
     assert len(scans) == 3  # validity, precise observations, occupancy
     assert not any("gbifID" in s or "decimalLatitude" in s for s in scans)
     assert "LessThanOrEqual(coordinateUncertaintyInMeters,68979.22179)" in text
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     assert "SortAggregate" not in text and "Python" not in text
+    # observations are shuffled wide: unpivoting comes after, counting needs no shuffle
+    wide = text.index("Exchange hashpartitioning(recordedBy")
+    assert text.index("Generate inline") < wide
+    assert not any("cell#" in k and "speciesKey" in k and "recordedBy" in k for k in shuffles(text))
 
 
 def test_large_scores(spark, observations, occupancy):
@@ -64,6 +68,7 @@ def test_large_scores(spark, observations, occupancy):
     try:
         df = score_cells(observations, occupancy, limit_bytes=0, rows_per_salt=1000)
         text = plan(df)
+        final = plan(df, run=True)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     # observers and species are joined on salted keys; only hot keys are broadcast
@@ -72,8 +77,12 @@ def test_large_scores(spark, observations, occupancy):
     assert sum(k.startswith("speciesKey") and "_salt" in k for k in keys) >= 2
     for line in text.splitlines():
         if "BroadcastHashJoin" in line:
-            assert re.search(r"BroadcastHashJoin \[(recordedBy|speciesKey)", line)
+            assert re.search(r"BroadcastHashJoin \[(recordedBy|speciesKey)#\d+L?\],", line)
     assert "SortAggregate" not in text
+    # species are counted within the partitioning of the join with observers
+    assert not any("cell#" in k and "speciesKey" in k and "recordedBy" in k for k in keys)
+    # both branches read the joined sides from one shuffle each
+    assert final.count("ReusedExchange") >= 3
 
 
 def test_occupancy_hashes_its_bulk(observations):

@@ -210,10 +210,9 @@ def test_ranges(spark):
     rows = random_rows(6)
     occupancy = species_occupancy(table(spark, rows))
     assert all(0 < r["rarity"] <= 1 for r in occupancy.collect())
-    counts = scores.species_counts(
-        scores.scored_observations(table(spark, rows), RESOLUTIONS, EDGE)
-    )
-    rarity = scores.observer_rarity(counts, occupancy)
+    rarity = scores.observer_rarity(scores.species_counts(
+        scores.scored_observations(table(spark, rows), occupancy, RESOLUTIONS, EDGE)
+    ))
     for row in scores.cell_diversity(rarity).collect():
         assert 1 <= row["neff_observers"] <= row["count_observers"] + 1e-9
     total = scores.residuals(rarity).groupBy("resolution", "recordedBy").agg(
