@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,23 +53,24 @@ def assign_cells(
 def to_long(
     observations: DataFrame,
     resolutions: Sequence[int] = RESOLUTIONS,
-    extra: Mapping[str, Mapping[int, str]] | None = None,
+    wanted: str | None = None,
 ) -> DataFrame:
     """Unpivot the cell columns to rows (``resolution``, ``cell``).
 
-    ``extra`` maps a new column name to its SQL expression per resolution.
+    ``wanted`` names an integer column whose bit r says whether the row counts at
+    resolution r; it is consumed. Only the resolution numbers are exploded and the
+    cell is picked afterwards, which builds no row objects.
     """
-    extra = extra or {}
-
-    def entry(r: int) -> str:
-        fields = [f"{r} AS resolution", f"{cell_column(r)} AS cell"]
-        fields += [f"{by_resolution[r]} AS {name}" for name, by_resolution in extra.items()]
-        return f"struct({', '.join(fields)})"
-
     cells = {cell_column(r) for r in resolutions}
-    kept = [c for c in observations.columns if c not in cells]
-    rows = f"inline(array({', '.join(map(entry, resolutions))}))"
-    return observations.select(*kept, F.expr(rows))
+    kept = [c for c in observations.columns if c not in cells and c != wanted]
+    numbers = ", ".join(map(str, resolutions))
+    long = observations.select("*", F.expr(f"explode(array({numbers})) AS resolution"))
+    if wanted is not None:
+        long = long.filter(f"({wanted} & shiftleft(1, resolution)) != 0")
+    arms = " ".join(f"WHEN {r} THEN {cell_column(r)}" for r in resolutions)
+    return long.selectExpr(
+        *(f"`{c}`" for c in kept), "resolution", f"CASE resolution {arms} END AS cell"
+    )
 
 
 def observation_stats(observations: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 All resolutions are computed in one job: ``resolution`` is a grouping key. The
 flow is
 
-    observations            wide, one shuffle by observer (and part of species)
+    observations            wide, one shuffle by observer
     -> species per (resolution, cell, observer), in the same stage
     -> (resolution, cell, observer) mean rarity and counts
     -> (resolution, cell) residual, counts, effective observers
@@ -30,23 +30,30 @@ CELL_OBSERVER = [*CELL, "recordedBy"]
 CELL_OBSERVER_SPECIES = [*CELL_OBSERVER, "speciesKey"]
 
 
+def _bits(conditions: Mapping[int, str]) -> str:
+    """SQL for an integer whose bit r is set where the condition of r is true."""
+    return " | ".join(
+        f"CASE WHEN {condition} THEN {1 << r} ELSE 0 END" for r, condition in conditions.items()
+    )
+
+
 def observer_extents(
     observations: DataFrame, resolutions: Sequence[int] = RESOLUTIONS
 ) -> DataFrame:
-    """One row per observer: observations, and per resolution whether their
-    records fall in at least two cells (``multi_{r}``).
+    """One row per observer: ``observer_rows``, and ``multi``, whose bit r says
+    that their records fall in at least two cells of resolution r.
 
     Wide on purpose: the observations are aggregated without being unpivoted.
     """
+    conditions = {
+        r: f"min({cell_column(r)}) != max({cell_column(r)})" for r in resolutions
+    }
     return (
         observations.filter(F.col("recordedBy").isNotNull())
         .groupBy("recordedBy")
         .agg(
             F.count("*").alias("observer_rows"),
-            *(
-                F.expr(f"min({cell}) != max({cell}) AS multi_{r}")
-                for r, cell in zip(resolutions, map(cell_column, resolutions), strict=True)
-            ),
+            F.expr(f"{_bits(conditions)} AS multi"),
         )
     )
 
@@ -55,11 +62,11 @@ def valid_observers(
     observations: DataFrame, resolutions: Sequence[int] = RESOLUTIONS
 ) -> DataFrame:
     """(resolution, recordedBy) of the observers seen in two or more cells."""
-    pairs = ", ".join(f"struct({r} AS resolution, multi_{r} AS multi)" for r in resolutions)
+    numbers = ", ".join(map(str, resolutions))
     return (
         observer_extents(observations, resolutions)
-        .selectExpr("recordedBy", f"inline(array({pairs}))")
-        .filter("multi")
+        .selectExpr("recordedBy", "multi", f"explode(array({numbers})) AS resolution")
+        .filter("(multi & shiftleft(1, resolution)) != 0")
         .select("resolution", "recordedBy")
     )
 
@@ -80,31 +87,27 @@ def scored_observations(
     Validity comes from all observations, precise or not. The coarsest edge is
     applied before the joins, so that the scan can skip row groups by it.
 
-    All rows of an observer and species end up in one task, which lets
-    ``species_counts`` do without a shuffle. Small tables are partitioned by just
-    that. Otherwise it follows from the join with the observers, whose salt for
-    hot observers is taken from the species (``_salt`` stays in the result).
+    The result is partitioned by observer and ``_salt``, which is taken from the
+    species and differs only for hot observers. All rows of an observer and
+    species are in one task, so ``species_counts`` needs no shuffle, and observer
+    means are combined almost fully before theirs.
     """
     resolutions = tuple(resolutions)
     sizes = {"limit_bytes": limit_bytes, "rows_per_salt": rows_per_salt}
     uncertainty = "coordinateUncertaintyInMeters"
     cells = [cell_column(r) for r in resolutions]
-    extents = observer_extents(observations, resolutions).filter(
-        " OR ".join(f"multi_{r}" for r in resolutions)
-    )
+    extents = observer_extents(observations, resolutions).filter("multi != 0")
+    conditions = {r: f"{uncertainty} <= {float(edge_m[r])!r}D" for r in resolutions}
     precise = observations.filter(
         (F.col(uncertainty) <= max(edge_m[r] for r in resolutions))
         & F.col("recordedBy").isNotNull()
     ).selectExpr(
-        "recordedBy", "speciesKey", *cells,
-        *(f"{uncertainty} <= {float(edge_m[r])!r}D AS precise_{r}" for r in resolutions),
-        "1L AS n",
+        "recordedBy", "speciesKey", *cells, f"{_bits(conditions)} AS precise", "1L AS n"
     )
-    small = fits_broadcast(extents, limit_bytes)
-    if not small:
+    if not fits_broadcast(extents, limit_bytes):
         # Merge an observer's repeats of a species in a place before the shuffles
-        # by a single key: afterwards one observer and species have at most a row
-        # per cell, however many copies there were.
+        # by a single key: afterwards one observer and species have at most a few
+        # rows per cell, however many copies there were.
         keys = [c for c in precise.columns if c != "n"]
         precise = precise.groupBy(*keys).agg(F.count("*").alias("n"))
     rated = join_dimension(
@@ -115,23 +118,15 @@ def scored_observations(
     )
     joined = join_dimension(
         rated, extents, key="recordedBy", weight="observer_rows",
-        spread_by=["speciesKey"], keep_salt=True, **sizes,
-    )
-    if small:
-        joined = joined.repartition("recordedBy", "speciesKey")
-    counts = {r: f"multi_{r} AND precise_{r}" for r in resolutions}
-    salt = [c for c in joined.columns if c == "_salt"]
-    return (
-        to_long(joined, resolutions, {"counts": counts})
-        .filter("counts")
-        .select(*CELL_OBSERVER_SPECIES, *salt, "rarity", "n")
+        spread_by=["speciesKey"], partition=True, **sizes,
     )
+    counted = joined.withColumn("wanted", F.expr("multi & precise")).drop("multi", "precise")
+    return to_long(counted, resolutions, "wanted")
 
 
 def species_counts(scored: DataFrame) -> DataFrame:
     """Observations per (resolution, cell, observer, species), with the rarity."""
-    salt = [c for c in scored.columns if c == "_salt"]
-    return scored.groupBy(*CELL_OBSERVER_SPECIES, *salt).agg(
+    return scored.groupBy(*CELL_OBSERVER_SPECIES, "_salt").agg(
         F.sum("n").alias("n"), F.max("rarity").alias("rarity")
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import is_remote
 
@@ -12,6 +12,8 @@ BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 # rows. At most total_rows / ROWS_PER_SALT keys can be hot, which bounds the
 # broadcast list of hot keys (10^12 rows -> 10^5 keys).
 ROWS_PER_SALT = 10_000_000
+# Salts of keys that are known to the fact rows anyway cost nothing.
+ROWS_PER_SALT_SMALL = 100_000
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -36,7 +38,7 @@ def join_dimension(
     how: str = "inner",
     limit_bytes: int | None = None,
     rows_per_salt: int | None = None,
-    keep_salt: bool = False,
+    partition: bool = False,
 ) -> DataFrame:
     """Join ``fact`` to ``dimension`` (unique on ``key``) without a hot task.
 
@@ -46,29 +48,39 @@ def join_dimension(
     per salt, and the fact rows of that key pick a salt by a hash of
     ``spread_by``, columns that tell the rows of a key apart. Only the hot keys
     (more than one salt) are broadcast to the fact side; every other key has
-    salt 0 on both sides. With ``keep_salt`` a shuffled join leaves its ``_salt``
-    in the result, so that a grouping by key, salt and more needs no shuffle.
+    salt 0 on both sides.
+
+    With ``partition`` the result is partitioned by the key and its ``_salt``,
+    which stays in it: a grouping by key, salt and more then needs no shuffle.
     """
     if fits_broadcast(dimension, limit_bytes):
-        return fact.join(F.broadcast(dimension.drop(weight)), key, how)
+        if not partition:
+            return fact.join(F.broadcast(dimension.drop(weight)), key, how)
+        salts = _salts(weight, rows_per_salt or ROWS_PER_SALT_SMALL)
+        joined = fact.join(F.broadcast(dimension), key, how)
+        joined = joined.withColumn("_salt", _pick(spread_by, salts)).drop(weight)
+        return joined.repartition(key, "_salt")
 
-    per_salt = ROWS_PER_SALT if rows_per_salt is None else rows_per_salt
-    salts = F.ceil(F.col(weight) / F.lit(per_salt)).cast("int")
-    hot = dimension.filter(F.col(weight) > per_salt).select(key, salts.alias("_salts"))
+    salts = _salts(weight, rows_per_salt or ROWS_PER_SALT)
+    hot = dimension.select(key, salts.alias("_salts")).filter("_salts > 1")
     salted_fact = (
         fact.join(F.broadcast(hot), key, "left")
-        .withColumn(
-            "_salt",
-            F.coalesce(
-                F.pmod(F.xxhash64(*spread_by), F.col("_salts").cast("long")).cast("int"),
-                F.lit(0),
-            ),
-        )
+        .withColumn("_salt", _pick(spread_by, F.coalesce("_salts", F.lit(1))))
         .drop("_salts")
     )
-    last_salt = F.greatest(salts, F.lit(1)) - 1
     salted_dimension = dimension.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), last_salt))
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
     ).drop(weight)
     joined = salted_fact.join(salted_dimension, [key, "_salt"], how)
-    return joined if keep_salt else joined.drop("_salt")
+    return joined if partition else joined.drop("_salt")
+
+
+def _salts(weight: str, rows_per_salt: int) -> Column:
+    """Number of salts of a key, at least one."""
+    return F.expr(f"greatest(CAST(ceil({weight} / {rows_per_salt}) AS INT), 1)")
+
+
+def _pick(spread_by: list[str], salts: Column) -> Column:
+    return F.when(
+        salts > 1, F.pmod(F.xxhash64(*spread_by), salts.cast("long")).cast("int")
+    ).otherwise(0)
