@@ -40,7 +40,7 @@ def run(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def timed(action, repeats: int = 3) -> float:
+def timed(action, repeats: int = 5) -> float:
     """Best of a few runs; the first also warms the JVM up."""
     best = float("inf")
     for _ in range(repeats):

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexrarity.config import DEFAULT_LAYER, RESOLUTIONS, ZOOM_RANGES
-from hexrarity.functions.geometry import ring_bbox
 from hexrarity.schemas import SCORE_COLUMNS
 
 EXTENT = 4096  # tile units per side
@@ -58,43 +57,48 @@ def zoom_to_resolution(zoom: Column, plan: ZoomPlan = ZoomPlan()) -> Column:
     return column
 
 
-def _mercator_x(lng: Column, z: Column) -> Column:
-    return (lng + 180.0) / 360.0 * F.pow(F.lit(2.0), z)
-
+def to_world(ring: Column) -> Column:
+    """Ring in map units: 0 to 1 eastwards and southwards, whatever the zoom.
+    Unwrapped longitudes may leave that range."""
+    def project(p: Column) -> Column:
+        lat = F.least(F.greatest(p["lat"], F.lit(-MAX_LATITUDE)), F.lit(MAX_LATITUDE))
+        sine = F.sin(F.radians(lat))
+        return F.struct(
+            ((p["lng"] + 180.0) / 360.0).alias("x"),
+            (0.5 - F.ln((1 + sine) / (1 - sine)) / (4 * F.pi())).alias("y"),
+        )
 
-def _mercator_y(lat: Column, z: Column) -> Column:
-    clamped = F.least(F.greatest(lat, F.lit(-MAX_LATITUDE)), F.lit(MAX_LATITUDE))
-    sine = F.sin(F.radians(clamped))
-    share = 0.5 - F.ln((1 + sine) / (1 - sine)) / (4 * F.pi())
-    return share * F.pow(F.lit(2.0), z)
+    return F.transform(ring, project)
 
 
 def tile_index(features: DataFrame, plan: ZoomPlan = ZoomPlan()) -> DataFrame:
-    """One row per feature and tile: adds ``z, x, y`` and ``wrap``, the unwrapped
-    tile column (a ring may reach beyond +-180; ``x`` is taken around the globe).
+    """One row per feature and tile: adds ``z, x, y``, ``world`` (the ring in map
+    units, projected once per feature) and ``wrap``, the unwrapped tile column (a
+    ring may reach beyond +-180; ``x`` is taken around the globe).
     """
-    box = ring_bbox(F.col("ring"))
-    resolution = F.col("resolution")
-    zoomed = features.select(
-        "*",
-        *(value.alias(f"_{name}") for name, value in box.items()),
-        F.explode(F.sequence(plan.min_zoom(resolution), plan.max_zoom(resolution))).alias("z"),
-    )
-    z = F.col("z")
+    resolution, z = F.col("resolution"), F.col("z")
     side = F.pow(F.lit(2.0), z).cast("int")
 
-    def row(lat: Column) -> Column:
-        y = F.floor(_mercator_y(lat, z)).cast("int")
-        return F.least(F.greatest(y, F.lit(0)), side - 1)
+    def tile(name: str) -> Column:
+        return F.floor(F.col(name) * F.pow(F.lit(2.0), z)).cast("int")
 
-    west = F.floor(_mercator_x(F.col("_swlng"), z)).cast("int")
-    east = F.floor(_mercator_x(F.col("_nelng"), z)).cast("int")
-    once_round = F.least(east, west + side - 1)
+    def row(name: str) -> Column:
+        return F.least(F.greatest(tile(name), F.lit(0)), side - 1)
+
+    boxed = features.withColumn("world", to_world(F.col("ring"))).select(
+        "*",
+        F.array_min(F.col("world.x")).alias("_west"),
+        F.array_max(F.col("world.x")).alias("_east"),
+        F.array_min(F.col("world.y")).alias("_top"),
+        F.array_max(F.col("world.y")).alias("_bottom"),
+        F.explode(F.sequence(plan.min_zoom(resolution), plan.max_zoom(resolution))).alias("z"),
+    )
+    once_round = F.least(tile("_east"), tile("_west") + side - 1)
     return (
-        zoomed.withColumn("wrap", F.explode(F.sequence(west, once_round)))
-        .withColumn("y", F.explode(F.sequence(row(F.col("_nelat")), row(F.col("_swlat")))))
+        boxed.withColumn("wrap", F.explode(F.sequence(tile("_west"), once_round)))
+        .withColumn("y", F.explode(F.sequence(row("_top"), row("_bottom"))))
         .withColumn("x", F.pmod(F.col("wrap"), side))
-        .drop(*(f"_{name}" for name in box))
+        .drop("_west", "_east", "_top", "_bottom")
     )
 
 
@@ -122,12 +126,11 @@ def thin_tiles(
 def snap_tiles(indexed: DataFrame) -> DataFrame:
     """Replace lng/lat rings by rings in whole tile units (0..4096 inside the
     tile), without repeats of the previous vertex."""
-    z, wrap, y = F.col("z"), F.col("wrap"), F.col("y")
-    snapped = F.transform("ring", lambda p: F.struct(
-        F.round((_mercator_x(p["lng"], z) - wrap) * EXTENT).cast("int").alias("x"),
-        F.round((_mercator_y(p["lat"], z) - y) * EXTENT).cast("int").alias("y"),
+    side, ring = F.pow(F.lit(2.0), F.col("z")), F.col("ring")
+    snapped = F.transform("world", lambda p: F.struct(
+        F.round((p["x"] * side - F.col("wrap")) * EXTENT).cast("int").alias("x"),
+        F.round((p["y"] * side - F.col("y")) * EXTENT).cast("int").alias("y"),
     ))
-    ring = F.col("ring")
     return indexed.withColumn("ring", snapped).withColumn(
         "ring", F.filter(ring, lambda p, i: ~p.eqNullSafe(F.get(ring, i - 1)))
     )
