@@ -108,7 +108,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach, as named by ``spark.checkpoint.dir``. Only a
     local session without that setting gets a temporary one."""
     context = spark.sparkContext
-    folder = context.getCheckpointDir()
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")

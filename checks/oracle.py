@@ -43,7 +43,7 @@ LONG = "\n UNION ALL ".join(
     for r in RESOLUTIONS
 )
 
-EDGES = ", ".join(f"({r}, CAST({m} AS DOUBLE))" for r, m in EDGE_LENGTH_M.items())
+EDGES = ", ".join(f"({r}, CAST({EDGE_LENGTH_M[r]} AS DOUBLE))" for r in RESOLUTIONS)
 
 
 def _observations(country: str | None = None) -> str:
@@ -313,6 +313,96 @@ obs AS (
  JOIN wide w ON f.decimalLatitude = w.lat AND f.decimalLongitude = w.lng)"""
 
 
+NEXT_ROWS = _values(
+    (
+        f, side, hexgrid.NEXT_FACE[f, side],
+        *(f"CAST({float(x)!r} AS DOUBLE)" for z in (
+            hexgrid.NEXT_TURN[f, side], hexgrid.NEXT_SHIFT[f, side]
+        ) for x in (z.real, z.imag)),
+    )
+    for f in range(20) for side in range(3)
+)
+
+
+def _pentagon_rows():
+    """(face, pentagon base cell, corner) of the five faces around each pentagon."""
+    for f, a, b in zip(*(hexgrid.BASE >= 0).nonzero(), strict=True):
+        corners = {(2, 0): 0, (0, 2): 1, (-2, -2): 2}
+        if hexgrid.PENTAGON[hexgrid.BASE[f, a, b]] and (a - 2, b - 2) in corners:
+            yield f, hexgrid.BASE[f, a, b], corners[a - 2, b - 2]
+
+
+def _beyond(source: str) -> str:
+    """Adds how far (px, py) lies beyond a side of its face, and which side."""
+    return f"""SELECT *, u + v - 3 * least(u, v, 0) - 2 AS over,
+  CASE WHEN u <= v AND u <= 0 THEN 0 WHEN v <= 0 THEN 1 ELSE 2 END AS side
+ FROM (SELECT *, px + py / sqrt(3.0) AS u, py / (sqrt(3.0) / 2) AS v FROM {source})"""
+
+
+def _folded(source: str) -> str:
+    return f"""SELECT t.cell, t.r, t.k, coalesce(n.g, t.f) AS f,
+  CASE WHEN n.g IS NULL THEN px ELSE px * tr - py * ti + sr END AS px,
+  CASE WHEN n.g IS NULL THEN py ELSE px * ti + py * tr + si END AS py
+ FROM ({_beyond(source)}) t LEFT JOIN next_face n
+  ON t.over > 1e-9 AND n.f = t.f AND n.side = t.side"""
+
+
+# Distance beyond the side opposite corner m of a face.
+OUTSIDE = """-({x} * cos(2 * pi() * m / 3) + {y} * sin(2 * pi() * m / 3)) - 1"""
+
+BOUNDARIES = f"""
+next_face(f, side, g, tr, ti, sr, si) AS (VALUES {NEXT_ROWS}),
+seen AS (
+ SELECT h.cell, h.r, min(l.f) AS f, arg_min(l.a, l.f) AS a, arg_min(l.b, l.f) AS b
+ FROM hexagon h JOIN leaf l ON h.lat = l.lat AND h.lng = l.lng AND h.r = l.r
+ JOIN scores s ON s.cell = h.cell GROUP BY h.cell, h.r),
+pentagon(f, base, m) AS (VALUES {_values(_pentagon_rows())}),
+-- a pentagon is drawn on its five faces, from the corner of each
+middles AS (
+ SELECT s.cell, s.r, coalesce(p.f, s.f) AS f, p.f IS NOT NULL AS five,
+  coalesce(2 * cos(2 * pi() * m / 3), 0.0) AS mx, coalesce(2 * sin(2 * pi() * m / 3), 0.0) AS my,
+  CASE WHEN p.f IS NULL THEN a - b / 2.0 ELSE 0 END AS x,
+  CASE WHEN p.f IS NULL THEN b * sqrt(3.0) / 2 ELSE 0 END AS y
+ FROM seen s LEFT JOIN pentagon p ON p.base = ((s.cell >> 45) & 127)
+  AND ((s.cell & ((CAST(1 AS BIGINT) << 45) - 1)) >> (3 * (15 - s.r))) = 0),
+spokes AS (
+ SELECT cell, r, f, five, mx, my, k, x + cos(pi() * (1 + 2 * k) / 6) / sqrt(3.0) AS x,
+  y + sin(pi() * (1 + 2 * k) / 6) / sqrt(3.0) AS y,
+  CASE WHEN r % 2 = 1 THEN {ANGLE} ELSE CAST(0 AS DOUBLE) END AS turn
+ FROM middles, (VALUES (0), (1), (2), (3), (4), (5)) AS w(k)),
+flat AS (
+ SELECT cell, r, f, five, k, mx + (x * cos(turn) - y * sin(turn)) / pow(7.0, r / 2.0) AS px,
+  my + (x * sin(turn) + y * cos(turn)) / pow(7.0, r / 2.0) AS py FROM spokes),
+hexes AS (SELECT * FROM flat WHERE NOT five),
+fold1 AS ({_folded('hexes')}),
+fold2 AS ({_folded('fold1')}),
+sides AS (
+ SELECT p.cell, p.r, p.f, p.px, p.py, q.px AS qx, q.py AS qy,
+  CASE WHEN p.over > 1e-9 THEN p.side ELSE q.side END AS m
+ FROM ({_beyond('flat')}) p JOIN ({_beyond('flat')}) q
+  ON p.cell = q.cell AND p.f = q.f AND q.k = (p.k + 1) % 6
+ WHERE p.r % 2 = 1 AND (p.over > 1e-9) <> (q.over > 1e-9)),
+crossed AS (
+ SELECT *, d0 / (d0 - d1) AS t FROM (
+  SELECT *, {OUTSIDE.format(x='px', y='py')} AS d0, {OUTSIDE.format(x='qx', y='qy')} AS d1
+  FROM sides)),
+vertices AS (
+ SELECT cell, r, f, px, py FROM fold2
+ UNION ALL
+ SELECT cell, r, f, px, py FROM ({_beyond('flat')}) WHERE five AND over < 1e-9
+ UNION ALL
+ SELECT cell, r, f, px + t * (qx - px), py + t * (qy - py) FROM crossed
+ WHERE t > 1e-6 AND t < 1 - 1e-6),
+globe AS (
+ SELECT cell, r, cx + w * (px * ax + py * vx) AS x, cy + w * (px * ay + py * vy) AS y,
+  cz + w * (px * az + py * vz) AS z
+ FROM (SELECT *, CAST(0.381966011250105 AS DOUBLE) AS w FROM vertices) JOIN face USING (f)),
+marks AS (
+ SELECT DISTINCT cell, r, CAST(CAST(round(degrees(atan2(y, x)) * 100000) AS BIGINT) AS VARCHAR) || ' ' ||
+  CAST(CAST(round(degrees(atan2(z, sqrt(x * x + y * y))) * 100000) AS BIGINT) AS VARCHAR) AS mark
+ FROM globe)"""
+
+
 ORACLE: dict[str, str] = {
     "filter_observations": f"""WITH {_filtered()}
 SELECT gbifID, speciesKey, species, {_r('decimalLatitude')}, {_r('decimalLongitude')},
@@ -398,6 +488,22 @@ SELECT gbifID, resolution, cell FROM long""",
     "hexagon_cell_scores": (
         f"WITH RECURSIVE {_filtered()},{HEXAGONS},{SCORING}\nSELECT * FROM scores"
     ),
+    "hexagon_boundaries": (
+        f"WITH RECURSIVE {_filtered()},{HEXAGONS},{SCORING},{BOUNDARIES}\n"
+        "SELECT r AS resolution, cell, count(*) AS n_vertices,"
+        " string_agg(mark, ',' ORDER BY mark) AS vertices FROM marks GROUP BY r, cell"
+    ),
+    "hexagon_features": (
+        f"WITH RECURSIVE {_filtered()},{HEXAGONS},{SCORING},{BOUNDARIES},\n"
+        "positions AS (SELECT cell, x, y, z, row_number() OVER (PARTITION BY cell,"
+        " round(x, 9), round(y, 9), round(z, 9)) AS copy FROM globe)\n"
+        f"SELECT s.resolution, lower(hex(s.cell)) AS h3, {SCORE_LIST}, n_positions, TRUE AS closed,"
+        f" {_r('swlat', places=5)}, {_r('nelat', places=5)}\n"
+        "FROM scores s JOIN (SELECT cell, count(*) + 1 AS n_positions,"
+        " min(degrees(atan2(z, sqrt(x * x + y * y)))) AS swlat,"
+        " max(degrees(atan2(z, sqrt(x * x + y * y)))) AS nelat"
+        " FROM positions WHERE copy = 1 GROUP BY cell) p ON p.cell = s.cell"
+    ),
     "zoom_to_resolution": """SELECT zoom, CASE WHEN zoom >= 8 THEN 7 WHEN zoom >= 7 THEN 6
  WHEN zoom >= 5 THEN 5 WHEN zoom >= 4 THEN 4 ELSE 3 END AS resolution, count(*) AS n
  FROM (SELECT CAST(l_quantity AS INTEGER) % 14 AS zoom FROM lineitem) GROUP BY zoom""",
@@ -419,7 +525,7 @@ snapped AS (
   CAST(round(((c.lng + 180) / 360 * pow(2.0, z) - wrap) * 4096) AS INTEGER) AS px,
   CAST(round(({_mercator('c.lat')} - y) * 4096) AS INTEGER) AS py
  FROM tiled t JOIN closed c ON c.resolution = t.resolution AND c.cell = t.cell)"""),
-    "tile_layer": _features("""SELECT 'rare_species_cells' AS layer, resolution, z,
+    "tile_layer": _features("""SELECT 'rarity_cells' AS layer, resolution, z,
  count(*) AS n_features FROM tiled GROUP BY resolution, z""", TILES),
     "feature_counts": _scoring(
         "SELECT resolution, count(*) AS n_features FROM scores GROUP BY resolution"

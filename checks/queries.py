@@ -263,15 +263,36 @@ def feature_json(spark, sf):
 
 
 def hexagon_boundaries(spark, sf):
-    table = fixture.hexagon_score_table(spark, sf)
+    # corners and edge crossings as a sorted list: SQL may start a ring elsewhere
+    table = fixture.hexagon_score_table(spark, sf).select(
+        "resolution", "cell", cell_to_boundary(F.col("cell")).alias("ring")
+    )
     return table.select(
-        "resolution", "cell", ring_text(cell_to_boundary(F.col("cell"))).alias("ring")
+        "resolution", "cell", F.size("ring").cast("long").alias("n_vertices"),
+        F.array_join(F.array_sort(F.split(ring_text(F.col("ring"), 5), ",")), ",").alias("vertices"),
     )
 
 
 def hexagon_features(spark, sf):
+    # read back from the GeoJSON text: what does not depend on where a ring starts
     table = features.cell_features(rounded(fixture.hexagon_score_table(spark, sf)))
-    return table.select("resolution", "h3", features.feature_json().alias("feature"))
+    feature = F.from_json(
+        features.feature_json(),
+        "type string, geometry struct<type: string, coordinates: array<array<array<double>>>>, "
+        "properties struct<h3: string, rarity_zscore: double, count_species: long, "
+        "count_observations: long, count_observers: long, confidence_scores: double>",
+    )
+    ring, lats = F.col("f.geometry.coordinates")[0], F.col("lats")
+    return (
+        table.select("resolution", feature.alias("f"))
+        .select("*", F.transform(ring, lambda p: p[1]).alias("lats"))
+        .select(
+            "resolution", "f.properties.*", F.size(lats).cast("long").alias("n_positions"),
+            (ring[0] == F.element_at(ring, -1)).alias("closed"),
+            (F.round(F.array_min(lats), 5) + 0.0).alias("swlat"),
+            (F.round(F.array_max(lats), 5) + 0.0).alias("nelat"),
+        )
+    )
 
 
 def hexagon_tiles(spark, sf):

@@ -29,7 +29,7 @@ class ZoomPlan:
 
     def __post_init__(self) -> None:
         if len(self.resolutions) != len(self.zoom_ranges):
-            raise ValueError("resolutions and zoom_ranges must have the same length")
+            raise ValueError("each resolution needs one zoom range")
         for low, high in self.zoom_ranges:
             if low < 0 or high < low:
                 raise ValueError("a zoom range must satisfy 0 <= first <= last")
@@ -114,11 +114,15 @@ def thinning_keeps(
     return ((cell % 1000003) * 7919 % 1000003) / F.lit(1000003.0) < share
 
 
+def check_drop_rate(drop_rate: float | None) -> None:
+    if drop_rate is not None and not drop_rate > 0:
+        raise ValueError(f"drop_rate is a positive number or None, not {drop_rate}")
+
+
 def thin_tiles(
     indexed: DataFrame, drop_rate: float | None, plan: ZoomPlan = ZoomPlan()
 ) -> DataFrame:
-    if drop_rate is not None and drop_rate <= 0:
-        raise ValueError("drop_rate must be greater than 0")
+    check_drop_rate(drop_rate)
     last = plan.max_zoom(F.col("resolution"))
     return indexed.filter(thinning_keeps(F.col("cell"), F.col("z"), last, drop_rate))
 
@@ -138,7 +142,7 @@ def snap_tiles(indexed: DataFrame) -> DataFrame:
 
 def coalesce_tiles(indexed: DataFrame, attributes: Sequence[str] = SCORE_COLUMNS) -> DataFrame:
     """Merge features of a tile whose attributes are all equal: ``rings`` holds
-    their polygons, in a fixed order. A tile of the coarsest zoom holds at most
+    their polygons, in a fixed order, and cell ids are not kept. A tile of the coarsest zoom holds at most
     all cells of the coarsest resolution, so the lists stay small."""
     return indexed.groupBy(*TILE, *attributes).agg(
         F.array_sort(F.collect_list("ring")).alias("rings"),

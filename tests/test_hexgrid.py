@@ -102,14 +102,14 @@ def test_every_cell_of_the_world(resolution):
     assert (back == ids).all()
 
 
-@pytest.mark.parametrize("resolution", range(3, 8))
+@pytest.mark.parametrize("resolution", [3, 4, 5, 6, 7, 8, 11, 15])
 def test_points_lie_in_their_cell(resolution):
     lat, lng = sphere_points(5_000, seed=resolution)
     ids = hexgrid.encode(lat, lng, [resolution])[0]
     ring_lat, ring_lng, keep = hexgrid.boundary(ids)
     ring, point = unit(ring_lat, ring_lng), unit(lat, lng)
     for row in range(len(ids)):
-        assert winding(ring[row][keep[row]], point[row]) == pytest.approx(1, abs=1e-6)
+        assert winding(ring[row][keep[row]], point[row]) == pytest.approx(1, abs=1e-3)
     middle = centres(ids)
     back = hexgrid.encode(
         np.degrees(np.arcsin(middle[:, 2])),

@@ -90,7 +90,7 @@ def test_encodings(spark, tmp_path, encoding, found, mark, asked):
         pytest.skip("UTF-16 only")
     path = tmp_path / "raw.tsv"
     text = "\n".join(["\t".join(RAW_COLUMNS), line(), line(gbifID="2", recordedBy="Ωmega")]) + "\n"
-    path.write_bytes((("﻿" if mark else "") + text).encode(encoding))
+    path.write_bytes((("\ufeff" if mark else "") + text).encode(encoding))
     assert detect_encoding(spark, str(path), asked) == found
     rows = read_occurrences(spark, str(path), asked).orderBy("gbifID").collect()
     assert [r["recordedBy"] for r in rows] == ["Zoë", "Ωmega"]

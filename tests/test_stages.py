@@ -54,7 +54,7 @@ def test_whole_run_and_restart(spark, raw, tmp_path):
     summary = {r["resolution"]: r for r in read_summary(spark, f"{base}/summary").collect()}
     assert set(summary) == set(counts) and len(summary[3]["rarity_quantiles"]) == 4
     tiles = spark.read.parquet(f"{base}/tiles")
-    assert {r[0] for r in tiles.select("layer").distinct().collect()} == {"rare_species_cells"}
+    assert {r[0] for r in tiles.select("layer").distinct().collect()} == {"rarity_cells"}
     assert {r[0] for r in tiles.select("h3").distinct().collect()} == {
         json.loads(text)["properties"]["h3"] for text in lines
     }
@@ -75,7 +75,7 @@ def test_run_arguments(spark, start, stop):
 def test_tile_arguments(spark):
     with pytest.raises(ValueError, match="drop_rate"):
         generate_tiles(spark, TileGenerationConfig("x", "y", drop_rate=0))
-    with pytest.raises(ValueError, match="same length"):
+    with pytest.raises(ValueError, match="one zoom range"):
         generate_tiles(spark, TileGenerationConfig("x", "y", resolutions=(3,)))
     with pytest.raises(ValueError, match="geojsonseq_path"):
         generate_tiles(spark, TileGenerationConfig("x", "y", geojsonseq_only=True))
