@@ -162,7 +162,10 @@ def cell_scores(spark, sf):
 
 
 def cell_scores_country(spark, sf):
-    table = fixture.lattice_cells(fixture.filtered(spark, sf, "IT"))
+    table = fixture.stored(
+        spark, sf, "observations_it",
+        lambda: fixture.lattice_cells(fixture.filtered(spark, sf, "IT")),
+    )
     return rounded(scores.score_cells(table, occupancy.species_occupancy(table)))
 
 
