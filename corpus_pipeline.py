@@ -1,13 +1,34 @@
 """From raw documents to packed training sequences: the stages in order, each on all
-rows that the one before it kept."""
+rows that the one before it kept.
+
+Every stage takes (spark, docs, sf_dir), where ``docs`` is what the stage before it wrote
+and ``sf_dir`` has the labels. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hexrarity.llm import packing
+from hexrarity.llm import packing, quality, shingle_join, toxicity
 from hexrarity.llm.common import stored
-from hexrarity.llm.queries import tokenizer_file
+from hexrarity.llm.queries import table, tokenizer_file
+
+
+def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the conditional random field does not find toxic."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.filtered(docs, model)
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents likely to have at least the middle grade."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.filtered(docs, model)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones, the one with the smallest id."""
+    return shingle_join.representatives(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,16 +36,19 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.packed(docs, tokenizer_file("word_bpe_49k.json"))
 
 
-STAGES = [("best-fit packing", best_fit_packing)]
+STAGES = [
+    ("toxicity", remove_toxic),
+    ("quality classifier", keep_quality),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("best-fit packing", best_fit_packing),
+]
 
 #: The trained and the tokenized stages are not SQL; tests compare them with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for at, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if at < len(STAGES) - 1:
-            docs = stored(docs)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
