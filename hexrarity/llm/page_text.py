@@ -50,6 +50,11 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 BARRIERS = frozenset("ul ol dl table select div section article main aside nav body".split())
 
 NAMES = re.compile(r"[A-Za-z]+")
+#: Words of short blocks that tell a role in many pages. (Other words would only repeat
+#: what the training pages happened to say.)
+CUES = frozenset("accept advertisement comment comments cookie cookies copyright email home login "
+                 "menu newsletter popular privacy related reply search share sponsored subscribe "
+                 "terms".split())
 
 
 class Block:
@@ -148,7 +153,8 @@ def features(block: Block) -> list[int]:
         f"signs {min(4, int(10 * (1 - letters / len(text)) / 2))}",
     }
     if n <= 12:
-        found |= {f"word {w.lower()}" for w in words}
+        found |= {f"word {w}" for w in CUES.intersection(NAMES.findall(text.lower()))}
+        found |= {"sign ©"} if "©" in text else set()
     return [zlib.crc32(f.encode()) % HASHED for f in sorted(found)]
 
 
