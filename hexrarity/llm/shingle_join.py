@@ -1,12 +1,16 @@
 """Jaccard self-join of documents on word shingles by T-occurrence search (DivideSkip).
 
-A document with n shingles can only link to one that shares T = ceil(0.8 n) of them.
-So its T - 1 longest inverted lists need no merging: every partner stands in at least
-one of the other n - T + 1, the short ones. Lists are long if their shingle is frequent
-(repeated passages); the order is the same for all documents, so both sides of a pair
-agree on it. The short lists are merged in buckets of shingles; what they propose is
-settled by probing the whole sorted shingle sets, long lists included, with binary
-search, and kept if the overlap reaches the required one.
+A document with n shingles can only link to one that shares T = ceil(0.8 n) of them. Of
+its inverted lists, T - c may go unmerged, the longest ones: every partner still stands
+in at least c of the others, the short ones. Lists are long if their shingle is frequent
+(repeated passages), and otherwise taken in the order of hashes; the order is the same
+for all documents, so both sides of a pair agree on it. c is a tenth of n.
+
+The short lists are merged in buckets of shingles. A document that meets any others in
+fewer than c of its short lists has no partner and is done with; nearly all texts that
+are no copies end here. The lists of the others propose pairs, which are settled by
+probing the whole sorted shingle sets, long lists included, with binary search, and kept
+if the overlap reaches the required one.
 
 Documents with equal sets are one class. Only components are asked for, so a list
 proposes the pairs of one member with the others first; pairs that these links have
@@ -44,7 +48,7 @@ BROADCAST_IDS = 1_000_000
 #: Rounds in which a large list proposes the pairs of one member only.
 STAR_ROUNDS = 3
 
-POSTING = np.dtype([("shingle", "<u8"), ("cls", "<u8"), ("n", "<u4")])
+POSTING = np.dtype([("shingle", "<u8"), ("cls", "<u8")])
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
                 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -85,6 +89,12 @@ def required(n, percent: int = PERCENT):
     return -(-percent * n // 100)
 
 
+def short_lists(n, percent: int = PERCENT):
+    """(lists to merge, lists with others that a document with a partner has) for ``n``."""
+    least = max(1, -(-n // 10))
+    return min(n, n - required(n, percent) + least), least
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     """Whether two sorted sets reach the similarity: the shorter one's shingles are
     looked up in the longer one."""
@@ -147,28 +157,26 @@ def _short_lists(frequent, buckets: int, words: int, percent: int):
         hashes = worker_cache(("word hashes",), word_hashes)
         long_lists = frequent.value
         for batch in batches:
-            shingles, classes, sizes, seen = [], [], [], set()
+            shingles, classes, seen = [], [], set()
             for text in batch.column(0):
                 own = shingle_set(text.as_py(), hashes, words)
                 key = set_key(own)
                 if not len(own) or key in seen:
                     continue
                 seen.add(key)
-                keep = len(own) - required(len(own), percent) + 1
+                keep, _ = short_lists(len(own), percent)
                 if len(long_lists):
                     at = np.searchsorted(long_lists, own)
                     at[at == len(long_lists)] = 0
                     own = own[np.argsort(long_lists[at] == own, kind="stable")]
                 shingles.append(own[:keep])
                 classes.append(key)
-                sizes.append(len(own))
             if not classes:
                 continue
             lengths = [len(s) for s in shingles]
             rows = np.empty(sum(lengths), POSTING)
             rows["shingle"] = np.concatenate(shingles)
             rows["cls"] = np.repeat(np.array(classes, np.uint64), lengths)
-            rows["n"] = np.repeat(np.array(sizes, np.uint32), lengths)
             bucket = (rows["shingle"] >> np.uint64(17)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             rows, bucket = rows[order], bucket[order]
@@ -181,17 +189,19 @@ def _short_lists(frequent, buckets: int, words: int, percent: int):
     return run
 
 
-def _lists(rows: np.ndarray):
-    """Rows sorted by (shingle, class), without repeats and lists of one; the start of
-    each row's list."""
+def _repeated(table: pa.Table) -> pa.Table:
+    """(shingle, class) of the lists of a bucket with more than one class."""
+    rows = np.frombuffer(b"".join(table.column("postings").to_pylist()), POSTING)
     rows = rows[np.lexsort((rows["cls"], rows["shingle"]))]
     new = np.ones(len(rows), bool)
     new[1:] = (rows["shingle"][1:] != rows["shingle"][:-1]) | (rows["cls"][1:] != rows["cls"][:-1])
     rows = rows[new]
-    _, group, size = np.unique(rows["shingle"], return_inverse=True, return_counts=True)
-    rows = rows[size[group] > 1]
-    _, start, group = np.unique(rows["shingle"], return_index=True, return_inverse=True)
-    return rows, start[group] if len(rows) else group
+    same = rows["shingle"][1:] == rows["shingle"][:-1]
+    shared = np.zeros(len(rows), bool)
+    shared[1:] |= same
+    shared[:-1] |= same
+    rows = rows[shared]
+    return pa.table({"shingle": _signed(rows["shingle"]), "cls": _signed(rows["cls"])})
 
 
 def _compatible(na, nb, percent: int):
@@ -199,26 +209,6 @@ def _compatible(na, nb, percent: int):
     return 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
 
 
-def _first_pairs(percent: int):
-    """Members of the lists, and the pairs of each list's first member with the rest."""
-
-    def run(table: pa.Table) -> pa.Table:
-        rows = np.frombuffer(b"".join(table.column("postings").to_pylist()), POSTING)
-        rows, start = _lists(rows)
-        pivot = rows[start]
-        pair = (pivot["cls"] != rows["cls"]) & _compatible(pivot["n"], rows["n"], percent)
-        pairs = np.unique(np.stack([pivot["cls"][pair], rows["cls"][pair]]), axis=1)
-        none = pa.nulls(pairs.shape[1], pa.int64())
-        return pa.table({
-            "a": pa.chunked_array([_signed(pairs[0]), _signed(rows["cls"])]),
-            "b": pa.chunked_array([_signed(pairs[1]), pa.nulls(len(rows), pa.int64())]),
-            "shingle": pa.chunked_array([none, _signed(rows["shingle"])]),
-            "n": pa.chunked_array([none, pa.array(rows["n"].astype(np.int64))]),
-        })
-
-    return run
-
-
 def _more_pairs(turn: int, percent: int):
     """Pairs of a list's members that no link has joined yet. ``open`` tells whether
     some list has proposed the pairs of one member only."""
@@ -310,15 +300,16 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     buckets = max(1, int(total * (100 - percent) / 100 / BUCKET))
     postings = chosen.select("_text").mapInArrow(
         _short_lists(held, buckets, words, percent), "bucket long, postings binary")
-    proposed = stored(postings.groupBy("bucket").applyInArrow(
-        _first_pairs(percent), "a long, b long, shingle long, n long"))
-    lists = proposed.where("shingle IS NOT NULL").select("shingle", F.col("a").alias("cls"), "n")
-
-    wanted = lists.select("cls").distinct().join(
-        classes.select(F.col("key").alias("cls"), F.col("rep").alias("_id")), "cls")
-    wanted = stored(wanted)
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
+    shared = stored(postings.groupBy("bucket").applyInArrow(_repeated, "shingle long, cls long"))
+    met = shared.groupBy("cls").agg(F.count(F.lit(1)).alias("_met"))
+    candidates = stored(
+        met.join(classes.withColumnRenamed("key", "cls"), "cls")
+        .where(F.col("_met") >= F.greatest(F.lit(1), F.ceil(F.col("n") / 10)))
+        .select("cls", F.col("rep").alias("_id"), "n"))
+    few = candidates.count() <= BROADCAST_IDS
+    wanted = F.broadcast(candidates) if few else candidates
+    lists = stored(shared.join(wanted.select("cls", "n"), "cls"))
+    wanted = wanted.select("cls", "_id")
     # (One of several rows with the representative's id will do.)
     sets = stored(
         chosen.join(wanted, "_id").select("cls", "_text").mapInArrow(
@@ -330,8 +321,14 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         both = pairs.select("a", "b").join(left, "a").join(right, "b")
         return both.select("a", "b", "_x", "_y").mapInArrow(_verified(percent), "a long, b long")
 
-    pairs = stored(proposed.where("shingle IS NULL").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    # (Stored: AQE can split a join of plain shuffles where a list is very long.)
+    first = stored(lists.groupBy("shingle").agg(F.min(F.struct("cls", "n")).alias("_first")))
+    sizes = [F.col("n"), F.col("_first.n")]
+    pairs = stored(
+        lists.join(first, "shingle")
+        .where((F.col("_first.cls") != F.col("cls"))
+               & (100 * F.least(*sizes) >= percent * F.greatest(*sizes)))
+        .select(F.col("_first.cls").alias("a"), F.col("cls").alias("b")).distinct())
     done = pairs
     links = stored(verify(pairs))
     turn = 0
