@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexrarity.llm import common
-from hexrarity.llm.common import WordCache, components, stored, worker_cache
+from hexrarity.llm.common import components, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -41,12 +41,14 @@ PERCENT = 80
 FREQUENT = 500_000
 SIGHTINGS = 16
 #: Shingles a task counts at a time; postings in a bucket, about.
-COUNTED = 4_000_000
+COUNTED = 1_500_000
 BUCKET = 60_000
 #: Class ids broadcast at most (8 bytes each); beyond, the join shuffles.
 BROADCAST_IDS = 1_000_000
-#: Rounds in which a large list proposes the pairs of one member only.
-STAR_ROUNDS = 3
+#: Rounds in which a list proposes only a few pairs of any two of its components, and how
+#: many; one link makes the others needless.
+SPARING_ROUNDS = 3
+FEW = 2
 
 POSTING = np.dtype([("shingle", "<u8"), ("cls", "<u8")])
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -54,18 +56,14 @@ ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
-def word_hashes():
+def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of a text's shingles."""
     import xxhash
 
-    return WordCache(lambda w: xxhash.xxh3_64_intdigest(w))
-
-
-def shingle_set(text: str | None, hashes: dict, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's shingles."""
     found = text.encode().lower().split() if text else []
     if not found:
         return np.empty(0, np.uint64)
-    ids = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
+    ids = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
     width = min(words, len(ids))
     mixed = np.full(len(ids) - width + 1, width, np.uint64) * ODD[7]
     for k in range(width):
@@ -117,7 +115,6 @@ def _summaries(words: int):
     task's documents (equal sets once), how often."""
 
     def run(batches):
-        hashes = worker_cache(("word hashes",), word_hashes)
         held, many, seen = [], 0, set()
 
         def frequent():
@@ -131,7 +128,7 @@ def _summaries(words: int):
             kind = batch.column(0).type
             sizes, keys = [], []
             for text in batch.column(1):
-                shingles = shingle_set(text.as_py(), hashes, words)
+                shingles = shingle_set(text.as_py(), words)
                 sizes.append(len(shingles))
                 keys.append(set_key(shingles))
                 if keys[-1] not in seen:
@@ -154,12 +151,11 @@ def _short_lists(frequent, buckets: int, words: int, percent: int):
     """Postings of each document's short lists, a blob per bucket and batch."""
 
     def run(batches):
-        hashes = worker_cache(("word hashes",), word_hashes)
         long_lists = frequent.value
         for batch in batches:
             shingles, classes, seen = [], [], set()
             for text in batch.column(0):
-                own = shingle_set(text.as_py(), hashes, words)
+                own = shingle_set(text.as_py(), words)
                 key = set_key(own)
                 if not len(own) or key in seen:
                     continue
@@ -210,8 +206,28 @@ def _compatible(na, nb, percent: int):
 
 
 def _more_pairs(turn: int, percent: int):
-    """Pairs of a list's members that no link has joined yet. ``open`` tells whether
-    some list has proposed the pairs of one member only."""
+    """Pairs of a list's members that no link has joined yet. ``open`` tells whether some
+    list has more of them than it proposes in this round."""
+
+    def of_list(c, size, r):
+        """(pairs, whether there are more)."""
+        order = np.lexsort(((c * (2 * turn + 3)) & 0xFFFFFFFF, r))
+        c, size, r = c[order], size[order], r[order]
+        if turn < SPARING_ROUNDS:
+            # Each component's first few members stand for it.
+            bounds = np.flatnonzero(np.diff(r)) + 1
+            nth = np.arange(len(r)) - np.repeat(
+                np.concatenate([[0], bounds]), np.diff(np.concatenate([[0], bounds, [len(r)]])))
+            few = nth < FEW
+            c, size, r, more = c[few], size[few], r[few], not few.all()
+        else:
+            more = False
+        made = []
+        for k in range(len(r) - 1):
+            other = np.flatnonzero(
+                (r[k + 1 :] != r[k]) & _compatible(size[k + 1 :], size[k : k + 1], percent)) + k + 1
+            made.append(np.stack([np.minimum(c[k], c[other]), np.maximum(c[k], c[other])]))
+        return np.concatenate(made, axis=1), more
 
     def run(table: pa.Table) -> pa.Table:
         shingle = table.column("shingle").to_numpy()
@@ -225,19 +241,10 @@ def _more_pairs(turn: int, percent: int):
                               np.split(root, bounds), strict=True):
             if (r == r[0]).all():
                 continue
-            _, group, count = np.unique(r, return_inverse=True, return_counts=True)
-            unjoined = (len(r) ** 2 - int((count**2).sum())) // 2
-            if unjoined <= 8 * len(r) or turn >= STAR_ROUNDS:
-                pivots = range(len(r))
-            else:
-                left = True
-                pivots = [np.argsort((c * (2 * turn + 3)) & 0xFFFFFFFF)[0]]
-            for k in pivots:
-                other = (r != r[k]) & _compatible(size, size[k : k + 1], percent)
-                if len(pivots) > 1:
-                    other[: k + 1] = False
-                found.append(np.stack([np.minimum(c[k], c[other]), np.maximum(c[k], c[other])]))
-            if len(found) > 2000:
+            pairs, more = of_list(c, size, r)
+            left |= more
+            found.append(pairs)
+            if len(found) > 500:
                 found = [np.unique(np.concatenate(found, axis=1), axis=1)]
         pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.empty((2, 0), np.int64)
         return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1]),
@@ -248,13 +255,12 @@ def _more_pairs(turn: int, percent: int):
 
 def _sets(words: int):
     def run(batches):
-        hashes = worker_cache(("word hashes",), word_hashes)
         for batch in batches:
             for first in range(0, batch.num_rows, 1000):
                 part = batch.slice(first, 1000)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0),
-                     pa.array([shingle_set(t.as_py(), hashes, words).tobytes()
+                     pa.array([shingle_set(t.as_py(), words).tobytes()
                                for t in part.column(1)], pa.binary())],
                     names=["cls", "shingles"])
 
@@ -340,7 +346,7 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         of_class = stored(
             classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
             .select("key", F.coalesce("root", "rep").alias("root")))
-        if turn > STAR_ROUNDS:
+        if turn > SPARING_ROUNDS:
             break
         around = lists.join(of_class.withColumnRenamed("key", "cls"), "cls")
         mixed = around.groupBy("shingle").agg(
@@ -357,7 +363,7 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
             continue
         done = done.unionByName(new)
         links = links.unionByName(stored(verify(new)))
-        turn = turn + 1 if more.where("open").take(1) else STAR_ROUNDS + 1
+        turn = turn + 1 if more.where("open").take(1) else SPARING_ROUNDS + 1
     return own.join(of_class, "key", "left").select(
         F.col("_id").alias(id_column), F.col("n").alias("n_shingles"),
         F.coalesce("root", "_id").alias("component_id"))
