@@ -23,8 +23,10 @@ from hexrarity.operators.features import complete_scores
 from hexrarity.operators.observations import assign_cells, filter_observations
 from hexrarity.operators.occupancy import species_occupancy
 from hexrarity.operators.scores import score_cells
-from hexrarity.operators.skew import estimated_bytes
-from hexrarity.schemas import SCORE_COLUMNS
+from hexrarity.plans.stages import (
+    Store, clean, count_species, draw, run, score, tile,
+)
+from hexrarity.schemas import RAW_COLUMNS, SCORE_COLUMNS
 from hexrarity.sources.tables import write_table
 
 RAW_SQL = """
@@ -58,25 +60,14 @@ SELECT
 FROM b
 """
 
-SPLIT_BYTES = 64 * 1024 * 1024
-
 LATTICE_DEGREES = {3: 8, 4: 4, 5: 2, 6: 1, 7: 0.5}
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """The test files have one row group and would be read by one task; tables too
-    small to occupy every core by their size are dealt out to all cores."""
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    small = estimated_bytes(table) < cores * SPLIT_BYTES
-    return table.repartition(cores) if small else table
-
-
 def raw_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {
         name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
         for name in ("lineitem", "orders", "part", "supplier")
     }
-    tables["lineitem"] = spread(tables["lineitem"])
     text = reduce(
         lambda sql, name: sql.replace(f"{name} {name[0]} ", f"{{{name}}} {name[0]} "),
         tables, RAW_SQL,
@@ -197,3 +188,49 @@ def lattice_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         cell_hex(F.col("cell")).alias("h3"),
         close_ring(unwrap_dateline(F.col("ring"))).alias("ring"),
     )
+
+
+def raw_file(spark: SparkSession, sf_dir: str, encoding: str = "UTF-8", faulty: bool = False) -> str:
+    """The raw rows as a download: 50 tab-separated columns, a header per file. With
+    ``faulty`` some rows are too long, too short, have no number or a quoted tab."""
+    key = (spark.sparkContext.applicationId, sf_dir, f"raw-{encoding}-{faulty}")
+    if key in _stored:
+        return _stored[key]
+    raw = raw_occurrences(spark, sf_dir)
+    fields = [
+        F.coalesce(F.col(name).cast("string"), F.lit("")) if name in raw.columns else F.lit("")
+        for name in RAW_COLUMNS
+    ]
+    line = F.concat_ws("\t", *fields)
+    if faulty:
+        fault = F.col("gbifID") % 50
+        north = list(fields)
+        north[RAW_COLUMNS.index("decimalLatitude")] = F.lit("north")
+        quoted = list(fields)
+        quoted[RAW_COLUMNS.index("locality")] = F.lit('"a\tb ""c"""')
+        line = (
+            F.when(fault == 1, F.concat(line, F.lit("\tone\tmore")))
+            .when(fault == 2, F.concat_ws("\t", *fields[:40]))
+            .when(fault == 3, F.concat_ws("\t", *north))
+            .when(fault == 4, F.concat_ws("\t", *quoted))
+            .otherwise(line)
+        )
+    path = f"{shared_folder(spark)}/raw-{uuid.uuid4().hex}"
+    (
+        raw.select(line.alias("\t".join(RAW_COLUMNS)))
+        .write.option("header", True).option("sep", "\u0001").option("quote", "\u0000")
+        .option("ignoreTrailingWhiteSpace", False).option("ignoreLeadingWhiteSpace", False)
+        .option("encoding", encoding).csv(path)
+    )
+    _stored[key] = path
+    return path
+
+
+def whole_run(spark: SparkSession, sf_dir: str) -> Store:
+    """A run of all stages from a faulty raw file, in a folder of its own."""
+    key = (spark.sparkContext.applicationId, sf_dir, "run")
+    if key not in _stored:
+        _stored[key] = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+        store = Store(spark, _stored[key])
+        run(store, [tile(), draw(), score(), count_species(), clean(raw_file(spark, sf_dir))])
+    return Store(spark, _stored[key])

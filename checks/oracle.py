@@ -1,17 +1,48 @@
 """The same queries in SQL for DuckDB, written from the definitions.
 
-Scores are stated here step by step with a join per step, not the way the Spark
-operators compute them.
+Constants are written out here once more, so that a wrong one in the engine shows; only
+the tables of the grid come from it (``tests/test_hexgrid.py`` checks those against the
+survey).
 """
 
 from __future__ import annotations
 
-from checks.fixture import LATTICE_DEGREES, RAW_SQL
-from checks.queries import DROP_RATE
-from hexrarity.config import EDGE_LENGTH_M, RESOLUTIONS, ZOOM_RANGES
+from collections import namedtuple
+
+from checks.fixture import RAW_SQL
 from hexrarity.functions import hexgrid
-from hexrarity.operators.style import RAMPS
-from hexrarity.operators.summary import QUANTILES
+
+RESOLUTIONS = (3, 4, 5, 6, 7)
+LATTICE_DEGREES = {3: 8, 4: 4, 5: 2, 6: 1, 7: 0.5}
+DROP_RATE = 2.5
+
+# Edge lengths in metres, zooms per resolution, quantiles, colour ramps.
+EDGE_LENGTH_M = {
+    3: 68979.22179, 4: 26071.75968, 5: 9854.090990, 6: 3724.532667, 7: 1406.475763,
+}
+ZOOM_RANGES = ((0, 4), (4, 5), (5, 7), (7, 8), (8, 12))
+QUANTILES = {
+    "rarity_zscore": ("rarity_quantiles", (0.025, 0.5, 0.75, 0.975)),
+    "count_observations": ("count_observations_quantiles", (0.025, 0.5, 0.975)),
+    "count_species": ("count_species_quantiles", (0.025, 0.5, 0.975)),
+    "count_observers": ("count_observers_quantiles", (0.025, 0.5, 0.975)),
+    "confidence_scores": ("confidence_scores_quantiles", (0.025, 0.5, 0.975)),
+}
+Colours = namedtuple("Colours", "column summary quantile default stops colours middle")
+RAMPS = {
+    "rarity_zscore": Colours(
+        "rarity_zscore", "rarity_quantiles", 3, 0.0, (-1, -0.67, -0.33, 0, 0.33, 0.67, 1),
+        ("#053061", "#4575b4", "#abd9e9", "#f7f7f7", "#fdae61", "#d73027", "#67001f"), "#f7f7f7"),
+    "count_observations": Colours(
+        "count_observations", "count_observations_quantiles", 2, 500.0, (0, 0.2, 0.4, 0.6, 0.8, 1),
+        ("#e8f3ea", "#b8d9c3", "#6fb0a4", "#397996", "#24476f", "#171d3f"), "#e8f3ea"),
+    "count_species": Colours(
+        "count_species", "count_species_quantiles", 2, 500.0, (0, 0.25, 0.5, 0.75, 1),
+        ("#f1ffcf", "#c6f76a", "#7dde46", "#3caa52", "#245726"), "#f1ffcf"),
+    "count_observers": Colours(
+        "count_observers", "count_observers_quantiles", 2, 500.0, (0, 0.25, 0.5, 0.75, 1),
+        ("#fff1cf", "#f7c66a", "#de7d46", "#aa3c52", "#572461"), "#fff1cf"),
+}
 
 
 def _r(expression: str, name: str | None = None, places: int = 6) -> str:
@@ -43,6 +74,8 @@ LONG = "\n UNION ALL ".join(
     for r in RESOLUTIONS
 )
 
+CONFIDENCE = "(1 - exp(neff_observers / -4)) * (1 - exp(count_observations / CAST(-40 AS DOUBLE)))"
+
 EDGES = ", ".join(f"({r}, CAST({EDGE_LENGTH_M[r]} AS DOUBLE))" for r in RESOLUTIONS)
 
 
@@ -56,53 +89,33 @@ long AS ({LONG}),
 edges(resolution, edge_m) AS (VALUES {EDGES}),
 occupancy AS (
  SELECT speciesKey, min(species) AS species, count(*) AS n_observations,
-  count(DISTINCT h3_res5) AS occupancy, 1.0 / sqrt(CAST(count(DISTINCT h3_res5) AS DOUBLE)) AS rarity
- FROM obs WHERE h3_res5 IS NOT NULL GROUP BY speciesKey),
-valid AS (
- SELECT resolution, recordedBy FROM long GROUP BY resolution, recordedBy
- HAVING min(cell) <> max(cell)),
-kept AS (
- SELECT l.resolution, l.cell, l.recordedBy, l.speciesKey
- FROM long l JOIN edges e ON l.resolution = e.resolution
- WHERE l.unc <= e.edge_m AND EXISTS (
-  SELECT 1 FROM valid v WHERE v.resolution = l.resolution AND v.recordedBy = l.recordedBy)),
-by_observer AS (
- SELECT resolution, cell, recordedBy, count(*) AS obs_by_observer
- FROM kept GROUP BY resolution, cell, recordedBy),
-metrics AS (
- SELECT resolution, cell, count(*) AS count_observations,
-  count(DISTINCT speciesKey) AS count_species, count(DISTINCT recordedBy) AS count_observers
- FROM kept GROUP BY resolution, cell),
-shares AS (
- SELECT b.resolution, b.cell, CAST(b.obs_by_observer AS DOUBLE) / m.count_observations AS p
- FROM by_observer b JOIN metrics m ON b.resolution = m.resolution AND b.cell = m.cell),
-neff AS (
- SELECT resolution, cell, exp(-sum(p * ln(p))) AS neff_observers
- FROM shares GROUP BY resolution, cell),
-found AS (SELECT DISTINCT resolution, cell, recordedBy, speciesKey FROM kept),
-rarity AS (
- SELECT f.resolution, f.cell, f.recordedBy, avg(o.rarity) AS mean_rarity
- FROM found f JOIN occupancy o ON f.speciesKey = o.speciesKey
- GROUP BY f.resolution, f.cell, f.recordedBy),
-baseline AS (
- SELECT resolution, recordedBy, avg(mean_rarity) AS baseline
- FROM rarity GROUP BY resolution, recordedBy),
-residual AS (
- SELECT r.resolution, r.cell, r.recordedBy, r.mean_rarity - b.baseline AS residual
- FROM rarity r JOIN baseline b ON r.resolution = b.resolution AND r.recordedBy = b.recordedBy),
-cell_residual AS (
- SELECT resolution, cell, avg(residual) AS rarity_zscore FROM residual GROUP BY resolution, cell),
-conf AS (
- SELECT n.resolution, n.cell,
-  (1 - exp(-n.neff_observers / 4)) * (1 - exp(-m.count_observations / 40)) AS confidence_scores
- FROM neff n JOIN metrics m ON n.resolution = m.resolution AND n.cell = m.cell),
+  count(DISTINCT h3_res5) AS occupancy, pow(count(DISTINCT h3_res5), -0.5) AS rarity
+ FROM obs GROUP BY speciesKey),
+-- every record, with whether its observer was anywhere else at that resolution
+placed AS (
+ SELECT *, min(cell) OVER who < max(cell) OVER who AS roams
+ FROM long WINDOW who AS (PARTITION BY resolution, recordedBy)),
+finds AS (
+ SELECT resolution, cell, recordedBy, speciesKey, count(*) AS n
+ FROM placed JOIN edges USING (resolution) WHERE roams AND unc <= edge_m GROUP BY ALL),
+visits AS (
+ SELECT resolution, cell, recordedBy, sum(n) AS n, avg(rarity) AS mean_rarity
+ FROM finds LEFT JOIN occupancy USING (speciesKey) GROUP BY ALL),
+compared AS (
+ SELECT *, n / sum(n) OVER (PARTITION BY resolution, cell) AS share,
+  avg(mean_rarity) OVER (PARTITION BY resolution, recordedBy) AS usual
+ FROM visits),
+richness AS (
+ SELECT resolution, cell, count(DISTINCT speciesKey) AS count_species FROM finds GROUP BY ALL),
+cells AS (
+ SELECT resolution, cell, count_species, CAST(sum(n) AS BIGINT) AS count_observations,
+  count(*) AS count_observers, avg(mean_rarity - usual) AS z,
+  exp(-sum(share * ln(share))) AS neff_observers
+ FROM compared JOIN richness USING (resolution, cell) GROUP BY ALL),
 scores AS (
- SELECT r.resolution, r.cell, {_r('r.rarity_zscore', 'rarity_zscore')},
-  m.count_species, m.count_observations, m.count_observers,
-  {_r('c.confidence_scores', 'confidence_scores')}
- FROM cell_residual r
- JOIN conf c ON r.resolution = c.resolution AND r.cell = c.cell
- JOIN metrics m ON r.resolution = m.resolution AND r.cell = m.cell)"""
+ SELECT resolution, cell, {_r('z', 'rarity_zscore')}, count_species, count_observations,
+  count_observers, {_r(CONFIDENCE, 'confidence_scores')}
+ FROM cells WHERE z IS NOT NULL)"""
 
 
 def _scoring(select: str, country: str | None = None, extra: str = "") -> str:
@@ -423,43 +436,46 @@ SELECT gbifID, resolution, cell FROM long""",
  min(occupancy) AS min_occupancy, {_r('avg(occupancy)', 'avg_occupancy')},
  max(occupancy) AS max_occupancy, {_r('min(rarity)', 'min_rarity')},
  {_r('avg(rarity)', 'avg_rarity')}, {_r('max(rarity)', 'max_rarity')} FROM occupancy"""),
-    "valid_observers": _scoring("SELECT resolution, recordedBy FROM valid"),
-    "precise_observations": _scoring("""SELECT resolution, count(*) AS n_observations,
- CAST(sum(cell) AS BIGINT) AS sum_cell, CAST(sum(speciesKey) AS BIGINT) AS sum_species
- FROM kept GROUP BY resolution"""),
+    "valid_observers": _scoring("SELECT DISTINCT resolution, recordedBy FROM placed WHERE roams"),
+    "precise_observations": _scoring(
+        "SELECT resolution, cell, recordedBy, speciesKey, n AS n_observations FROM finds"
+    ),
     "distinct_cell_species_observer": _scoring(
-        "SELECT resolution, cell, recordedBy, speciesKey FROM found"
+        "SELECT resolution, cell, recordedBy, speciesKey FROM finds"
     ),
     "observer_counts_by_cell": _scoring(
-        "SELECT resolution, cell, recordedBy, obs_by_observer FROM by_observer"
+        "SELECT resolution, cell, recordedBy, CAST(n AS BIGINT) AS obs_by_observer FROM visits"
     ),
     "mean_rarity_cell_observer": _scoring(
-        f"SELECT resolution, cell, recordedBy, {_r('mean_rarity')} FROM rarity"
+        f"SELECT resolution, cell, recordedBy, {_r('mean_rarity')} FROM visits"
+        " WHERE mean_rarity IS NOT NULL"
     ),
     "observer_baseline": _scoring(
-        f"SELECT resolution, recordedBy, {_r('baseline')} FROM baseline"
+        f"SELECT DISTINCT resolution, recordedBy, {_r('usual', 'baseline')} FROM compared"
     ),
     "residuals": _scoring(
-        f"SELECT resolution, cell, recordedBy, {_r('residual')} FROM residual"
+        f"SELECT resolution, cell, recordedBy, {_r('mean_rarity - usual', 'residual')} FROM compared"
     ),
     "cell_metrics": _scoring(
-        "SELECT resolution, cell, count_observations, count_species, count_observers FROM metrics"
+        "SELECT resolution, cell, count_observations, count_species, count_observers FROM cells"
     ),
     "shannon_neff": _scoring(
-        f"SELECT resolution, cell, {_r('neff_observers')} FROM neff"
+        f"SELECT resolution, cell, {_r('neff_observers')} FROM cells"
     ),
     "confidence": _scoring(
-        f"SELECT resolution, cell, {_r('confidence_scores')} FROM conf"
+        f"SELECT resolution, cell, {_r(CONFIDENCE, 'confidence_scores')} FROM cells"
     ),
     "cell_scores": _scoring("SELECT * FROM scores"),
     "cell_scores_country": _scoring("SELECT * FROM scores", "IT"),
     "hot_key_join": _scoring("SELECT * FROM scores"),
-    "edge_lengths": _scoring(f"SELECT resolution, {_r('edge_m')} FROM edges"),
     "score_summary": _with_summary("SELECT * FROM summary"),
-    "score_summary_ranked": _with_summary("SELECT * FROM summary"),
+    "score_summary_ranked": _with_summary(" UNION ALL ".join(
+        f"""SELECT resolution, '{column}' AS "column", unnest({list(probabilities)}) AS probability,
+ unnest({name}) AS quantile FROM summary"""
+        for column, (name, probabilities) in QUANTILES.items())),
     "score_summary_json": _with_summary(
-        "SELECT CAST(resolution AS VARCHAR) AS resolution, count_observations_quantiles"
-        " FROM summary"
+        "SELECT CAST(row_number() OVER (ORDER BY resolution) - 1 AS INTEGER) AS place,"
+        " * REPLACE (CAST(resolution AS VARCHAR) AS resolution) FROM summary"
     ),
     "cell_counts": _scoring(
         "SELECT resolution, count(*) AS n_cells FROM scores GROUP BY resolution"
@@ -476,9 +492,11 @@ SELECT gbifID, resolution, cell FROM long""",
  || '&subview=map&quality_grade=research' AS url
  FROM (UNPIVOT box ON nelat, nelng, swlat, swlng INTO NAME k VALUE v)
  GROUP BY resolution, cell"""),
-    "cell_lookup": _scoring(f"""SELECT resolution, lower(hex(cell)) AS h3, cell, {SCORE_LIST}
- FROM scores WHERE (resolution, cell) IN (
-  SELECT resolution, max(cell) FROM scores GROUP BY resolution)"""),
+    "cell_lookup": (
+        f"WITH RECURSIVE {_filtered()},{HEXAGONS},{SCORING}\n"
+        f"SELECT resolution, lower(hex(cell)) AS h3, cell, {SCORE_LIST} FROM scores"
+        " QUALIFY cell = max(cell) OVER (PARTITION BY resolution)"
+    ),
     "feature_json": _features(f"""SELECT s.resolution, s.cell, 'Feature' AS type,
  'Polygon' AS geometry_type, lower(hex(s.cell)) AS h3, s.count_species,
  {_r('a.lng', 'first_lng')}, {_r('c.lat', 'third_lat')}
@@ -512,7 +530,12 @@ SELECT gbifID, resolution, cell FROM long""",
  WHERE ((cell % 1000003) * 7919 % 1000003) / CAST(1000003 AS DOUBLE)
   < pow(CAST({DROP_RATE} AS DOUBLE), z - z1)""", TILES),
     "tile_coalesce": _features("""SELECT resolution, z, x, y, count_species, count_observers,
- count(*) AS n_features, count(*) AS n_rings FROM tiled JOIN scores USING (resolution, cell)
+ count(*) AS n_features, count(*) AS n_rings,
+ string_agg(corners, ',' ORDER BY corners) AS boxes
+ FROM tiled JOIN scores USING (resolution, cell) JOIN (
+  SELECT resolution, cell, concat_ws(' ', CAST(round(swlng * 1000000) AS BIGINT),
+   CAST(round(nelng * 1000000) AS BIGINT), CAST(round(swlat * 1000000) AS BIGINT),
+   CAST(round(nelat * 1000000) AS BIGINT)) AS corners FROM box) USING (resolution, cell)
  GROUP BY resolution, z, x, y, count_species, count_observers""", TILES),
     "tile_snap": _features("""SELECT resolution, z, x, y, cell, string_agg(
   CAST(px AS VARCHAR) || ' ' || CAST(py AS VARCHAR), ',' ORDER BY i) AS ring
@@ -539,6 +562,22 @@ snapped AS (
  FROM ({_styled('count_species', 'resolution < 5')}) a
  JOIN ({_styled('rarity_zscore', 'resolution < 5', 'rarity_color')}) b
   ON a.resolution = b.resolution AND a.cell = b.cell"""),
+    "read_tsv": f"""WITH {_filtered()}
+SELECT gbifID, speciesKey, species, {_r('decimalLatitude')}, {_r('decimalLongitude')},
+ {_r('coordinateUncertaintyInMeters')}, taxonRank, recordedBy FROM filtered""",
+    "read_faulty_tsv": f"""WITH {_filtered()}
+SELECT gbifID, speciesKey, species, {_r('decimalLatitude')}, {_r('decimalLongitude')},
+ {_r('coordinateUncertaintyInMeters')}, taxonRank,
+ recordedBy || CASE WHEN gbifID % 50 = 4 THEN '|a' || chr(9) || 'b "c"' ELSE '' END AS recordedBy
+FROM filtered WHERE gbifID % 50 NOT IN (2, 3)""",
+    "read_utf16_tsv": f"""WITH {_filtered()}
+SELECT gbifID, speciesKey, species, {_r('decimalLatitude')}, {_r('decimalLongitude')},
+ {_r('coordinateUncertaintyInMeters')}, taxonRank, recordedBy, "order"
+FROM filtered, (VALUES ('UTF-16LE'), ('UTF-16BE')) AS v("order")""",
+    "geojson_lines": _scoring("""SELECT resolution, lower(hex(cell)) AS h3, count_species,
+ count_observers, TRUE AS closed, count(*) OVER (PARTITION BY resolution) AS written FROM scores"""),
+    "clustered_scores": _scoring("SELECT *, count(*) OVER () AS written FROM scores"),
+    "whole_run": f"WITH RECURSIVE {_filtered()},{HEXAGONS},{SCORING}\nSELECT * FROM scores",
     "style_opacity": _scoring(
         f"SELECT resolution, cell, {_r('confidence_scores * 0.75', 'fill_opacity', 9)} FROM scores"
     ),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,10 +11,13 @@ from pyspark.sql import functions as F
 from checks import fixture
 from hexrarity.config import RESOLUTIONS, cell_column
 from hexrarity.functions.geometry import unwrap_dateline
-from hexrarity.functions.grid import cell_hex, cell_to_boundary, edge_length, hex_cell
+from hexrarity.functions.grid import cell_hex, cell_to_boundary, hex_cell
 from hexrarity.operators import features, observations, occupancy, scores, style, summary, tiles
 from hexrarity.schemas import SCORE_COLUMNS
-from hexrarity.sources.tables import summary_json
+from hexrarity.sources.occurrences import read_occurrences
+from hexrarity.sources.tables import (
+    read_scores, summary_json, write_geojsonseq, write_scores,
+)
 
 DROP_RATE = 2.5
 
@@ -106,11 +110,9 @@ def _rarity(spark, sf):
 
 
 def precise_observations(spark, sf):
-    return _scored(spark, sf).groupBy("resolution").agg(
-        F.sum("n").alias("n_observations"),
-        F.sum(F.col("cell") * F.col("n")).alias("sum_cell"),
-        F.sum(F.col("speciesKey") * F.col("n")).alias("sum_species"),
-    )
+    # (What is merged differs in coordinates' precision, which is not kept.)
+    return _scored(spark, sf).groupBy(*scores.CELL_OBSERVER_SPECIES).agg(
+        F.sum("n").alias("n_observations"))
 
 
 def distinct_cell_species_observer(spark, sf):
@@ -127,7 +129,7 @@ def mean_rarity_cell_observer(spark, sf):
 
 
 def observer_baseline(spark, sf):
-    return rounded(scores.observer_baseline(_rarity(spark, sf)))
+    return rounded(scores.observer_baseline(_rarity(spark, sf)).drop("observer_cells"))
 
 
 def residuals(spark, sf):
@@ -178,13 +180,6 @@ def hot_key_join(spark, sf):
     ))
 
 
-def edge_lengths(spark, sf):
-    return rounded(
-        fixture.score_table(spark, sf).select("resolution").distinct()
-        .select("resolution", edge_length(F.col("resolution")).alias("edge_m"))
-    )
-
-
 # -- summary -----------------------------------------------------------------
 
 def score_summary(spark, sf):
@@ -192,20 +187,20 @@ def score_summary(spark, sf):
 
 
 def score_summary_ranked(spark, sf):
-    """The same quantiles by the way meant for large score tables."""
-    return rounded(summary.summarize(rounded(fixture.score_table(spark, sf)), limit_bytes=0))
+    """The same quantiles one by one, before they are put in lists."""
+    return rounded(summary.ranked_quantiles(rounded(fixture.score_table(spark, sf))))
 
 
 def score_summary_json(spark, sf):
-    medians = summary.summarize(rounded(fixture.score_table(spark, sf))).select(
-        "resolution", "count_observations_quantiles"
-    )
-    text = summary_json(rounded(medians)).select(F.from_json(
-        "value", "map<string, struct<count_observations_quantiles: array<double>>>"
-    ).alias("entries"))
-    return text.select(F.explode("entries").alias("resolution", "s")).select(
-        "resolution", "s.count_observations_quantiles"
-    )
+    # each entry with its place in the object, and all lists
+    made = rounded(summary.summarize(rounded(fixture.score_table(spark, sf))))
+    lists = [name for name in made.columns if name != "resolution"]
+    text = summary_json(made).select(
+        "value", F.posexplode(F.json_object_keys("value")).alias("place", "resolution"))
+    entry = F.from_json("value", "map<string, struct<" + ", ".join(
+        f"{name}: array<double>" for name in lists) + ">>")
+    return text.select("place", "resolution", entry[F.col("resolution")].alias("s")).select(
+        "place", "resolution", *(f"s.{name}" for name in lists))
 
 
 def cell_counts(spark, sf):
@@ -241,13 +236,11 @@ def cell_links(spark, sf):
 
 def cell_lookup(spark, sf):
     # the cell with the largest id of each resolution, found by its hex text
-    table = fixture.lattice_features(spark, sf)
-    wanted = table.groupBy("resolution").agg(F.max("cell").alias("cell")).select(
-        "resolution", cell_hex(F.col("cell")).alias("h3")
-    )
-    return rounded(table.join(F.broadcast(wanted), ["resolution", "h3"]).select(
-        "resolution", "h3", hex_cell(F.col("h3")).alias("cell"), *SCORE_COLUMNS
-    ))
+    table = fixture.hexagon_score_table(spark, sf)
+    wanted = table.groupBy("resolution").agg(cell_hex(F.max("cell")).alias("h3"))
+    found = features.find_cells(table, *(r["h3"] for r in wanted.collect()), "0", "no id")
+    return rounded(found.select(
+        "resolution", "h3", hex_cell(F.col("h3")).alias("cell"), *SCORE_COLUMNS))
 
 
 def feature_json(spark, sf):
@@ -338,9 +331,13 @@ def tile_thinning(spark, sf):
 def tile_coalesce(spark, sf):
     table = tiles.tile_index(fixture.lattice_features(spark, sf))
     merged = tiles.coalesce_tiles(table, ["count_species", "count_observers"])
+    # every ring by its south-west and north-east corner, sorted
+    corners = F.array_sort(F.transform("rings", lambda ring: F.concat_ws(
+        " ", *(F.round(end(F.transform(ring, lambda p: p[axis])) * 1000000).cast("long").cast("string")
+               for axis in ("lng", "lat") for end in (F.array_min, F.array_max)))))
     return merged.select(
         *tiles.TILE, "count_species", "count_observers", "n_features",
-        F.size("rings").cast("long").alias("n_rings"),
+        F.size("rings").cast("long").alias("n_rings"), F.array_join(corners, ",").alias("boxes"),
     )
 
 
@@ -397,6 +394,55 @@ def style_opacity(spark, sf):
     return rounded(table.select("resolution", "cell", "fill_opacity"), 9)
 
 
+# -- edges: what is written and read again ------------------------------------
+
+def read_tsv(spark, sf):
+    raw = read_occurrences(spark, fixture.raw_file(spark, sf))
+    return rounded(observations.filter_observations(raw))
+
+
+def read_faulty_tsv(spark, sf):
+    raw = read_occurrences(spark, fixture.raw_file(spark, sf, faulty=True))
+    # the locality, which is quoted in some rows, shows behind the observer
+    place = F.coalesce(F.concat(F.lit("|"), "locality"), F.lit(""))
+    return rounded(observations.filter_observations(
+        raw.withColumn("recordedBy", F.concat("recordedBy", place))))
+
+
+def read_utf16_tsv(spark, sf):
+    parts = [
+        observations.filter_observations(
+            read_occurrences(spark, fixture.raw_file(spark, sf, order))
+        ).withColumn("order", F.lit(order))
+        for order in ("UTF-16LE", "UTF-16BE")
+    ]
+    return rounded(parts[0].unionByName(parts[1]))
+
+
+def geojson_lines(spark, sf):
+    path = f"{fixture.shared_folder(spark)}/lines-{uuid.uuid4().hex}"
+    written = write_geojsonseq(fixture.lattice_features(spark, sf), path, RESOLUTIONS, 500)
+    lines = spark.read.text(path)
+    field = lambda name: F.get_json_object("value", f"$.properties.{name}")
+    counts = F.create_map(*(F.lit(x) for pair in written.items() for x in pair))
+    return lines.select(
+        F.col("resolution").cast("int").alias("resolution"), field("h3").alias("h3"),
+        field("count_species").cast("long").alias("count_species"),
+        field("count_observers").cast("long").alias("count_observers"),
+        F.get_json_object("value", "$.geometry.coordinates[0][4]").isNotNull().alias("closed"),
+    ).withColumn("written", counts[F.col("resolution")].cast("long"))
+
+
+def clustered_scores(spark, sf):
+    path = f"{fixture.shared_folder(spark)}/scores-{uuid.uuid4().hex}"
+    rows = write_scores(rounded(fixture.score_table(spark, sf)), path)
+    return read_scores(spark, path).withColumn("written", F.lit(rows).cast("long"))
+
+
+def whole_run(spark, sf):
+    return rounded(fixture.whole_run(spark, sf).table("scores"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -405,11 +451,12 @@ QUERIES: dict[str, Query] = {
         distinct_cell_species_observer, observer_counts_by_cell,
         mean_rarity_cell_observer, observer_baseline, residuals, cell_metrics,
         shannon_neff, confidence, cell_scores, cell_scores_country, hot_key_join,
-        edge_lengths, score_summary, score_summary_ranked, score_summary_json,
+        score_summary, score_summary_ranked, score_summary_json,
         cell_counts, feature_guard, dateline_unwrap, cell_bbox, cell_links, cell_lookup,
         feature_json, hexagon_boundaries, hexagon_features, hexagon_tiles,
         hexagon_cell_scores, zoom_to_resolution, tile_index, tile_thinning,
         tile_coalesce, tile_snap, tile_layer, feature_counts, style_rarity,
-        style_counts, style_defaults, style_opacity,
+        style_counts, style_defaults, style_opacity, read_tsv, read_faulty_tsv,
+        read_utf16_tsv, geojson_lines, clustered_scores, whole_run,
     )
 }

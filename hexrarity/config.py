@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# The resolution of occupancy, and those that are scored.
 OCCUPANCY_RESOLUTION = 5
 RESOLUTIONS = (3, 4, 5, 6, 7)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,11 @@ OBSERVATIONS_URL = "https://www.inaturalist.org/observations"
 
 def complete_scores(scores: DataFrame) -> DataFrame:
     """Rows with a cell and all five score columns."""
-    return scores.dropna(how="any", subset=["cell", *SCORE_COLUMNS])
+    # One condition per column: Parquet can skip row groups by these.
+    complete = F.lit(True)
+    for name in ("cell", *SCORE_COLUMNS):
+        complete = complete & F.col(name).isNotNull()
+    return scores.where(complete)
 
 
 def cell_features(scores: DataFrame) -> DataFrame:
@@ -53,8 +59,10 @@ def cell_bbox(features: DataFrame) -> DataFrame:
 def cell_links(boxed: DataFrame) -> DataFrame:
     """Add ``url``: the public observations inside each cell's bounding box."""
     def degrees(name: str) -> Column:
-        # whole degrees are written without a decimal point
-        return F.regexp_replace(F.col(name).cast("string"), r"\.0$", "")
+        # whole degrees are written without a decimal point, small ones without exponent
+        text = F.col(name).cast("string")
+        plain = F.regexp_replace(F.col(name).cast("decimal(38,20)").cast("string"), r"0+$", "")
+        return F.when(text.contains("E"), plain).otherwise(F.regexp_replace(text, r"\.0$", ""))
 
     query = F.concat_ws("&", *(
         F.concat(F.lit(f"{name}="), F.url_encode(degrees(name)))
@@ -63,6 +71,14 @@ def cell_links(boxed: DataFrame) -> DataFrame:
     return boxed.withColumn("url", F.concat(F.lit(f"{OBSERVATIONS_URL}?"), query))
 
 
-def find_cells(features: DataFrame, *h3: str) -> DataFrame:
-    """Features by exact hex id."""
-    return features.filter(F.col("h3").isin(*h3))
+def find_cells(scores: DataFrame, *h3: str) -> DataFrame:
+    """Features of the cells with these hex ids. A cell's id holds its resolution, so the
+    scan reads only partitions and row groups that can have it, and only what is found
+    is drawn. A text that is no id of 64 bits finds nothing."""
+    ids = [int(h, 16) for h in h3 if re.fullmatch("[0-9a-f]{1,16}", h)]
+    ids = [i for i in ids if i < 2**63 and f"{i:x}" in h3]
+    wanted = scores.where(
+        F.col("resolution").isin(*{i >> 52 & 15 for i in ids})
+        & F.col("cell").isin(*map(F.lit, ids))
+    )
+    return cell_features(wanted)

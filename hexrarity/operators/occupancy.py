@@ -13,25 +13,24 @@ def species_occupancy(
 ) -> DataFrame:
     """One row per species: observations, distinct cells, ``1 / sqrt(cells)``.
 
-    The first grouping has the name among its keys rather than under ``min``: a
-    string minimum would force a sort-based aggregate over all observations,
-    this way the bulk goes through hash aggregation with map-side combine. The
-    key (species, name, cell) also spreads a species that holds many rows.
+    Observations are grouped by species and cell, which spreads a species that holds
+    many rows, and then by species alone. Names have an aggregate of their own, over the
+    few pairs of species and name: a string minimum would make the bulk sort.
     """
     cell = cell_column(resolution)
-    per_cell = (
-        observations.dropna(subset=["speciesKey", cell])
-        .groupBy("speciesKey", "species", cell)
-        .agg(F.count("*").alias("n"))
+    located = observations.where(F.col("speciesKey").isNotNull() & F.col(cell).isNotNull())
+    counts = (
+        located.groupBy("speciesKey", cell).agg(F.count("*").alias("n"))
+        .groupBy("speciesKey")
+        .agg(F.sum("n").alias("n_observations"), F.count("*").alias("occupancy"))
     )
-    return (
-        per_cell.groupBy("speciesKey")
-        .agg(
-            F.min("species").alias("species"),
-            F.sum("n").alias("n_observations"),
-            F.count_distinct(cell).alias("occupancy"),
-        )
-        .withColumn("rarity", 1.0 / F.sqrt(F.col("occupancy").cast("double")))
+    names = (
+        located.select("speciesKey", "species").distinct()
+        .groupBy("speciesKey").agg(F.min("species").alias("species"))
+    )
+    return counts.join(names, "speciesKey").select(
+        "speciesKey", "species", "n_observations", "occupancy",
+        (1.0 / F.sqrt(F.col("occupancy").cast("double"))).alias("rarity"),
     )
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from hexrarity.config import EDGE_LENGTH_M, RESOLUTIONS, cell_column
 from hexrarity.operators.observations import to_long
-from hexrarity.operators.skew import fits_broadcast, join_dimension
+from hexrarity.operators.skew import join_dimension
 
 CELL = ["resolution", "cell"]
 CELL_OBSERVER = [*CELL, "recordedBy"]
@@ -81,8 +81,8 @@ def scored_observations(
 ) -> DataFrame:
     """Long observations that count for scoring: by an observer valid at that
     resolution, and located more precisely than the cell's edge length. ``rarity``
-    is that of the species, NULL if it has no occupancy. Equal rows may come as
-    one row with their number in ``n``.
+    is that of the species, NULL if it has no occupancy. Equal rows come as one row
+    with their number in ``n``.
 
     Validity comes from all observations, precise or not. The coarsest edge is
     applied before the joins, so that the scan can skip row groups by it.
@@ -104,12 +104,11 @@ def scored_observations(
     ).selectExpr(
         "recordedBy", "speciesKey", *cells, f"{_bits(conditions)} AS precise", "1L AS n"
     )
-    if not fits_broadcast(extents, limit_bytes):
-        # Merge an observer's repeats of a species in a place before the shuffles
-        # by a single key: afterwards one observer and species have at most a few
-        # rows per cell, however many copies there were.
-        keys = [c for c in precise.columns if c != "n"]
-        precise = precise.groupBy(*keys).agg(F.count("*").alias("n"))
+    # Merge an observer's repeats of a species in a place before the shuffles by a
+    # single key: afterwards one observer and species have at most a few rows per cell,
+    # however many copies there were.
+    keys = [c for c in precise.columns if c != "n"]
+    precise = precise.groupBy(*keys).agg(F.count("*").alias("n"))
     rated = join_dimension(
         precise,
         occupancy.select("speciesKey", "rarity", "n_observations"),
@@ -146,21 +145,24 @@ def observer_rarity(counts: DataFrame) -> DataFrame:
 
 
 def observer_baseline(rarity: DataFrame) -> DataFrame:
-    """Unweighted mean over an observer's cells of their mean rarity."""
+    """Unweighted mean over an observer's cells of their mean rarity, and their number."""
     return rarity.groupBy("resolution", "recordedBy").agg(
-        F.avg("mean_rarity").alias("baseline")
+        F.avg("mean_rarity").alias("baseline"), F.count("*").alias("observer_cells")
     )
 
 
-def residuals(rarity: DataFrame) -> DataFrame:
+def residuals(rarity: DataFrame, **join_options) -> DataFrame:
     """``observer_rarity`` rows with the deviation from the observer's baseline.
 
-    An observer has at most one row per cell here, and the next step groups by
-    cell, so AQE is free to split a skewed side of this join.
+    An observer has a row per cell here. One name may stand for an institution and hold
+    most cells of a resolution, so an observer with very many cells is salted by cell.
+    (AQE would not split this join: the baseline side is an aggregate.)
     """
-    return rarity.join(
-        observer_baseline(rarity), ["resolution", "recordedBy"]
-    ).withColumn("residual", F.col("mean_rarity") - F.col("baseline"))
+    joined = join_dimension(
+        rarity, observer_baseline(rarity), key=["resolution", "recordedBy"],
+        weight="observer_cells", spread_by=["cell"], **join_options,
+    )
+    return joined.withColumn("residual", F.col("mean_rarity") - F.col("baseline"))
 
 
 def effective_observers(total: Column, sum_n_ln_n: Column) -> Column:
@@ -219,7 +221,7 @@ def score_cells(
         observations, occupancy, resolutions, edge_m, **join_options
     )
     rarity = observer_rarity(species_counts(scored))
-    by_observer = residuals(rarity).selectExpr(
+    by_observer = residuals(rarity, **join_options).selectExpr(
         *CELL, "n", "n * ln(n) AS n_ln_n", "residual", "1 AS observer",
         "CAST(NULL AS BIGINT) AS speciesKey",
     )

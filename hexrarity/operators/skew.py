@@ -32,7 +32,7 @@ def fits_broadcast(df: DataFrame, limit_bytes: int | None = None) -> bool:
 def join_dimension(
     fact: DataFrame,
     dimension: DataFrame,
-    key: str,
+    key: str | list[str],
     weight: str,
     spread_by: list[str],
     how: str = "inner",
@@ -50,28 +50,33 @@ def join_dimension(
     (more than one salt) are broadcast to the fact side; every other key has
     salt 0 on both sides.
 
+    Fact rows whose key the dimension lacks have salt 0 in an outer join; with a stored
+    dimension both sides of that join are plain shuffles, which AQE splits where such a
+    key is hot.
+
     With ``partition`` the result is partitioned by the key and its ``_salt``,
     which stays in it: a grouping by key, salt and more then needs no shuffle.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     if fits_broadcast(dimension, limit_bytes):
         if not partition:
-            return fact.join(F.broadcast(dimension.drop(weight)), key, how)
+            return fact.join(F.broadcast(dimension.drop(weight)), keys, how)
         salts = _salts(weight, rows_per_salt or ROWS_PER_SALT_SMALL)
-        joined = fact.join(F.broadcast(dimension), key, how)
+        joined = fact.join(F.broadcast(dimension), keys, how)
         joined = joined.withColumn("_salt", _pick(spread_by, salts)).drop(weight)
-        return joined.repartition(key, "_salt")
+        return joined.repartition(*keys, "_salt")
 
     salts = _salts(weight, rows_per_salt or ROWS_PER_SALT)
-    hot = dimension.select(key, salts.alias("_salts")).filter("_salts > 1")
+    hot = dimension.select(*keys, salts.alias("_salts")).filter("_salts > 1")
     salted_fact = (
-        fact.join(F.broadcast(hot), key, "left")
+        fact.join(F.broadcast(hot), keys, "left")
         .withColumn("_salt", _pick(spread_by, F.coalesce("_salts", F.lit(1))))
         .drop("_salts")
     )
     salted_dimension = dimension.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
     ).drop(weight)
-    joined = salted_fact.join(salted_dimension, [key, "_salt"], how)
+    joined = salted_fact.join(salted_dimension, [*keys, "_salt"], how)
     return joined if partition else joined.drop("_salt")
 
 

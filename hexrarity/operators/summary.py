@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hexrarity.operators.skew import fits_broadcast
-
 # The quantiles reported per score column.
 TAILS = (0.025, 0.5, 0.975)
 QUANTILES = {
@@ -22,27 +20,20 @@ SKETCH_ACCURACY = 10_000
 SLACK = 4 / SKETCH_ACCURACY
 
 
-def summarize(scores: DataFrame, limit_bytes: int | None = None) -> DataFrame:
-    """One row per resolution: exact interpolated quantiles of five columns.
-
-    ``percentile`` keeps every distinct value of a group in one task, which is
-    only done for a score table of a small estimated size. A larger one goes
-    through ``ranked_quantiles``, with equal results.
-    """
-    if fits_broadcast(scores, limit_bytes):
-        return scores.groupBy("resolution").agg(*(
-            F.percentile(column, F.array(*map(F.lit, probabilities))).alias(name)
-            for column, (name, probabilities) in QUANTILES.items()
-        ))
-    ranked = ranked_quantiles(scores)
-    return ranked.groupBy("resolution").agg(*(
-        F.transform(
-            F.array_sort(F.collect_list(
-                F.when(F.col("column") == column, F.struct("probability", "quantile"))
-            )),
-            lambda entry: entry["quantile"],
-        ).alias(name)
+def summarize(scores: DataFrame) -> DataFrame:
+    """One row per resolution: exact interpolated quantiles of five columns; NULL where a
+    column has no value. No group is gathered anywhere (``ranked_quantiles``)."""
+    lists = {
+        name: F.array_sort(F.collect_list(
+            F.when(F.col("column") == column, F.struct("probability", "quantile"))))
         for column, (name, _) in QUANTILES.items()
+    }
+    ranked = ranked_quantiles(scores).groupBy("resolution").agg(
+        *(entries.alias(name) for name, entries in lists.items()))
+    every = scores.select("resolution").distinct()
+    return every.join(F.broadcast(ranked), "resolution", "left").select("resolution", *(
+        F.when(F.size(name) > 0, F.transform(name, lambda e: e["quantile"])).alias(name)
+        for name in lists
     ))
 
 

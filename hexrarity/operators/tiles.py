@@ -18,6 +18,7 @@ from hexrarity.schemas import SCORE_COLUMNS
 EXTENT = 4096  # tile units per side
 MAX_LATITUDE = 85.0511287798066  # where the square map ends
 TILE = ["resolution", "z", "x", "y"]
+RINGS_PER_ROW = 65_536  # of a coalesced row, on average at most
 
 
 @dataclass(frozen=True)
@@ -142,12 +143,23 @@ def snap_tiles(indexed: DataFrame) -> DataFrame:
 
 def coalesce_tiles(indexed: DataFrame, attributes: Sequence[str] = SCORE_COLUMNS) -> DataFrame:
     """Merge features of a tile whose attributes are all equal: ``rings`` holds
-    their polygons, in a fixed order, and cell ids are not kept. A tile of the coarsest zoom holds at most
-    all cells of the coarsest resolution, so the lists stay small."""
-    return indexed.groupBy(*TILE, *attributes).agg(
+    their polygons, in a fixed order, and cell ids are not kept.
+
+    Where a tile of the zoom can hold more than ``RINGS_PER_ROW`` cells of the
+    resolution, its features are dealt over so many rows by a hash of the cell that a
+    row stays bounded; with the usual zoom plan that is one row.
+    """
+    # There are about 120 * 7^resolution cells, and 4^z tiles; the squares of the map
+    # are not equal in area, hence the factor.
+    cells = F.pow(F.lit(7.0), F.col("resolution")) * 120 / F.pow(F.lit(4.0), F.col("z"))
+    parts = F.greatest(F.ceil(cells / RINGS_PER_ROW), F.lit(1))
+    merged = indexed.withColumn("_part", F.pmod(F.xxhash64("cell"), parts)).groupBy(
+        *TILE, *attributes, "_part"
+    ).agg(
         F.array_sort(F.collect_list("ring")).alias("rings"),
         F.count("*").alias("n_features"),
     )
+    return merged.drop("_part")
 
 
 def tile_features(

@@ -7,32 +7,62 @@ from pyspark.sql import types as T
 from hexrarity.config import RESOLUTIONS, cell_column
 
 # The 50 columns of a raw occurrence download, in file order.
-RAW_COLUMNS = (
-    "gbifID datasetKey occurrenceID kingdom phylum class order family genus species "
-    "infraspecificEpithet taxonRank scientificName verbatimScientificName "
-    "verbatimScientificNameAuthorship countryCode locality stateProvince occurrenceStatus "
-    "individualCount publishingOrgKey decimalLatitude decimalLongitude "
-    "coordinateUncertaintyInMeters coordinatePrecision elevation elevationAccuracy depth "
-    "depthAccuracy eventDate day month year taxonKey speciesKey basisOfRecord "
-    "institutionCode collectionCode catalogNumber recordNumber identifiedBy dateIdentified "
-    "license rightsHolder recordedBy typeStatus establishmentMeans lastInterpreted "
-    "mediaType issue"
-).split()
-
-RAW_LONGS = {"gbifID", "individualCount", "day", "month", "year", "taxonKey", "speciesKey"}
-RAW_DOUBLES = {
-    "decimalLatitude", "decimalLongitude", "coordinateUncertaintyInMeters",
-    "coordinatePrecision", "elevation", "elevationAccuracy", "depth", "depthAccuracy",
-}
-
-
-def _raw_type(name: str) -> T.DataType:
-    if name in RAW_LONGS:
-        return T.LongType()
-    return T.DoubleType() if name in RAW_DOUBLES else T.StringType()
-
-
-RAW = T.StructType([T.StructField(name, _raw_type(name)) for name in RAW_COLUMNS])
+RAW_FIELDS = (
+    ("gbifID", "long"),
+    ("datasetKey", "string"),
+    ("occurrenceID", "string"),
+    ("kingdom", "string"),
+    ("phylum", "string"),
+    ("class", "string"),
+    ("order", "string"),
+    ("family", "string"),
+    ("genus", "string"),
+    ("species", "string"),
+    ("infraspecificEpithet", "string"),
+    ("taxonRank", "string"),
+    ("scientificName", "string"),
+    ("verbatimScientificName", "string"),
+    ("verbatimScientificNameAuthorship", "string"),
+    ("countryCode", "string"),
+    ("locality", "string"),
+    ("stateProvince", "string"),
+    ("occurrenceStatus", "string"),
+    ("individualCount", "long"),
+    ("publishingOrgKey", "string"),
+    ("decimalLatitude", "double"),
+    ("decimalLongitude", "double"),
+    ("coordinateUncertaintyInMeters", "double"),
+    ("coordinatePrecision", "double"),
+    ("elevation", "double"),
+    ("elevationAccuracy", "double"),
+    ("depth", "double"),
+    ("depthAccuracy", "double"),
+    ("eventDate", "string"),
+    ("day", "long"),
+    ("month", "long"),
+    ("year", "long"),
+    ("taxonKey", "long"),
+    ("speciesKey", "long"),
+    ("basisOfRecord", "string"),
+    ("institutionCode", "string"),
+    ("collectionCode", "string"),
+    ("catalogNumber", "string"),
+    ("recordNumber", "string"),
+    ("identifiedBy", "string"),
+    ("dateIdentified", "string"),
+    ("license", "string"),
+    ("rightsHolder", "string"),
+    ("recordedBy", "string"),
+    ("typeStatus", "string"),
+    ("establishmentMeans", "string"),
+    ("lastInterpreted", "string"),
+    ("mediaType", "string"),
+    ("issue", "string"),
+)
+RAW_COLUMNS = [name for name, _ in RAW_FIELDS]
+RAW = T.StructType()
+for _name, _kind in RAW_FIELDS:
+    RAW.add(_name, _kind)
 
 OBSERVATION_COLUMNS = (
     "gbifID", "speciesKey", "species", "decimalLatitude", "decimalLongitude",
@@ -68,3 +98,12 @@ SCORES = T.StructType([
     T.StructField("count_observers", T.LongType()),
     T.StructField("confidence_scores", T.DoubleType()),
 ])
+
+FEATURES = T.StructType([
+    *SCORES.fields,
+    T.StructField("h3", T.StringType()),
+    T.StructField("ring", T.ArrayType(T.StructType([
+        T.StructField("lng", T.DoubleType()),
+        T.StructField("lat", T.DoubleType()),
+    ]))),
+])

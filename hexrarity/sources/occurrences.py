@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hexrarity.schemas import RAW
+from hexrarity.schemas import RAW_COLUMNS, RAW_FIELDS
+
+#: Column of rows with a wrong number of fields.
+FAULT = "_fault"
+QUOTED_FIELD = r'(^|\t)"(?:[^"]|"")*"(?=\t|$)'
 
 
 def detect_encoding(spark: SparkSession, path: str, encoding: str = "auto") -> str:
@@ -27,20 +32,38 @@ def detect_encoding(spark: SparkSession, path: str, encoding: str = "auto") -> s
     return "UTF-8" if name == "auto" else "UTF-16LE"
 
 
-def read_occurrences(spark: SparkSession, path: str, encoding: str = "auto") -> DataFrame:
+def read_occurrences(
+    spark: SparkSession, path: str, encoding: str = "auto", multi_line: bool = False
+) -> DataFrame:
     """Raw occurrences with the fixed schema; nothing is inferred.
 
-    A row with an unreadable number or too few fields is dropped, not an error.
-    Column pruning is off because a pruned parse cannot see missing fields.
+    A row with an unreadable number or too few fields is dropped, not an error; what a
+    row has beyond the last field is ignored. So fields are read as text first: then the
+    parser marks just the rows with a wrong number of fields, of which the longer ones
+    stay, and numbers are cast one by one. Column pruning is off because a pruned parse
+    cannot see missing fields.
+
+    ``multi_line`` lets a quoted field hold line breaks; such a file is not split.
     """
     charset = detect_encoding(spark, path, encoding)
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in (*RAW_COLUMNS, FAULT)])
     reader = (
-        spark.read.schema(RAW)
+        spark.read.schema(texts)
         .option("sep", "\t").option("header", True)
         .option("quote", '"').option("escape", '"')
-        .option("mode", "DROPMALFORMED").option("columnPruning", False)
-        .option("encoding", charset)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", FAULT)
+        .option("columnPruning", False)
+        .option("multiLine", multi_line).option("encoding", charset)
     )
     if charset.upper().startswith("UTF-16"):
         reader = reader.option("lineSep", "\n")
-    return reader.csv(path)
+    # Separators of a marked row: those outside quoted fields.
+    plain = F.regexp_replace(FAULT, QUOTED_FIELD, "$1")
+    separators = F.length(plain) - F.length(F.replace(plain, F.lit("\t"), F.lit("")))
+    raw = reader.csv(path).where(F.col(FAULT).isNull() | (separators >= len(RAW_COLUMNS)))
+    typed = {
+        name: F.col(name).try_cast(kind) for name, kind in RAW_FIELDS if kind != "string"
+    }
+    for name, number in typed.items():
+        raw = raw.where(F.col(name).isNull() | number.isNotNull())
+    return raw.select(*(typed.get(name, F.col(name)).alias(name) for name in RAW_COLUMNS))

@@ -51,8 +51,9 @@ def test_bbox_and_link(spark):
     query = parse_qs(urlsplit(row["url"]).query)
     assert float(query["nelat"][0]) == row["nelat"] and query["subview"] == ["map"]
     assert query["quality_grade"] == ["research"] and row["url"].startswith("https://")
-    assert find_cells(cell_features(scores), "85283473fffffff").count() == 1
-    assert find_cells(cell_features(scores), "85283473ffffff").count() == 0
+    assert find_cells(scores, "85283473fffffff").count() == 1
+    assert find_cells(scores, "85283473ffffff").count() == 0
+    assert find_cells(scores, "no id", "", "85283473FFFFFFF").count() == 0
 
 
 def test_plan_arguments():

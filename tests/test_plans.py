@@ -8,12 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import fixture
-from hexrarity.operators.features import cell_features
+from hexrarity.operators.features import cell_features, find_cells
 from hexrarity.operators.observations import assign_cells
 from hexrarity.operators.occupancy import species_occupancy
-from hexrarity.operators.scores import score_cells, valid_observers
+from hexrarity.operators.scores import residuals, score_cells, valid_observers
 from hexrarity.operators.skew import estimated_bytes
 from hexrarity.operators.tiles import tile_features
+from hexrarity.sources.tables import read_scores, write_scores
 
 SF = "/root/testdata/sf0.001"
 
@@ -77,7 +78,8 @@ def test_large_scores(spark, observations, occupancy):
     assert sum(k.startswith("speciesKey") and "_salt" in k for k in keys) >= 2
     for line in text.splitlines():
         if "BroadcastHashJoin" in line:
-            assert re.search(r"BroadcastHashJoin \[(recordedBy|speciesKey)#\d+L?\],", line)
+            assert re.search(
+                r"BroadcastHashJoin \[(resolution#\d+, )?(recordedBy|speciesKey)#\d+L?\],", line)
     assert "SortAggregate" not in text
     # species are counted within the partitioning of the join with observers
     assert not any("cell#" in k and "speciesKey" in k and "recordedBy" in k for k in keys)
@@ -112,5 +114,33 @@ def test_boundaries_are_drawn_once(spark):
     assert "Exchange" not in text
 
 
+def test_scores_are_pruned_before_they_are_drawn(spark, tmp_path):
+    path = str(tmp_path / "scores")
+    write_scores(fixture.hexagon_score_table(spark, SF), path)
+    stored = read_scores(spark, path)
+    wanted = stored.groupBy("resolution").agg(F.max(F.hex("cell")).alias("h3")).where("resolution = 5").first()
+    text = find_cells(stored, wanted["h3"].lower())._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(resolution" in text and "(resolution#" in text
+    assert "EqualTo(cell," in text and "IsNotNull(rarity_zscore)" in text
+
+
+def test_hot_observer_is_split(spark):
+    """One observer with two thirds of the cells: no task of the residual join gets much
+    more than its share."""
+    rows = spark.range(30_000).selectExpr(
+        "5 AS resolution", "id AS cell", "CASE WHEN id % 3 < 2 THEN 'hot' ELSE concat('o', id % 500) END AS recordedBy",
+        "1L AS n", "CAST(id % 7 AS DOUBLE) AS mean_rarity")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        joined = residuals(rows, limit_bytes=0, rows_per_salt=500)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 30_000 and max(sizes) < 2 * 30_000 / 8
+
+
 def test_size_estimate(spark):
     assert estimated_bytes(spark.range(1000)) == 8000

@@ -45,6 +45,8 @@ def ids(spark, path, *columns, **options):
 
 
 FAULTS = {
+    "too many fields": (line(gbifID="2") + "\tone\tmore", True),
+    "last field empty": (line(gbifID="2", issue=""), True),
     "bad number": (line(gbifID="2", decimalLatitude="north"), False),
     "bad id": (line(gbifID="two"), False),
     "too few fields": ("2\tx\ty", False),

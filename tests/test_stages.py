@@ -7,14 +7,11 @@ import random
 
 import pytest
 
-from hexrarity import (
-    CellScoreConfig, PipelineConfig, TileGenerationConfig, ZoomPlan, compute_cell_scores,
-    generate_tiles, run_pipeline,
-)
+from hexrarity.operators.observations import observation_stats
+from hexrarity.operators.tiles import ZoomPlan
 from hexrarity.plans.stages import (
-    count_cell_scores, filtered_observation_stats, species_occupancy_stats,
+    Store, clean, count_species, draw, export_lines, in_order, run, score, tile,
 )
-from hexrarity.sources.tables import read_scores, read_summary
 from tests.test_sources import line, write
 
 
@@ -35,74 +32,75 @@ def raw(tmp_path_factory):
 
 
 def test_whole_run_and_restart(spark, raw, tmp_path):
-    base = str(tmp_path)
-    config = PipelineConfig(raw, base, geojsonseq_path=f"{base}/geo", country_code="it")
+    store = Store(spark, str(tmp_path), {"lines": f"{tmp_path}/geo"})
     told = []
-    results = run_pipeline(spark, config, lambda step, label: told.append(step))
-    assert told == [1, 2, 3, 4] and [r.step for r in results] == told
-    assert all(r.elapsed_seconds > 0 for r in results)
-
-    stats = filtered_observation_stats(spark, f"{base}/observations")
+    # the order comes from the tables, not from the list
+    stages = [tile(), export_lines(), draw(), score(), count_species(), clean(raw, country="it")]
+    reports = run(store, stages, told.append)
+    assert told == ["clean observations", "count species", "score cells", "draw cells",
+                    "tile features", "export lines"]
+    assert [r.title for r in reports] == told and all(r.seconds > 0 for r in reports)
+
+    stats = observation_stats(store.table("observations")).first()
     assert 200 < stats["n_observations"] < 400 and stats["n_species"] == 15
-    assert species_occupancy_stats(spark, f"{base}/species_occupancy")["n_species"] == 15
-    counts = count_cell_scores(spark, f"{base}/cell_scores")
+    assert reports[0].found == {"observations": stats["n_observations"]}
+    assert reports[1].found == {"species": 15} and store.table("species").count() == 15
+    counts = reports[3].found["features"]
     assert set(counts) == {3, 4, 5, 6, 7} and all(counts.values())
+    assert reports[5].found["lines"] == counts
     lines = [
         text for f in (tmp_path / "geo").glob("*/part-*") for text in f.read_text().splitlines()
     ]
     assert len(lines) == sum(counts.values())
-    summary = {r["resolution"]: r for r in read_summary(spark, f"{base}/summary").collect()}
+    summary = {r["resolution"]: r for r in store.table("summary").collect()}
     assert set(summary) == set(counts) and len(summary[3]["rarity_quantiles"]) == 4
-    tiles = spark.read.parquet(f"{base}/tiles")
+    assert reports[2].found["summary"] == {k: r.asDict() for k, r in summary.items()}
+    tiles = store.table("tiles")
+    assert tiles.count() == reports[4].found["tile rows"]
     assert {r[0] for r in tiles.select("layer").distinct().collect()} == {"rarity_cells"}
     assert {r[0] for r in tiles.select("h3").distinct().collect()} == {
         json.loads(text)["properties"]["h3"] for text in lines
     }
 
-    before = sorted(read_scores(spark, f"{base}/cell_scores").select("resolution", "cell").collect())
-    again = run_pipeline(spark, PipelineConfig(raw, base, start_at=2, stop_after=3))
-    assert [r.step for r in again] == [2, 3]
-    after = sorted(read_scores(spark, f"{base}/cell_scores").select("resolution", "cell").collect())
-    assert after == before
+    cells = lambda: sorted(store.table("scores").select("resolution", "cell").collect())
+    before = cells()
+    again = run(store, [score(), count_species()])
+    assert [r.title for r in again] == ["count species", "score cells"]
+    assert cells() == before
+
+
+def test_wanted_resolutions_only(spark, raw, tmp_path):
+    store = Store(spark, str(tmp_path))
+    run(store, [clean(raw), count_species(), score()])
+    plan = ZoomPlan((5,), ((0, 3),))
+    drawn, tiled = run(store, [draw((5,)), tile(plan, coalesce=True, drop_rate=2.0)])
+    assert set(drawn.found["features"]) == {5}
+    assert drawn.found["features"][5] == store.table("scores").where("resolution = 5").count()
+    assert {r[0] for r in store.table("tiles").select("resolution").distinct().collect()} == {5}
+    with pytest.raises(ValueError, match="resolutions \\[8\\]"):
+        run(store, [draw((8,))])
 
 
-@pytest.mark.parametrize("start,stop", [(3, 2), (0, 2), (1, 5)])
-def test_run_arguments(spark, start, stop):
-    with pytest.raises(ValueError):
-        run_pipeline(spark, PipelineConfig("x", "y", start_at=start, stop_after=stop))
+def test_order_and_missing_tables(spark, tmp_path):
+    titles = [s.title for s in in_order([draw(), clean("x"), score(), count_species()])]
+    assert titles == ["clean observations", "count species", "score cells", "draw cells"]
+    with pytest.raises(ValueError, match="same table"):
+        in_order([draw(), draw()])
+    with pytest.raises(FileNotFoundError, match="observations"):
+        run(Store(spark, str(tmp_path)), [count_species()])
 
 
-def test_tile_arguments(spark):
+def test_tile_arguments():
     with pytest.raises(ValueError, match="drop_rate"):
-        generate_tiles(spark, TileGenerationConfig("x", "y", drop_rate=0))
+        tile(drop_rate=0)
     with pytest.raises(ValueError, match="one zoom range"):
-        generate_tiles(spark, TileGenerationConfig("x", "y", resolutions=(3,)))
-    with pytest.raises(ValueError, match="geojsonseq_path"):
-        generate_tiles(spark, TileGenerationConfig("x", "y", geojsonseq_only=True))
+        ZoomPlan((3,))
     assert ZoomPlan((3,), ((0, 0),)).zoom_ranges == ((0, 0),)
 
 
-def test_lines_only(spark, raw, tmp_path):
-    base = str(tmp_path)
-    run_pipeline(spark, PipelineConfig(raw, base, stop_after=3))
-    counts = generate_tiles(spark, TileGenerationConfig(
-        f"{base}/cell_scores", f"{base}/tiles", f"{base}/geo", geojsonseq_only=True,
-    ))
-    assert counts == count_cell_scores(spark, f"{base}/cell_scores")
-    assert not (tmp_path / "tiles").exists()
-    # without lines the counts come from the score table
-    counted = generate_tiles(spark, TileGenerationConfig(
-        f"{base}/cell_scores", f"{base}/tiles", coalesce=True, drop_rate=2.0,
-    ))
-    assert counted == counts
-
-
 def test_nothing_to_score(spark, tmp_path):
     path = write(tmp_path / "raw.tsv", [line(), line(gbifID="2")])
-    base = str(tmp_path)
-    run_pipeline(spark, PipelineConfig(path, base, stop_after=2))
-    with pytest.raises(ValueError, match="No cells"):
-        compute_cell_scores(spark, CellScoreConfig(
-            f"{base}/observations", f"{base}/species_occupancy", f"{base}/cell_scores",
-            f"{base}/summary",
-        ))
+    store = Store(spark, f"{tmp_path}/run")
+    run(store, [clean(path), count_species()])
+    with pytest.raises(ValueError, match="no cell could be scored"):
+        run(store, [score()])

@@ -24,12 +24,11 @@ def score_rows(sizes, seed=3):
             yield (resolution, i, float(rarity[i]), *(int(c) for c in counts[:, i]), float(share[i]))
 
 
-@pytest.mark.parametrize("limit", [None, 0])
 @pytest.mark.parametrize("sizes", [{3: 1, 4: 2, 5: 3, 6: 10}, {3: 41, 7: 60_000}])
-def test_exact_interpolated_quantiles(spark, limit, sizes):
+def test_exact_interpolated_quantiles(spark, sizes):
     rows = list(score_rows(sizes))
     df = spark.createDataFrame(rows, SCHEMA)
-    got = {r["resolution"]: r for r in summarize(df, limit_bytes=limit).collect()}
+    got = {r["resolution"]: r for r in summarize(df).collect()}
     names = [field.split()[0] for field in SCHEMA.split(", ")]
     assert set(got) == set(sizes)
     for resolution in sizes:
@@ -39,6 +38,22 @@ def test_exact_interpolated_quantiles(spark, limit, sizes):
             assert got[resolution][name] == pytest.approx(list(expected), rel=1e-12)
 
 
+def test_columns_without_values(spark):
+    """A column that is NULL throughout has no list, at any size of the table; a
+    resolution without any value still has a row."""
+    for sizes in ({3: 5, 4: 5, 5: 5}, {3: 20_000, 4: 20_000, 5: 20_000}):
+        rows = [
+            (r[0], r[1], None if r[0] == 3 else r[2], *((None,) * 4 if r[0] == 5 else r[3:]))
+            if r[0] != 5 else (r[0], r[1], *(None,) * 5)
+            for r in score_rows(sizes)
+        ]
+        got = {r["resolution"]: r for r in summarize(spark.createDataFrame(rows, SCHEMA)).collect()}
+        assert set(got) == {3, 4, 5}
+        assert got[3]["rarity_quantiles"] is None and len(got[3]["count_species_quantiles"]) == 3
+        assert len(got[4]["rarity_quantiles"]) == 4
+        assert all(got[5][name] is None for name, _ in QUANTILES.values())
+
+
 def test_written_summary(spark, tmp_path):
     summary = summarize(spark.createDataFrame(list(score_rows({5: 4, 3: 5})), SCHEMA))
     write_summary(summary, str(tmp_path / "summary"))
