@@ -97,7 +97,7 @@ def duckdb_seconds(spark: SparkSession) -> dict[str, float]:
     sql["score_summary"] = oracle.ORACLE["score_summary"]
     sql["tile_index"] = oracle.ORACLE["tile_index"]
     sql["style_rarity"] = oracle.ORACLE["style_rarity"]
-    return {name: timed(lambda: connection.execute(text).to_arrow_table(), 2)
+    return {name: timed(lambda: connection.execute(text).to_arrow_table())
             for name, text in sql.items()}
 
 
