@@ -103,4 +103,3 @@ QUERIES = {
         op5_html_extraction, op6_sharding, op7_url_filters, op8_embedding_near_dedup,
         op9_toxicity, op10_ngram_jaccard_join)
 }
-ORACLE: dict[str, str] = {}
