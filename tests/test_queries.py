@@ -29,4 +29,5 @@ def test_contract(spark):
 
 @pytest.mark.parametrize("name", sorted(driver.queries()))
 def test_query(spark, connection, name):
-    assert differences(spark, connection, SF, name) == ""
+    queries, oracle = driver.queries(), driver.oracle_sql()
+    assert differences(spark, connection, SF, name, queries, oracle) == ""
