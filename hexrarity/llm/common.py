@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Entries of a worker's word cache; it is emptied when full.
-CACHE_WORDS = 900_000
+CACHE_WORDS = 600_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -75,9 +75,12 @@ class WordCache(dict):
 
 
 def worker_cache(key: tuple, make_all):
-    """``make_all()`` once per worker process and key."""
-    store = worker_store()
+    """``make_all()`` once per worker process and key. A worker keeps the latest key's
+    value only: the stages of a pipeline follow each other, and their caches would add
+    up."""
+    store = worker_store().setdefault("held", {})
     if key not in store:
+        store.clear()
         store[key] = make_all()
     return store[key]
 

@@ -26,12 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexrarity.llm import common
-from hexrarity.llm.common import CACHE_WORDS, ranked_within, stored, texts, worker_cache
+from hexrarity.llm.common import ranked_within, stored, texts, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CAPACITY = 4096
 END_ID = 1
+#: Chunks whose ids a worker keeps.
+CACHE_CHUNKS = 900_000
 
 #: A run of plain letters, then plain signs: the tokenizer's own pattern parts the two,
 #: and neither has an apostrophe, a digit or a character that normalizing would change.
@@ -51,7 +53,7 @@ class ChunkIds:
 
     def learn(self, chunks: set[str]) -> None:
         new = [c for c in chunks if c not in self.ids]
-        if len(self.ids) + len(new) > CACHE_WORDS:
+        if len(self.ids) + len(new) > CACHE_CHUNKS:
             self.ids, new = {"": b""}, list(chunks - {""})
         parts = [LETTERS_SIGNS.fullmatch(c) for c in new]
         roots = {

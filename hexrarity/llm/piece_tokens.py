@@ -83,9 +83,9 @@ class Vocabulary:
             self.automaton.add_word(piece, (i, len(piece)))
             self.side_by_side.update(piece[k : k + 2] for k in range(len(piece) - 1))
         self.automaton.make_automaton()
-        self.compatible = WordCache(self._compatible, 4_000_000)
+        self.compatible = WordCache(self._compatible, 1_000_000)
         self.width = len(ids)
-        self.parts = WordCache(self._part)
+        self.parts = WordCache(self._part, 200_000)
         self.units = WordCache(self._unit)
         self.words = WordCache(lambda word: self._unit(MARK + word))
         self.begin = self.bos.to_bytes(4, "little")

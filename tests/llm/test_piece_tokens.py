@@ -49,7 +49,7 @@ def test_extremes(vocabulary, library, text):
 def test_cache_may_empty(vocabulary, library):
     vocabulary.words.limit = vocabulary.parts.limit = 3
     agree(vocabulary, library, "some words that do not fit into three places of a cache")
-    vocabulary.words.limit = vocabulary.parts.limit = 900_000
+    vocabulary.words.limit = vocabulary.parts.limit = 200_000
 
 
 def test_rows(spark, documents, clash, library):
