@@ -24,7 +24,6 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexrarity.llm import common
 from hexrarity.llm.common import components, merge_links, stored, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -26,7 +26,6 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexrarity.llm import common
 from hexrarity.llm.chain import best_path, fitted
 from hexrarity.llm.common import digest, texts, worker_cache
 

@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hexrarity.llm import common, toxicity
+from hexrarity.llm import toxicity
 from hexrarity.llm.common import WordCache, digest, texts, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
