@@ -97,7 +97,7 @@ def _pairs_of_blocks(cosine: float):
         for rows in np.split(np.arange(len(ids)), bounds):
             if len(rows) < 2:
                 continue
-            x = np.frombuffer(b"".join(units[rows[0] : rows[-1] + 1].slice(0).to_pylist())).reshape(len(rows), -1)
+            x = np.frombuffer(b"".join(units[rows[0] : rows[-1] + 1].to_pylist())).reshape(len(rows), -1)
             low, high = keys[1, rows[0]], keys[2, rows[0]]
             left = rows if low == high else rows[block[rows] == low]
             right = rows if low == high else rows[block[rows] == high]
@@ -139,7 +139,6 @@ def linked(vectors: DataFrame, cosine: float = COSINE, id_column: str = "vec_id"
     vectors link. Ids are whole numbers; rows with equal ids are counted separately. An
     empty table gives an empty one. Other columns are not returned.
     """
-    spark = vectors.sparkSession
     vector = F.col("_vector")
     usable = (
         F.col("_label").isNotNull() & vector.isNotNull() & (F.size(vector) > 0)

@@ -222,14 +222,18 @@ def _judge(docs: DataFrame, model: Model):
 
     def judge(found: list[str]):
         own, cache = worker_cache(key, load)
-        tokens = [t.split() for t in found]
-        lengths = np.array([len(t) for t in tokens], np.int64)
+        # (Text by text: the words of thousands of texts would fill much memory.)
+        weights = [
+            np.fromiter(map(cache.__getitem__, words), np.float64, len(words))
+            for t in found for words in (t.split(),)
+        ]
+        lengths = np.array([len(w) for w in weights], np.int64)
         starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
-        weight = np.fromiter((cache[w] for t in tokens for w in t), np.float64, int(lengths.sum()))
         full = np.flatnonzero(lengths)
-        largest, total = np.zeros(len(tokens)), np.zeros(len(tokens))
+        largest, total = np.zeros(len(found)), np.zeros(len(found))
         p = np.empty(0)
         if len(full):
+            weight = np.concatenate(weights)
             p = messages(weight, starts[full], lengths[full], own.start, own.potential)
             largest[full] = np.maximum.reduceat(p, starts[full])
             total[full] = np.add.reduceat(p, starts[full])
