@@ -13,9 +13,10 @@ probing the whole sorted shingle sets, long lists included, with binary search,
 if the overlap reaches the required one.
 
 Documents with equal sets are one class. Only components are asked for, so a list
-proposes the pairs of one member with the others first; pairs that these links have
-already joined need no look, and only the rest is proposed in later rounds. A group of
-thousands of near copies so costs a few pairs per member, not the square of its size.
+proposes the pairs of its first member with the others. Classes that these links leave
+apart, though their lists hang together, are then compared in blocks with their whole
+sets; classes that are joined already need no look at each other. A group of thousands of
+near copies so costs a pair per member and what its first member did not reach.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexrarity.llm.common import components, stored
+from hexrarity.llm.common import components, merge_links, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -44,10 +45,10 @@ COUNTED = 1_500_000
 BUCKET = 60_000
 #: Class ids broadcast at most (8 bytes each); beyond, the join shuffles.
 BROADCAST_IDS = 1_000_000
-#: Rounds in which a list proposes only a few pairs of any two of its components, and how
-#: many; one link makes the others needless.
-SPARING_ROUNDS = 3
-FEW = 2
+#: Classes of a block that is compared with others at a time.
+BLOCK = 512
+#: Rows that a task of such comparisons takes at a time, about.
+GROUP = 2048
 
 POSTING = np.dtype([("shingle", "<u8"), ("cls", "<u8")])
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -199,55 +200,56 @@ def _repeated(table: pa.Table) -> pa.Table:
     return pa.table({"shingle": _signed(rows["shingle"]), "cls": _signed(rows["cls"])})
 
 
-def _compatible(na, nb, percent: int):
-    na, nb = na.astype(np.int64), nb.astype(np.int64)
-    return 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
-
-
-def _more_pairs(turn: int, percent: int):
-    """Pairs of a list's members that no link has joined yet. ``open`` tells whether some
-    list has more of them than it proposes in this round."""
-
-    def of_list(c, size, r):
-        """(pairs, whether there are more)."""
-        order = np.lexsort(((c * (2 * turn + 3)) & 0xFFFFFFFF, r))
-        c, size, r = c[order], size[order], r[order]
-        if turn < SPARING_ROUNDS:
-            # Each component's first few members stand for it.
-            bounds = np.flatnonzero(np.diff(r)) + 1
-            nth = np.arange(len(r)) - np.repeat(
-                np.concatenate([[0], bounds]), np.diff(np.concatenate([[0], bounds, [len(r)]])))
-            few = nth < FEW
-            c, size, r, more = c[few], size[few], r[few], not few.all()
-        else:
-            more = False
-        made = []
-        for k in range(len(r) - 1):
-            other = np.flatnonzero(
-                (r[k + 1 :] != r[k]) & _compatible(size[k + 1 :], size[k : k + 1], percent)) + k + 1
-            made.append(np.stack([np.minimum(c[k], c[other]), np.maximum(c[k], c[other])]))
-        return np.concatenate(made, axis=1), more
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]):
+    """(i, number of shingles that left i shares with each of right), for each i. The
+    shingles of ``right`` are numbered once; a set of ``left`` is marked among them by
+    binary search and counted set by set."""
+    names, codes = np.unique(np.concatenate(right), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum([len(x) for x in right])[:-1]])
+    marked = np.zeros(len(names), np.int32)
+    for i, own in enumerate(left):
+        at = np.searchsorted(names, own)
+        at[at == len(names)] = 0
+        at = at[names[at] == own]
+        marked[at] = 1
+        yield i, np.add.reduceat(marked[codes], starts)
+        marked[at] = 0
+
+
+def _links_between(percent: int):
+    """Spanning links of the similar pairs between two blocks (or within one) of classes
+    with different roots."""
 
     def run(table: pa.Table) -> pa.Table:
-        shingle = table.column("shingle").to_numpy()
-        order = np.argsort(shingle, kind="stable")
-        cls = table.column("cls").to_numpy()[order]
-        n = table.column("n").to_numpy()[order]
-        root = table.column("root").to_numpy()[order]
-        bounds = np.flatnonzero(np.diff(shingle[order])) + 1
-        found, left = [], False
-        for c, size, r in zip(np.split(cls, bounds), np.split(n, bounds),
-                              np.split(root, bounds), strict=True):
-            if (r == r[0]).all():
+        tile = table.column("tile").to_numpy()
+        order = np.argsort(tile, kind="stable")
+        cls, root, side = (table.column(c).to_numpy()[order] for c in ("cls", "root", "side"))
+        blobs = table.column("shingles").combine_chunks().take(pa.array(order))
+        bounds = np.flatnonzero(np.diff(tile[order])) + 1
+        found: list = []
+        for rows in np.split(np.arange(len(order)), bounds):
+            sets = [np.frombuffer(blobs[k].as_buffer(), np.uint64) for k in rows.tolist()]
+            sizes = np.array([len(x) for x in sets])
+            within = (side[rows] == 2).all()
+            left = np.flatnonzero(side[rows] != 1)
+            right = np.flatnonzero(side[rows] != 0)
+            if not len(left) or not len(right):
                 continue
-            pairs, more = of_list(c, size, r)
-            left |= more
-            found.append(pairs)
-            if len(found) > 500:
-                found = [np.unique(np.concatenate(found, axis=1), axis=1)]
-        pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.empty((2, 0), np.int64)
-        return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1]),
-                         "open": pa.array([left] * pairs.shape[1], pa.bool_())})
+            for i, shared in overlaps([sets[k] for k in left], [sets[k] for k in right]):
+                k = left[i]
+                near = (100 * shared >= percent * (sizes[k] + sizes[right] - shared)) & (
+                    root[rows[right]] != root[rows[k]])
+                if within:
+                    near &= right > k
+                if near.any():
+                    other = cls[rows[right[near]]]
+                    found.append(np.stack([np.full(len(other), cls[rows[k]]), other]))
+        if not found:
+            return pa.table({"a": pa.nulls(0, pa.int64()), "b": pa.nulls(0, pa.int64())})
+        a, b = np.concatenate(found, axis=1)
+        member, top = merge_links(a, b)
+        other = member != top
+        return pa.table({"a": member[other], "b": top[other]})
 
     return run
 
@@ -278,6 +280,50 @@ def _verified(percent: int):
     return run
 
 
+def _roots(links: DataFrame, name: str) -> DataFrame:
+    return components(links, "a", "b").withColumnRenamed("node", name)
+
+
+def _between_roots(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between classes of a family that have different roots so far.
+
+    A root with a block's worth of classes has blocks of its own, which need not be
+    compared with each other; the classes of smaller roots share blocks. Tasks take
+    pairs of blocks with the whole sets, so no pair is written and no family is in one
+    task.
+    """
+    sizes = members.groupBy("family", "root").agg(F.count(F.lit(1)).alias("_n"))
+    mixed = sizes.groupBy("family").agg(
+        F.count(F.lit(1)).alias("_roots"),
+        F.sum(F.when(F.col("_n") < BLOCK, F.col("_n")).otherwise(0)).alias("_small"))
+    mixed = mixed.where("_roots > 1")
+    # own: the root whose blocks these are, or NULL for the shared ones.
+    plan = stored(sizes.join(mixed, "family").select(
+        "family", "root", F.when(F.col("_n") >= BLOCK, F.col("root")).alias("own"),
+        F.greatest(F.ceil(F.when(F.col("_n") >= BLOCK, F.col("_n")).otherwise(F.col("_small")) / BLOCK),
+                   F.lit(1)).cast("int").alias("blocks")))
+    name = F.xxhash64(F.coalesce(F.col("own"), F.lit(0)), F.col("own").isNull(), F.col("block"))
+    placed = members.join(plan, ["family", "root"]).withColumn(
+        "block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    placed = placed.select("cls", "family", "root", "own", name.alias("name"))
+    others = stored(
+        plan.select("family", "own", "blocks").distinct()
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("family", F.col("own").alias("_own"), name.alias("_name")))
+    tiles = placed.join(others, "family").where(
+        F.col("own").isNull() | F.col("_own").isNull() | (F.col("own") != F.col("_own")))
+    tiles = tiles.select(
+        "cls", "root",
+        F.xxhash64("family", F.least("name", "_name"), F.greatest("name", "_name")).alias("tile"),
+        F.when(F.col("name") == F.col("_name"), 2).when(F.col("name") < F.col("_name"), 0)
+        .otherwise(1).alias("side"))
+    tiles = stored(tiles)
+    groups = max(1, tiles.count() // GROUP)
+    return (
+        tiles.join(sets, "cls").withColumn("_group", F.pmod(F.col("tile"), F.lit(groups)))
+        .groupBy("_group").applyInArrow(_links_between(percent), "a long, b long"))
+
+
 def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
            id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, ``n_shingles``, ``component_id``) of every row of ``docs``.
@@ -334,35 +380,22 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         .where((F.col("_first.cls") != F.col("cls"))
                & (100 * F.least(*sizes) >= percent * F.greatest(*sizes)))
         .select(F.col("_first.cls").alias("a"), F.col("cls").alias("b")).distinct())
-    done = pairs
     links = stored(verify(pairs))
-    turn = 0
-    while True:
-        roots = components(
-            links.join(classes.select(F.col("key").alias("a"), F.col("rep").alias("_ra")), "a")
-            .join(classes.select(F.col("key").alias("b"), F.col("rep").alias("_rb")), "b"),
-            "_ra", "_rb")
-        of_class = stored(
-            classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-            .select("key", F.coalesce("root", "rep").alias("root")))
-        if turn > SPARING_ROUNDS:
-            break
-        around = lists.join(of_class.withColumnRenamed("key", "cls"), "cls")
-        mixed = around.groupBy("shingle").agg(
-            F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low < _high")
-        rest = around.join(mixed.select("shingle"), "shingle")
-        more = stored(
-            rest.withColumn("bucket", F.pmod(F.shiftright("shingle", 9), F.lit(buckets)))
-            .groupBy("bucket").applyInArrow(_more_pairs(turn, percent), "a long, b long, open boolean"))
-        new = stored(more.select("a", "b").distinct().join(done, ["a", "b"], "left_anti"))
-        if not new.take(1):
-            if not more.where("open").take(1):
-                break
-            turn += 1
-            continue
-        done = done.unionByName(new)
-        links = links.unionByName(stored(verify(new)))
-        turn = turn + 1 if more.where("open").take(1) else SPARING_ROUNDS + 1
+    # All classes that share a list are of one family; whoever links is, too.
+    families = components(pairs, "a", "b")
+    members = stored(
+        candidates.join(families.withColumnRenamed("node", "cls"), "cls", "left")
+        .select("cls", F.coalesce("root", "cls").alias("family"))
+        .join(_roots(links, "cls"), "cls", "left")
+        .select("cls", "family", F.coalesce("root", "cls").alias("root")))
+    links = links.unionByName(stored(_between_roots(members, sets, percent)))
+    roots = components(
+        links.join(classes.select(F.col("key").alias("a"), F.col("rep").alias("_ra")), "a")
+        .join(classes.select(F.col("key").alias("b"), F.col("rep").alias("_rb")), "b"),
+        "_ra", "_rb")
+    of_class = stored(
+        classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+        .select("key", F.coalesce("root", "rep").alias("root")))
     return own.join(of_class, "key", "left").select(
         F.col("_id").alias(id_column), F.col("n").alias("n_shingles"),
         F.coalesce("root", "_id").alias("component_id"))

@@ -94,6 +94,8 @@ def test_shingle_join_rounds(spark, monkeypatch):
     monkeypatch.setattr(shingle_join, "SIGHTINGS", 2)
     monkeypatch.setattr(shingle_join, "BROADCAST_IDS", 0)
     monkeypatch.setattr(shingle_join, "BUCKET", 50)
+    monkeypatch.setattr(shingle_join, "BLOCK", 7)
+    monkeypatch.setattr(shingle_join, "GROUP", 20)
     rng = random.Random(9)
     words = [f"w{k}" for k in range(60)]
     text = [rng.choice(words) for _ in range(80)]
