@@ -8,8 +8,8 @@ stops when its kth verified distance is within this proven radius; the others go
 Equal codes are one entry; as answers are ordered by distance and id, an entry needs only
 its k + 1 smallest ids.
 
-Where the ball of the next radius holds more values than there are codes, looking
-them up costs more than reading the codes: the queries still open then compare with all
+Where looking up the ball of the next radius costs more than reading all codes, the
+queries still open then compare with all
 codes, in blocks of queries against blocks of codes, which is exact too.
 """
 
@@ -29,6 +29,8 @@ from hexrarity.llm.common import stored
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BITS = 64
+#: Codes that can be compared in a block for the cost of one lookup.
+LOOKUP = 64
 #: Codes and queries of a block of the closing comparison.
 CODES = 16_384
 QUERIES = 1024
@@ -115,7 +117,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, id_column: str, code: s
         if not open_queries.take(1):
             break
         lookups = sum(math.comb(bits, flips) for _, bits in parts if flips <= bits)
-        if lookups == 0 or lookups > count:
+        if lookups == 0 or lookups * LOOKUP > count:
             answered.append(_compared(open_queries, entries, k))
             break
         probes = open_queries.select("query", F.explode(F.array(*[
