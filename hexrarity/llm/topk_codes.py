@@ -9,8 +9,8 @@ Equal codes are one entry; as answers are ordered by distance and id, an entry n
 its k + 1 smallest ids.
 
 Where looking up the ball of the next radius costs more than reading all codes, the
-queries still open then compare with all
-codes, in blocks of queries against blocks of codes, which is exact too.
+queries still open then compare with all codes, in blocks of queries against blocks of
+codes, which is exact too.
 """
 
 from __future__ import annotations
@@ -29,8 +29,9 @@ from hexrarity.llm.common import stored
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BITS = 64
-#: Codes that can be compared in a block for the cost of one lookup.
-LOOKUP = 64
+#: Codes that can be compared in a block (some nanoseconds each) for the cost of one
+#: lookup (a row made, shuffled and joined).
+LOOKUP = 256
 #: Codes and queries of a block of the closing comparison.
 CODES = 16_384
 QUERIES = 1024

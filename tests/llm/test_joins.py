@@ -198,7 +198,7 @@ def nearest_by_brute_force(rows, queries, k):
 def test_topk(spark, clash, many, monkeypatch):
     monkeypatch.setattr(topk_codes, "CODES", 300)
     monkeypatch.setattr(topk_codes, "QUERIES", 20)
-    monkeypatch.setattr(topk_codes, "LOOKUP", 1 if many > 40 else 64)
+    monkeypatch.setattr(topk_codes, "LOOKUP", 1 if many > 40 else 256)
     rng = random.Random(many)
     centers = [rng.getrandbits(64) for _ in range(12)]
     rows = [(0, None)]
