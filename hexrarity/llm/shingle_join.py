@@ -375,14 +375,14 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     # (Stored: AQE can split a join of plain shuffles where a list is very long.)
     first = stored(lists.groupBy("shingle").agg(F.min(F.struct("cls", "n")).alias("_first")))
     sizes = [F.col("n"), F.col("_first.n")]
-    pairs = stored(
-        lists.join(first, "shingle")
-        .where((F.col("_first.cls") != F.col("cls"))
-               & (100 * F.least(*sizes) >= percent * F.greatest(*sizes)))
-        .select(F.col("_first.cls").alias("a"), F.col("cls").alias("b")).distinct())
-    links = stored(verify(pairs))
-    # All classes that share a list are of one family; whoever links is, too.
-    families = components(pairs, "a", "b")
+    stars = stored(
+        lists.join(first, "shingle").where(F.col("_first.cls") != F.col("cls"))
+        .select(F.col("_first.cls").alias("a"), F.col("cls").alias("b"),
+                (100 * F.least(*sizes) >= percent * F.greatest(*sizes)).alias("near")).distinct())
+    links = stored(verify(stars.where("near")))
+    # All classes that share a list are of one family; whoever links is, too. (A first
+    # member that is too large or too small for two others still holds them together.)
+    families = components(stars, "a", "b")
     members = stored(
         candidates.join(families.withColumnRenamed("node", "cls"), "cls", "left")
         .select("cls", F.coalesce("root", "cls").alias("family"))

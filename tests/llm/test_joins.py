@@ -108,6 +108,20 @@ def test_shingle_join_rounds(spark, monkeypatch):
     assert sorted(map(tuple, shingle_join.joined(df).collect())) == joined_by_brute_force(rows)
 
 
+def test_shingle_join_nested(spark):
+    """Texts that grow by tails: the smallest and the largest are no pair, and whichever
+    heads the lists, the links between are found."""
+    rows = []
+    for k in range(60):
+        words = [f"n{k}x{j}" for j in range(200)]
+        for many in (100, 115, 140):
+            rows.append((len(rows), " ".join(words[: many + 4])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected = joined_by_brute_force(rows)
+    assert {root for _, _, root in expected} == set(range(0, 180, 3))
+    assert sorted(map(tuple, shingle_join.joined(df).collect())) == expected
+
+
 def test_shingle_join_odd_rows(spark, documents, clash):
     rows = [tuple(r) for r in documents.collect()]
     assert sorted(map(tuple, shingle_join.joined(clash(documents)).collect())) == joined_by_brute_force(rows)
