@@ -1,35 +1,42 @@
 """URL filters from a path-template tree per host.
 
-A path's segments descend a tree of its host. At each node a segment that holds enough of
-the node's rows stays a literal; all others become a wildcard of their form (digits,
-digits with an extension, words, ...). Sibling literals whose rows behave alike — the
-share of bad labels, and the forms that follow — are merged into one branch. What comes
+A path's segments descend a tree of its host. At each node a segment with enough rows is
+judged by its labels, however small its share of the node: segments of one form that
+behave alike — the share of bad labels, and the forms that follow — are merged into one
+branch by grouping on bins of these, and a segment that differs from the others of its
+bin stays a literal. Segments of few rows become a wildcard of their form (digits,
+digits with an extension, words, ...). What comes
 out is a table of templates with label counts, pre-aggregated level by level; a template
 is rejected if its labelled purity, smoothed by its host's and the corpus's, falls below
 a bound. Given rules come first: of those that fit, the longest decides.
 
-A node has at most ``1 / LITERAL`` literals, so merging looks at a bounded list per node,
-and nothing is ever gathered per host.
+A node may have any number of segments: all steps are aggregates and joins, and nothing
+is ever gathered per host or node.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexrarity.llm.common import stored
 
 #: Levels of the tree; what lies deeper is one wildcard.
 DEPTH = 4
-#: A literal holds this share of its node's rows, and so many rows, at least.
-LITERAL = 0.02
+#: Rows from which on a segment is judged by itself.
 LITERAL_ROWS = 5
-#: Siblings merge if their bad shares differ by no more than this many standard errors,
-#: and the shares of the forms that follow by no more than this in total.
-ERRORS = 2.0
+#: Bins of the bad share (no bin reaches over one half) and of the share of the form that
+#: follows most often. Shares of a segment are drawn towards its node's by so many rows.
+SHARES = (0.1, 0.25, 0.5, 0.75, 0.9)
 FORMS_APART = 0.25
+DRAWN = 2.0
+#: A segment differs from the others of its bin if the shares do by more than this many
+#: standard errors.
+ERRORS = 2.0
+#: Segments that a branch is named after, at most; beyond, it is named after its bin.
+NAMES = 50
 #: Weight of the prior, in labelled rows, and the purity below which a template goes.
 PRIOR = 8.0
 PURITY = 0.5
@@ -98,13 +105,8 @@ def templates(urls: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
             F.count(F.lit(1)).alias("n"), F.sum("good").alias("good"), F.sum("bad").alias("bad"))
         segments = fine.groupBy("host", "_node", "_segment").agg(
             F.sum("n").alias("n"), F.sum("good").alias("good"), F.sum("bad").alias("bad"),
-            F.max(F.struct("n", "_next")).alias("_top"), F.count(F.lit(1)).alias("_forms"))
-        sums = segments.groupBy("host", "_node").agg(F.sum("n").alias("_all"))
-        literal = stored(
-            segments.join(sums, ["host", "_node"])
-            .where((F.col("n") >= LITERAL_ROWS) & (F.col("n") >= LITERAL * F.col("_all")))
-            .drop("_all"))
-        nodes = stored(_merged(literal))
+            F.max(F.struct("n", "_next")).alias("_top"))
+        nodes = stored(_merged(stored(segments)))
         levels.append(nodes)
         known = nodes.select("host", "_node", "_segment", "_branch")
         if nodes.count() <= BROADCAST_NODES:
@@ -120,29 +122,44 @@ def templates(urls: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     return rows.withColumn("template", F.concat("_node", rest)).drop("_node", "_parts"), levels
 
 
-def _merged(literal: DataFrame) -> DataFrame:
-    """Sibling literals with the name of their branch. Siblings in order of their bad
-    share; each next one joins the branch of the one before if the two are alike. The
-    window holds one node's literals, at most ``1 / LITERAL``."""
+def _merged(segments: DataFrame) -> DataFrame:
+    """The segments with enough rows and the name of their branch."""
+    at = ["host", "_node"]
+    group = [*at, "_form", "_next", "_follow", "_bin"]
     labelled = F.col("good") + F.col("bad")
-    # Shares are drawn towards one half by one row of either label.
-    share = (F.col("bad") + 1) / (labelled + 2)
-    error = share * (1 - share) / (labelled + 2)
-    own = literal.withColumn("_share", share).withColumn("_error", error).withColumn(
-        "_follow", F.col("_top.n") / F.col("n"))
-    inside = Window.partitionBy("host", "_node").orderBy("_top._next", "_share", "_segment")
-    before = {c: F.lag(c).over(inside) for c in ("_share", "_error", "_follow")}
-    alike = (
-        (F.lag("_top._next").over(inside) == F.col("_top._next"))
-        & (F.abs(before["_share"] - F.col("_share")) <= ERRORS * F.sqrt(before["_error"] + F.col("_error")))
-        & (F.abs(before["_follow"] - F.col("_follow")) <= FORMS_APART))
-    numbered = own.withColumn("_new", F.when(F.coalesce(alike, F.lit(False)), 0).otherwise(1)).withColumn(
-        "_group", F.sum("_new").over(inside))
-    names = F.collect_list("_segment").over(Window.partitionBy("host", "_node", "_group"))
-    return numbered.withColumn("_names", F.array_sort(names)).withColumn(
-        "_branch", F.when(F.size("_names") == 1, F.col("_segment"))
-        .otherwise(F.concat(F.lit("("), F.concat_ws("|", "_names"), F.lit(")")))
-    ).select("host", "_node", "_segment", "_branch", "n", "good", "bad")
+    sums = segments.groupBy(*at).agg(
+        ((F.sum("bad") + 1) / (F.sum("good") + F.sum("bad") + 2)).alias("_mean"))
+    share = (F.col("bad") + DRAWN * F.col("_mean")) / (labelled + DRAWN)
+    share_bin = sum((share >= edge).cast("int") for edge in SHARES)
+    binned = stored(
+        segments.where(F.col("n") >= LITERAL_ROWS).join(sums, at)
+        .select(*at, "_segment", "n", "good", "bad", form(F.col("_segment")).alias("_form"),
+                F.col("_top._next").alias("_next"),
+                F.ceil(F.col("_top.n") / F.col("n") / FORMS_APART).cast("int").alias("_follow"),
+                share_bin.alias("_bin")))
+    groups = binned.groupBy(*group).agg(F.sum("good").alias("_good"), F.sum("bad").alias("_bad"))
+    # The others of the bin, drawn towards one half by one row of either label.
+    rest_bad, rest = F.col("_bad") - F.col("bad"), F.col("_good") + F.col("_bad") - labelled
+    rest_share = (rest_bad + 1) / (rest + 2)
+    own = F.greatest(labelled, F.lit(1))
+    error = F.sqrt(rest_share * (1 - rest_share) * (1 / own + 1 / (rest + 2)))
+    differs = (labelled > 0) & (rest > 0) & (
+        F.abs(F.col("bad") / own - rest_share) > ERRORS * error)
+    judged_alone = stored(binned.join(groups, group).select(
+        *group, "_segment", "n", "good", "bad", F.coalesce(differs, F.lit(False)).alias("_alone")))
+    together = judged_alone.where("NOT _alone")
+    counted = stored(together.groupBy(*group).agg(F.count(F.lit(1)).alias("_many")))
+    few = counted.where(F.col("_many") <= NAMES).select(*group)
+    names = together.join(few, group).groupBy(*group).agg(
+        F.concat_ws("|", F.array_sort(F.collect_list("_segment"))).alias("_names"))
+    named = counted.join(names, group, "left").select(
+        *group, F.when(F.col("_many") == 1, F.col("_names"))
+        .when(F.col("_many") <= NAMES, F.concat(F.lit("("), "_names", F.lit(")")))
+        .otherwise(F.concat("_form", F.lit("{bad "), F.col("_bin").cast("string"), F.lit(", "), "_next",
+                            F.lit(" "), F.col("_follow").cast("string"), F.lit("}"))).alias("_named"))
+    return judged_alone.join(named, group, "left").select(
+        *at, "_segment", F.when(F.col("_alone"), F.col("_segment")).otherwise(F.col("_named")).alias("_branch"),
+        "n", "good", "bad")
 
 
 def judged(pages: DataFrame, rules: list[Rule], labels: DataFrame | None = None,

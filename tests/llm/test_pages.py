@@ -116,6 +116,19 @@ def test_templates_and_purity(spark):
         assert found[key]["verdict"] == ("block" if "/spam/" in url or "/ads/" in url else "allow")
 
 
+@pytest.mark.parametrize("more", [0, 6000])
+def test_many_sections(spark, more):
+    """No section holds a fiftieth of the rows; good pages elsewhere change nothing."""
+    rows = [(f"http://h.org/{'bad' if s % 3 == 0 else 'fine'}{s}/{k}.html", int(s % 3 == 0))
+            for s in range(90) for k in range(30)]
+    rows += [(f"http://h.org/else{k % 70}/{k}.html", 0) for k in range(more)]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "page_id long, url string, bad int")
+    found = url_templates.judged(df, [], df.where("page_id % 2 = 0").select("page_id", "bad"))
+    wrong = found.join(df.select("page_id", "bad"), "page_id").where(
+        "(bad = 1) <> (verdict = 'block')")
+    assert wrong.count() == 0 and found.count() == len(rows)
+
+
 def test_query(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     urls = {r["page_id"]: r["url"] for r in pages.select("page_id", "url").collect()}
