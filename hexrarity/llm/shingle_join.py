@@ -255,14 +255,16 @@ def _links_between(percent: int):
 
 
 def _sets(words: int):
+    """Class keys and shingle sets of texts; those of a slice once."""
+
     def run(batches):
         for batch in batches:
             for first in range(0, batch.num_rows, 1000):
-                part = batch.slice(first, 1000)
+                own = (shingle_set(t.as_py(), words) for t in batch.column(0).slice(first, 1000))
+                found = {set_key(x): x.tobytes() for x in own if len(x)}
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0),
-                     pa.array([shingle_set(t.as_py(), words).tobytes()
-                               for t in part.column(1)], pa.binary())],
+                    [_signed(np.array(list(found), np.uint64)),
+                     pa.array(list(found.values()), pa.binary())],
                     names=["cls", "shingles"])
 
     return run
@@ -360,11 +362,12 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     few = candidates.count() <= BROADCAST_IDS
     wanted = F.broadcast(candidates) if few else candidates
     lists = stored(shared.join(wanted.select("cls", "n"), "cls"))
-    wanted = wanted.select("cls", "_id")
-    # (One of several rows with the representative's id will do.)
+    # (Rows with a representative's id may have other texts, of other classes.)
+    ids = candidates.select("_id").distinct()
     sets = stored(
-        chosen.join(wanted, "_id").select("cls", "_text").mapInArrow(
-            _sets(words), "cls long, shingles binary").dropDuplicates(["cls"]))
+        chosen.join(F.broadcast(ids) if few else ids, "_id", "left_semi").select("_text")
+        .mapInArrow(_sets(words), "cls long, shingles binary")
+        .join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"]))
 
     def verify(pairs: DataFrame) -> DataFrame:
         left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("_x"))

@@ -122,6 +122,16 @@ def test_shingle_join_nested(spark):
     assert sorted(map(tuple, shingle_join.joined(df).collect())) == expected
 
 
+def test_shingle_join_id_of_many_texts(spark):
+    """Texts of one id, each with a near copy under an id of its own."""
+    rows = []
+    for k in range(8):
+        words = [f"m{k}x{j}" for j in range(60)]
+        rows += [(5, " ".join(words)), (100 + k, " ".join([*words, "tail"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, shingle_join.joined(df).collect())) == joined_by_brute_force(rows)
+
+
 def test_shingle_join_odd_rows(spark, documents, clash):
     rows = [tuple(r) for r in documents.collect()]
     assert sorted(map(tuple, shingle_join.joined(clash(documents)).collect())) == joined_by_brute_force(rows)
