@@ -163,14 +163,16 @@ def linked(vectors: DataFrame, cosine: float = COSINE, id_column: str = "vec_id"
         "bucket", F.xxhash64("label", "width", "number", "sign"))
     sizes = stored(
         bucketed.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-        .select("bucket", F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks")))
-    blocks = bucketed.join(sizes, "bucket").withColumn(
+        .select("bucket", "_n", F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks")))
+    blocks = bucketed.join(sizes.drop("_n"), "bucket").withColumn(
         "block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
     tiles = blocks.select(
         "class_id", "weight", "unit", "signs", "number", "bucket", "block",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_other"),
     ).select("*", F.least("block", "_other").alias("low"), F.greatest("block", "_other").alias("high"))
-    groups = max(1, classes.count() * tables // GROUP)
+    # (A row is repeated for each block of its bucket.)
+    repeated = sizes.agg(F.sum(F.col("_n") * F.col("blocks"))).first()[0] or 0
+    groups = max(1, repeated // GROUP)
     found = stored(
         tiles.drop("_other")
         .withColumn("_group", F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(groups)))

@@ -192,6 +192,29 @@ def test_near_vectors(spark, clash, monkeypatch):
     assert near_vectors.linked(df.limit(0)).count() == 0
 
 
+def test_near_vectors_tight_cluster(spark, monkeypatch):
+    """A task's rows stay few where a cluster of different vectors has many blocks."""
+    monkeypatch.setattr(near_vectors, "BLOCK", 8)
+    monkeypatch.setattr(near_vectors, "GROUP", 400)
+    make = near_vectors._pairs_of_blocks
+
+    def bounded(cosine):
+        run = make(cosine)
+
+        def check(table):
+            assert table.num_rows <= 1200
+            return run(table)
+
+        return check
+
+    monkeypatch.setattr(near_vectors, "_pairs_of_blocks", bounded)
+    rng = np.random.default_rng(8)
+    center = rng.standard_normal(24)
+    rows = [(k, (center + 1e-3 * rng.standard_normal(24)).tolist(), 1) for k in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert {tuple(r)[1:3] for r in near_vectors.linked(df).collect()} == {(119, 0)}
+
+
 def test_near_vectors_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = [tuple(r) for r in df.select("vec_id", "embedding", "label").collect()]
