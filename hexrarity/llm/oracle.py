@@ -14,7 +14,60 @@ def _half(first: int) -> str:
         for k in range(32))
 
 
+def _field(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(concat(" + ", ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + "))"
+
+
+#: CRC-32 of a decimal number, bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+ flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+  lambda c: list_concat([256 + ascii(c)], [0, 0, 0, 0, 0, 0, 0, 0])))),
+ lambda crc, x: CASE WHEN x >= 256 THEN xor(crc, x - 256)
+  WHEN crc % 2 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END))"""
+
 ORACLE = {
+    "op12_merkle_manifest": f"""
+WITH RECURSIVE rows AS (
+ SELECT doc_id, source, {_leaf("text")} AS leaf, CASE WHEN {_CRC} % 5 = 0 THEN
+  {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered
+ FROM documents),
+placed AS (
+ SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+  count(*) OVER (PARTITION BY source) AS many FROM rows),
+own(tree, level, place, many, node) AS (
+ SELECT tree, 0, place, many, leaf FROM placed
+ UNION ALL SELECT tree, level + 1, place // 16, (many + 15) // 16, sha256(string_agg(node, '' ORDER BY place))
+ FROM own WHERE many > 1 GROUP BY tree, level, many, place // 16),
+subroots AS (SELECT tree, level AS height, node FROM own WHERE many = 1),
+upper(level, place, many, node) AS (
+ SELECT 0, tree, (SELECT count(*) FROM subroots), node FROM subroots
+ UNION ALL SELECT level + 1, place // 16, (many + 15) // 16, sha256(string_agg(node, '' ORDER BY place))
+ FROM upper WHERE many > 1 GROUP BY level, many, place // 16),
+runs AS (
+ SELECT tree, level, place // 16 AS run, list(node ORDER BY place) AS nodes FROM own WHERE many > 1 GROUP BY ALL
+ UNION ALL SELECT -1, level, place // 16, list(node ORDER BY place) FROM upper WHERE many > 1 GROUP BY ALL),
+steps AS (
+ SELECT p.doc_id, p.tree, p.place, s.step, r.nodes, CAST(spot % 16 AS INTEGER) AS here
+ FROM placed p JOIN subroots USING (tree), LATERAL (SELECT unnest(range(0, 20)) AS step) s,
+  LATERAL (SELECT CASE WHEN step < height THEN p.place // CAST(16 ^ step AS BIGINT)
+   ELSE p.tree // CAST(16 ^ (step - height) AS BIGINT) END AS spot) a
+ JOIN runs r ON r.tree = CASE WHEN step < height THEN p.tree ELSE -1 END
+  AND r.level = CASE WHEN step < height THEN step ELSE step - height END AND r.run = spot // 16),
+proofs AS (
+ SELECT tree, place, list(nodes ORDER BY step) AS nodes, list(here ORDER BY step) AS here,
+  sha256(string_agg(array_to_string(nodes[:here] || nodes[here + 2:], ''), '' ORDER BY step)) AS proof
+ FROM steps GROUP BY tree, place)
+SELECT doc_id, leaf, s.node AS subroot, u.node AS root, coalesce(proof, sha256('')) AS proof_sha256,
+ coalesce(list_reduce(list_concat([coalesce(tampered, leaf)], list_transform(nodes, lambda run, k:
+   array_to_string(run[:here[k]], '') || '*' || array_to_string(run[here[k] + 2:], ''))),
+  lambda digest, run: sha256(replace(run, '*', digest))), tampered, leaf) AS folded_root,
+ folded_root = root AS verified
+FROM placed JOIN subroots s USING (tree) CROSS JOIN (SELECT node FROM upper WHERE many = 1) u LEFT JOIN proofs USING (tree, place)""",
     "op2_topk_search": f"""
 WITH codes AS (SELECT vec_id, {_half(0)} AS a, {_half(32)} AS b FROM embeddings)
 SELECT q.vec_id AS query_id,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexrarity.llm import (
+    merkle,
     near_vectors,
     packing,
     page_text,
@@ -97,9 +98,14 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.joined(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(
+        table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"])
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_sentencepiece, op2_topk_search, op3_best_fit_packing, op4_quality_classifier,
         op5_html_extraction, op6_sharding, op7_url_filters, op8_embedding_near_dedup,
-        op9_toxicity, op10_ngram_jaccard_join)
+        op9_toxicity, op10_ngram_jaccard_join, op12_merkle_manifest)
 }
