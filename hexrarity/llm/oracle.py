@@ -53,7 +53,7 @@ runs AS (
  UNION ALL SELECT -1, level, place // 16, list(node ORDER BY place) FROM upper WHERE many > 1 GROUP BY ALL),
 steps AS (
  SELECT p.doc_id, p.tree, p.place, s.step, r.nodes, CAST(spot % 16 AS INTEGER) AS here
- FROM placed p JOIN subroots USING (tree), LATERAL (SELECT unnest(range(0, 20)) AS step) s,
+ FROM placed p JOIN subroots USING (tree), LATERAL (SELECT unnest(range(0, 14)) AS step) s,
   LATERAL (SELECT CASE WHEN step < height THEN p.place // CAST(16 ^ step AS BIGINT)
    ELSE p.tree // CAST(16 ^ (step - height) AS BIGINT) END AS spot) a
  JOIN runs r ON r.tree = CASE WHEN step < height THEN p.tree ELSE -1 END

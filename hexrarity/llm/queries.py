@@ -17,9 +17,11 @@ from hexrarity.llm import (
     topk_codes,
     toxicity,
     url_templates,
+    vantage_trees,
 )
 
 NEIGHBORS = 10
+NEAREST = 20
 SHARDS = 40
 #: Given rules: (verdict, host, path).
 URL_RULES = [
@@ -103,9 +105,15 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"])
 
 
+def op13_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vantage_trees.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), NEAREST)
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_sentencepiece, op2_topk_search, op3_best_fit_packing, op4_quality_classifier,
         op5_html_extraction, op6_sharding, op7_url_filters, op8_embedding_near_dedup,
-        op9_toxicity, op10_ngram_jaccard_join, op12_merkle_manifest)
+        op9_toxicity, op10_ngram_jaccard_join, op12_merkle_manifest,
+        op13_vantage_point_search)
 }
