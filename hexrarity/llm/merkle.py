@@ -8,14 +8,16 @@ same way. Built levels are stored as node rows that name their parent and hold t
 children's digests.
 
 The proofs come from one ``WITH RECURSIVE`` query: every leaf starts with its digest, or
-that of a tampered row, and climbs from parent to parent. A step adds a row with the
-siblings met there and the digest folded with them; what a leaf has met, in the order of
-its steps, is its proof.
+that of a tampered row, and climbs from parent to parent. A step appends the siblings
+met there and folds the digest with them; what a leaf has met, in the order of its steps,
+is its proof.
 
 Nothing is ranked, folded or joined in one task. Ranks come from a range-sorted table:
-where a partition's rows of a group start is a sum over partitions. A node above many
-leaves is repeated under ``ceil(leaves / BLOCK)`` salts, of which a climbing leaf picks
-one, so that no more than about ``BLOCK`` leaves meet one node row.
+where a partition's rows of a group start is a sum over partitions. The lowest nodes,
+of ``FANOUT`` leaves at most, are joined by a shuffle. Those above are broadcast while
+they are few; beyond, a node above many leaves is repeated under ``ceil(leaves / BLOCK)``
+salts, of which a climbing leaf picks one, so that no more than about ``BLOCK`` leaves
+meet one node row.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ from hexrarity.llm.common import stored
 FANOUT = 16
 #: Leaves that meet one copy of a node, about.
 BLOCK = 4096
+#: Nodes above the lowest (about one per 256 leaves, a kilobyte each) that are broadcast.
+BROADCAST_NODES = 60_000
 #: The tree over the subroots; the groups' own are numbered from 0.
 TOP = -1
 #: A node's place in its tree: its level above these bits, its number below.
@@ -183,22 +187,41 @@ def build(rows: DataFrame, columns: Sequence[str], group_column: str, id_column:
         root[0] if root else None)
 
 
+_LEFT, _RIGHT = "slice(n.children, 1, c.up_place)", f"slice(n.children, c.up_place + 2, {FANOUT})"
+_CARRIED = "c.row, c.part, c.tree, c.id, c.leaf"
+_STEP = f"""n.up_tree, n.up_spot, n.up_place, n.up_salts,
+  sha2(concat_ws('', {_LEFT}, c.folded, {_RIGHT}), 256) AS folded"""
+_MET = f"unhex(concat_ws('', {_LEFT}, {_RIGHT}))"
+
+FIRST = f"""
+SELECT {_CARRIED}, 1 AS step, {_STEP}, {_MET} AS siblings
+FROM {{start}} c JOIN {{nodes}} n ON n.tree = c.up_tree AND n.spot = c.up_spot
+UNION ALL
+SELECT {_CARRIED}, 0, c.up_tree, c.up_spot, c.up_place, c.up_salts, c.folded, CAST('' AS BINARY) FROM {{lone}} c
+"""
+#: Where the nodes can be broadcast, a step moves no row, and what a leaf has met goes with it.
 CLIMB = f"""
 WITH RECURSIVE climb AS (
- SELECT row, 0 AS step, up_tree, up_spot, up_place, up_salts, digest AS folded,
-  CAST('' AS BINARY) AS siblings
- FROM {{start}}
+ SELECT * FROM {{first}}
+ UNION ALL
+ SELECT /*+ BROADCAST(n) */ {_CARRIED}, c.step + 1, {_STEP}, concat(c.siblings, {_MET})
+ FROM climb c JOIN {{nodes}} n ON n.tree = c.up_tree AND n.spot = c.up_spot)
+SELECT c.row, c.part, c.tree, c.id, c.leaf, folded AS folded_root,
+ sha2(lower(hex(siblings)), 256) AS proof_sha256
+FROM climb c WHERE up_tree IS NULL
+"""
+#: Else each step leaves a row behind, so that the next ones do not move what was met.
+CLIMB_BY_STEPS = f"""
+WITH RECURSIVE climb AS (
+ SELECT * FROM {{first}}
  UNION ALL
- SELECT c.row, c.step + 1, n.up_tree, n.up_spot, n.up_place, n.up_salts,
-  sha2(concat_ws('', slice(n.children, 1, c.up_place), c.folded,
-   slice(n.children, c.up_place + 2, {FANOUT})), 256),
-  unhex(concat_ws('', slice(n.children, 1, c.up_place), slice(n.children, c.up_place + 2, {FANOUT})))
+ SELECT {_CARRIED}, c.step + 1, {_STEP}, {_MET}
  FROM climb c JOIN {{nodes}} n
   ON n.tree = c.up_tree AND n.spot = c.up_spot AND n.salt = pmod(xxhash64(c.row), c.up_salts))
-SELECT row, max_by(folded, step) AS folded_root,
+SELECT c.row, c.part, c.tree, c.id, c.leaf, max_by(folded, step) AS folded_root,
  sha2(lower(array_join(transform(array_sort(collect_list(struct(step, siblings))),
   x -> hex(x.siblings)), '')), 256) AS proof_sha256
-FROM climb GROUP BY row
+FROM climb c GROUP BY c.row, c.part, c.tree, c.id, c.leaf
 """
 
 
@@ -215,31 +238,36 @@ def _no_row_limit(spark: SparkSession):
 
 
 def climbed(manifest: Manifest, digests: Column) -> DataFrame:
-    """(``row``, ``folded_root``, ``proof_sha256``) of every leaf: ``digests``, a column of
-    the manifest's leaves, folded with the siblings on the way to the root, and the digest
-    of those siblings, level by level and from left to right."""
+    """(``row``, ``part``, ``tree``, ``id``, ``leaf``, ``folded_root``, ``proof_sha256``) of
+    every leaf: ``digests``, a column of the manifest's leaves, folded with the siblings on
+    the way to the root, and the digest of those siblings, level by level and from left
+    to right."""
     leaves, spark = manifest.leaves, manifest.leaves.sparkSession
-    start = leaves.select(
-        "row", "tree", "place", "many", digests.alias("digest"))
-    # A lone leaf is its group's subroot, so it stands in the tree over these.
     lone = F.col("many") == 1
-    start = start.select(
-        "row", "digest", lone.alias("_lone"),
+    # A lone leaf is its group's subroot, so it stands in the tree over these.
+    start = leaves.select(
+        "row", "part", "tree", "id", "leaf", digests.alias("folded"), lone.alias("_lone"),
         F.when(lone, F.lit(TOP).cast("long")).otherwise(F.col("tree")).alias("up_tree"),
         F.when(lone, F.col("tree")).otherwise(F.col("place")).alias("_place")).select(
-        "row", "digest", "_lone", "up_tree", _spot(1, F.expr(f"_place div {FANOUT}")).alias("up_spot"),
-        F.expr(f"CAST(_place % {FANOUT} AS INT)").alias("up_place"))
+        "*", _spot(1, F.expr(f"_place div {FANOUT}")).alias("up_spot"),
+        F.expr(f"CAST(_place % {FANOUT} AS INT)").alias("up_place")).drop("_place")
     if manifest.nodes is None:  # one leaf in all
-        return start.select("row", F.col("digest").alias("folded_root"), F.sha2(F.lit(""), 256).alias("proof_sha256"))
+        return start.select(
+            "row", "part", "tree", "id", "leaf", F.col("folded").alias("folded_root"),
+            F.sha2(F.lit(""), 256).alias("proof_sha256"))
     salts = manifest.nodes.select(
         F.col("tree").alias("up_tree"), F.col("spot").alias("up_spot"), F.col("salts").alias("up_salts"))
-    # A parent of leaves of its own tree covers FANOUT of them at most: one salt.
-    start = start.where("NOT _lone").withColumn("up_salts", F.lit(1)).unionByName(
-        start.where("_lone").join(salts, ["up_tree", "up_spot"], "left")).drop("_lone")
-    nodes = manifest.nodes.join(salts, ["up_tree", "up_spot"], "left").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    nodes = stored(manifest.nodes.join(salts, ["up_tree", "up_spot"], "left"))
+    lowest = (F.col("tree") != TOP) & (F.col("spot") < _spot(2, F.lit(0)))
+    upper = nodes.where(~lowest)
+    first = stored(spark.sql(
+        FIRST, start=start.where("NOT _lone"), nodes=nodes.where(lowest),
+        lone=start.where("_lone").join(salts, ["up_tree", "up_spot"], "left")))
     with _no_row_limit(spark):
-        return stored(spark.sql(CLIMB, start=start, nodes=stored(nodes)))
+        if upper.count() <= BROADCAST_NODES:
+            return stored(spark.sql(CLIMB, first=first, nodes=upper))
+        salted = upper.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        return stored(spark.sql(CLIMB_BY_STEPS, first=first, nodes=stored(salted)))
 
 
 def verified(rows: DataFrame, columns: Sequence[str], group_column: str = "source", id_column: str = "doc_id",
@@ -250,9 +278,6 @@ def verified(rows: DataFrame, columns: Sequence[str], group_column: str = "sourc
     manifest = build(rows, columns, group_column, id_column, text_column)
     proofs = climbed(manifest, F.coalesce("tampered", "leaf"))
     root = F.lit(manifest.root).cast("string")
-    return (
-        manifest.leaves.select("row", "part", "tree", "id", "leaf")
-        .join(manifest.subroots, ["part", "tree"]).join(proofs, "row")
-        .select(F.col("id").alias(id_column), "leaf", "subroot", root.alias("root"), "proof_sha256",
-                "folded_root", (F.col("folded_root") == root).alias("verified"))
-    )
+    return proofs.join(manifest.subroots, ["part", "tree"]).select(
+        F.col("id").alias(id_column), "leaf", "subroot", root.alias("root"), "proof_sha256",
+        "folded_root", (F.col("folded_root") == root).alias("verified"))

@@ -29,7 +29,29 @@ _CRC = """xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
  lambda crc, x: CASE WHEN x >= 256 THEN xor(crc, x - 256)
   WHEN crc % 2 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END))"""
 
+def _terms(table: str, key: str) -> str:
+    return rf"""SELECT {key}, unnest(regexp_extract_all(translate(text,
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM {table}"""
+
+
 ORACLE = {
+    "op11_ranked_search": f"""
+WITH counts AS (SELECT doc_id, term, count(*) AS tf FROM ({_terms("documents", "doc_id")}) GROUP BY ALL),
+lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM lengths),
+weights AS (
+ SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+ FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), total),
+asked AS (SELECT DISTINCT * FROM ({_terms("benchmark", "item_id")})),
+scores AS (
+ SELECT item_id, doc_id,
+  CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words)))) AS BIGINT) AS score
+ FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), total
+ GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+ doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50""",
     "op12_merkle_manifest": f"""
 WITH RECURSIVE rows AS (
  SELECT doc_id, source, {_leaf("text")} AS leaf, CASE WHEN {_CRC} % 5 = 0 THEN

@@ -14,6 +14,7 @@ from hexrarity.llm import (
     quality,
     shards,
     shingle_join,
+    signatures,
     topk_codes,
     toxicity,
     url_templates,
@@ -22,6 +23,7 @@ from hexrarity.llm import (
 
 NEIGHBORS = 10
 NEAREST = 20
+RESULTS = 50
 SHARDS = 40
 #: Given rules: (verdict, host, path).
 URL_RULES = [
@@ -100,6 +102,11 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.joined(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = signatures.build(table(spark, sf_dir, "documents"))
+    return signatures.ranked(index, table(spark, sf_dir, "benchmark"), RESULTS)
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(
         table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"])
@@ -114,6 +121,6 @@ QUERIES = {
     f.__name__: f for f in (
         op1_sentencepiece, op2_topk_search, op3_best_fit_packing, op4_quality_classifier,
         op5_html_extraction, op6_sharding, op7_url_filters, op8_embedding_near_dedup,
-        op9_toxicity, op10_ngram_jaccard_join, op12_merkle_manifest,
-        op13_vantage_point_search)
+        op9_toxicity, op10_ngram_jaccard_join, op11_ranked_search,
+        op12_merkle_manifest, op13_vantage_point_search)
 }

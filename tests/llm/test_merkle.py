@@ -70,9 +70,11 @@ def test_whole_table(spark):
     assert {r[-1] for r in found} == {True, False}
 
 
-def test_hot_and_small_groups(spark, monkeypatch):
+@pytest.mark.parametrize("broadcast", [0, 1000])
+def test_hot_and_small_groups(spark, monkeypatch, broadcast):
     """One group with a third of all rows, 20 with one row, NULL, empty and odd names."""
     monkeypatch.setattr(merkle, "BLOCK", 40)  # nodes above more leaves are repeated
+    monkeypatch.setattr(merkle, "BROADCAST_NODES", broadcast)
     rows = [(k, "hot", "en", k, f"Text {k}") for k in range(300)]
     rows += [(1000 + k, f"one{k}", None, None, "ONE") for k in range(20)]
     rows += [(2000 + k, None, "de", 1, None if k % 2 else "") for k in range(17)]
