@@ -10,7 +10,8 @@ children's digests.
 The proofs come from one ``WITH RECURSIVE`` query: every leaf starts with its digest, or
 that of a tampered row, and climbs from parent to parent. A step appends the siblings
 met there and folds the digest with them; what a leaf has met, in the order of its steps,
-is its proof.
+is its proof. Spark shuffles the rows of every step, so only the leaf at the head of a run
+takes along what is met above the run, which is the same for all of it.
 
 Nothing is ranked, folded or joined in one task. Ranks come from a range-sorted table:
 where a partition's rows of a group start is a sum over partitions. The lowest nodes,
@@ -35,7 +36,7 @@ from hexrarity.llm.common import stored
 FANOUT = 16
 #: Leaves that meet one copy of a node, about.
 BLOCK = 4096
-#: Nodes above the lowest (about one per 256 leaves, a kilobyte each) that are broadcast.
+#: Nodes above the lowest (about one per 240 leaves, a kilobyte each) that are broadcast.
 BROADCAST_NODES = 60_000
 #: The tree over the subroots; the groups' own are numbered from 0.
 TOP = -1
@@ -188,40 +189,25 @@ def build(rows: DataFrame, columns: Sequence[str], group_column: str, id_column:
 
 
 _LEFT, _RIGHT = "slice(n.children, 1, c.up_place)", f"slice(n.children, c.up_place + 2, {FANOUT})"
-_CARRIED = "c.row, c.part, c.tree, c.id, c.leaf"
-_STEP = f"""n.up_tree, n.up_spot, n.up_place, n.up_salts,
-  sha2(concat_ws('', {_LEFT}, c.folded, {_RIGHT}), 256) AS folded"""
-_MET = f"unhex(concat_ws('', {_LEFT}, {_RIGHT}))"
+_FOLDED = f"unhex(sha2(concat_ws('', {_LEFT}, lower(hex(c.folded)), {_RIGHT}), 256)) AS folded"
 
 FIRST = f"""
-SELECT {_CARRIED}, 1 AS step, {_STEP}, {_MET} AS siblings
+SELECT c.row, c.part, c.tree, c.id, c.leaf, c.up_spot AS run, c.up_place AS own, c.up_place = 0 AS lead,
+ n.up_tree, n.up_spot, n.up_place, n.up_salts, {_FOLDED}
 FROM {{start}} c JOIN {{nodes}} n ON n.tree = c.up_tree AND n.spot = c.up_spot
 UNION ALL
-SELECT {_CARRIED}, 0, c.up_tree, c.up_spot, c.up_place, c.up_salts, c.folded, CAST('' AS BINARY) FROM {{lone}} c
+SELECT c.row, c.part, c.tree, c.id, c.leaf, 0, NULL, TRUE, c.up_tree, c.up_spot, c.up_place, c.up_salts, c.folded
+FROM {{lone}} c
 """
-#: Where the nodes can be broadcast, a step moves no row, and what a leaf has met goes with it.
 CLIMB = f"""
 WITH RECURSIVE climb AS (
- SELECT * FROM {{first}}
+ SELECT row, lead, up_tree, up_spot, up_place, up_salts, folded, CAST('' AS BINARY) AS siblings FROM {{first}}
  UNION ALL
- SELECT /*+ BROADCAST(n) */ {_CARRIED}, c.step + 1, {_STEP}, concat(c.siblings, {_MET})
- FROM climb c JOIN {{nodes}} n ON n.tree = c.up_tree AND n.spot = c.up_spot)
-SELECT c.row, c.part, c.tree, c.id, c.leaf, folded AS folded_root,
- sha2(lower(hex(siblings)), 256) AS proof_sha256
-FROM climb c WHERE up_tree IS NULL
-"""
-#: Else each step leaves a row behind, so that the next ones do not move what was met.
-CLIMB_BY_STEPS = f"""
-WITH RECURSIVE climb AS (
- SELECT * FROM {{first}}
- UNION ALL
- SELECT {_CARRIED}, c.step + 1, {_STEP}, {_MET}
+ SELECT c.row, c.lead, n.up_tree, n.up_spot, n.up_place, n.up_salts, {_FOLDED},
+  CASE WHEN c.lead THEN concat(c.siblings, unhex(concat_ws('', {_LEFT}, {_RIGHT}))) ELSE c.siblings END
  FROM climb c JOIN {{nodes}} n
   ON n.tree = c.up_tree AND n.spot = c.up_spot AND n.salt = pmod(xxhash64(c.row), c.up_salts))
-SELECT c.row, c.part, c.tree, c.id, c.leaf, max_by(folded, step) AS folded_root,
- sha2(lower(array_join(transform(array_sort(collect_list(struct(step, siblings))),
-  x -> hex(x.siblings)), '')), 256) AS proof_sha256
-FROM climb c GROUP BY c.row, c.part, c.tree, c.id, c.leaf
+SELECT row, folded AS folded_root, CASE WHEN lead THEN siblings END AS siblings FROM climb WHERE up_tree IS NULL
 """
 
 
@@ -246,28 +232,38 @@ def climbed(manifest: Manifest, digests: Column) -> DataFrame:
     lone = F.col("many") == 1
     # A lone leaf is its group's subroot, so it stands in the tree over these.
     start = leaves.select(
-        "row", "part", "tree", "id", "leaf", digests.alias("folded"), lone.alias("_lone"),
+        "row", "part", "tree", "id", "leaf", F.unhex(digests).alias("folded"), lone.alias("_lone"),
         F.when(lone, F.lit(TOP).cast("long")).otherwise(F.col("tree")).alias("up_tree"),
         F.when(lone, F.col("tree")).otherwise(F.col("place")).alias("_place")).select(
         "*", _spot(1, F.expr(f"_place div {FANOUT}")).alias("up_spot"),
         F.expr(f"CAST(_place % {FANOUT} AS INT)").alias("up_place")).drop("_place")
     if manifest.nodes is None:  # one leaf in all
         return start.select(
-            "row", "part", "tree", "id", "leaf", F.col("folded").alias("folded_root"),
+            "row", "part", "tree", "id", "leaf", F.lower(F.hex("folded")).alias("folded_root"),
             F.sha2(F.lit(""), 256).alias("proof_sha256"))
     salts = manifest.nodes.select(
         F.col("tree").alias("up_tree"), F.col("spot").alias("up_spot"), F.col("salts").alias("up_salts"))
     nodes = stored(manifest.nodes.join(salts, ["up_tree", "up_spot"], "left"))
     lowest = (F.col("tree") != TOP) & (F.col("spot") < _spot(2, F.lit(0)))
-    upper = nodes.where(~lowest)
+    runs = nodes.where(lowest)
     first = stored(spark.sql(
-        FIRST, start=start.where("NOT _lone"), nodes=nodes.where(lowest),
+        FIRST, start=start.where("NOT _lone"), nodes=runs,
         lone=start.where("_lone").join(salts, ["up_tree", "up_spot"], "left")))
+    upper = stored(nodes.where(~lowest).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))))
     with _no_row_limit(spark):
-        if upper.count() <= BROADCAST_NODES:
-            return stored(spark.sql(CLIMB, first=first, nodes=upper))
-        salted = upper.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-        return stored(spark.sql(CLIMB_BY_STEPS, first=first, nodes=stored(salted)))
+        few = upper.count() <= BROADCAST_NODES
+        tops = stored(spark.sql(CLIMB, first=first, nodes=F.broadcast(upper) if few else upper))
+    # What the leaf at the head of a run has met above is met by all leaves of the run.
+    met = first.where("lead").select("row", "tree", "run").join(tops, "row").select("tree", "run", "siblings")
+    met = met.join(runs.select("tree", F.col("spot").alias("run"), "children"), ["tree", "run"], "left")
+    beside = F.expr(f"concat_ws('', slice(children, 1, own), slice(children, own + 2, {FANOUT}))")
+    return (
+        first.select("row", "part", "tree", "id", "leaf", "run", "own").join(tops.drop("siblings"), "row")
+        .join(met, ["tree", "run"]).select(
+            "row", "part", "tree", "id", "leaf", F.lower(F.hex("folded_root")).alias("folded_root"),
+            F.sha2(F.concat(beside, F.lower(F.hex("siblings"))), 256).alias("proof_sha256"))
+    )
 
 
 def verified(rows: DataFrame, columns: Sequence[str], group_column: str = "source", id_column: str = "doc_id",
