@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hexrarity.schemas import RAW_COLUMNS, RAW_FIELDS
+from hexrarity.sources.records import find_breaks, read_lines, records
 
 #: Column of rows with a wrong number of fields.
 FAULT = "_fault"
@@ -33,7 +34,7 @@ def detect_encoding(spark: SparkSession, path: str, encoding: str = "auto") -> s
 
 
 def read_occurrences(
-    spark: SparkSession, path: str, encoding: str = "auto", multi_line: bool = False
+    spark: SparkSession, path: str, encoding: str = "auto", multi_line: bool | None = None
 ) -> DataFrame:
     """Raw occurrences with the fixed schema; nothing is inferred.
 
@@ -43,24 +44,34 @@ def read_occurrences(
     stay, and numbers are cast one by one. Column pruning is off because a pruned parse
     cannot see missing fields.
 
-    ``multi_line`` lets a quoted field hold line breaks; such a file is not split.
+    A quoted field may hold line breaks. By default the lines are read once to see whether
+    any does (``hexrarity.sources.records``); True skips the question, and False ends a row
+    at each line break. Files are split in all cases.
     """
     charset = detect_encoding(spark, path, encoding)
     texts = T.StructType([T.StructField(n, T.StringType()) for n in (*RAW_COLUMNS, FAULT)])
-    reader = (
-        spark.read.schema(texts)
-        .option("sep", "\t").option("header", True)
-        .option("quote", '"').option("escape", '"')
-        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", FAULT)
-        .option("columnPruning", False)
-        .option("multiLine", multi_line).option("encoding", charset)
-    )
-    if charset.upper().startswith("UTF-16"):
-        reader = reader.option("lineSep", "\n")
+    options = {
+        "sep": "\t", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": FAULT,
+    }
+    maps = None
+    if multi_line is not False:
+        lines = read_lines(spark, path, charset)
+        maps = find_breaks(lines, "\t")
+    if maps is not None:
+        whole = records(lines, maps, "\t").where(F.trim("value") != "")
+        parsed = F.from_csv("value", texts.simpleString(), options | {"multiLine": "true"})
+        rows = whole.select(parsed.alias("row")).select("row.*")
+    else:
+        reader = spark.read.schema(texts).options(**options).options(
+            header=True, columnPruning=False, encoding=charset)
+        if charset.upper().startswith("UTF-16"):
+            reader = reader.option("lineSep", "\n")
+        rows = reader.csv(path)
     # Separators of a marked row: those outside quoted fields.
     plain = F.regexp_replace(FAULT, QUOTED_FIELD, "$1")
     separators = F.length(plain) - F.length(F.replace(plain, F.lit("\t"), F.lit("")))
-    raw = reader.csv(path).where(F.col(FAULT).isNull() | (separators >= len(RAW_COLUMNS)))
+    raw = rows.where(F.col(FAULT).isNull() | (separators >= len(RAW_COLUMNS)))
     typed = {
         name: F.col(name).try_cast(kind) for name, kind in RAW_FIELDS if kind != "string"
     }
