@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import random
+from dataclasses import replace
+from pathlib import Path
 
 import pytest
 
@@ -104,3 +106,79 @@ def test_nothing_to_score(spark, tmp_path):
     run(store, [clean(path), count_species()])
     with pytest.raises(ValueError, match="no cell could be scored"):
         run(store, [score()])
+
+
+def scored(store):
+    return sorted(tuple(r) for r in store.table("scores").select("resolution", "cell", "rarity_zscore").collect())
+
+
+def all_stages(raw, **options):
+    return [clean(raw, **options), count_species(), score(), draw(), tile(), export_lines()]
+
+
+def failing(stage, after_tables):
+    """The stage, which dies when it has written some of its tables."""
+    def build(store):
+        stage.build(store)
+        for table in stage.makes[after_tables:]:
+            store.written.pop(table)
+        raise RuntimeError("killed")
+
+    return replace(stage, build=build)
+
+
+def test_killed_between_stages(spark, raw, tmp_path):
+    """What was published stays readable; a resumed run builds the rest only."""
+    store = Store(spark, str(tmp_path))
+    run(store, all_stages(raw))
+    before, version = scored(store), store.version("scores")
+    for tables in (0, 1, 2):
+        with pytest.raises(RuntimeError, match="killed"):
+            run(store, [clean(raw, country="it"), count_species(), failing(score(), tables)])
+        assert store.version("scores") == version and scored(store) == before
+        assert store.table("summary").count() == 5
+    reports = run(store, all_stages(raw, country="it"), resume=True)
+    assert [r.skipped for r in reports] == [True, True, False, False, False, False]
+    assert scored(store) != before and store.version("scores") != version
+    again = run(store, all_stages(raw, country="it"), resume=True)
+    assert all(r.skipped for r in again) and [r.found for r in again] == [r.found for r in reports]
+    assert len(store.tidy("scores", 1)) == 4 and store.tidy("scores", 1) == []
+    assert scored(store) != before
+
+
+def test_stale_tables(spark, raw, tmp_path):
+    """A stage is built anew if its settings, its files or its inputs' versions changed."""
+    copy = tmp_path / "raw.tsv"
+    copy.write_bytes(Path(raw).read_bytes())
+    store = Store(spark, str(tmp_path / "store"))
+    stages = lambda **o: [clean(str(copy), **o), count_species(), score()]
+    run(store, stages())
+    built = lambda **o: [not r.skipped for r in run(store, stages(**o), resume=True)]
+    assert built() == [False, False, False]
+    assert built(country="it") == [True, True, True]
+    with copy.open("a") as file:
+        file.write(line(gbifID="99999", countryCode="IT") + "\n")
+    assert built(country="it") == [True, True, True]
+    run(store, [count_species(4)])
+    assert built(country="it") == [False, True, True]
+
+
+def test_manifest_cut_short(spark, raw, tmp_path):
+    store = Store(spark, str(tmp_path))
+    run(store, [clean(raw)])
+    version = store.version("observations")
+    (tmp_path / "_published" / "observations" / "2.json").write_text('{"build": "x", "fol')
+    assert store.version("observations") == version and store.table("observations").count() > 0
+    run(store, [clean(raw)])
+    assert store.version("observations") not in (version, "x")
+
+
+def test_tables_from_elsewhere(spark, tmp_path):
+    """A table written whole counts; one without the mark of success does not."""
+    spark.range(3).write.parquet(str(tmp_path / "species"))
+    store = Store(spark, str(tmp_path))
+    assert store.holds("species") and store.table("species").count() == 3
+    (tmp_path / "species" / "_SUCCESS").unlink()
+    assert not store.holds("species") and not store.holds("observations")
+    with pytest.raises(FileNotFoundError, match="species"):
+        store.table("species")
