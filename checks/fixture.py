@@ -27,6 +27,7 @@ from hexrarity.plans.stages import (
     Store, clean, count_species, draw, run, score, tile,
 )
 from hexrarity.schemas import RAW_COLUMNS, SCORE_COLUMNS
+from hexrarity.sources.occurrences import read_occurrences
 from hexrarity.sources.tables import write_table
 
 RAW_SQL = """
@@ -226,6 +227,49 @@ def raw_file(spark: SparkSession, sf_dir: str, encoding: str = "UTF-8", faulty:
     return path
 
 
+BREAKS = '"a\nb ""c""\n\t\nd"'
+#: Rows of a file with breaks, and bytes of its splits, about.
+FILE_ROWS, SPLIT_BYTES = 50_000, 1 << 18
+
+
+def raw_file_with_breaks(spark: SparkSession, sf_dir: str) -> str:
+    """The raw rows as a download in which every seventh row has line breaks within quotes."""
+    key = (spark.sparkContext.applicationId, sf_dir, "raw-breaks")
+    if key not in _stored:
+        raw = raw_occurrences(spark, sf_dir)
+        broken = F.when(F.col("gbifID") % 7 == 0, F.lit(BREAKS)).otherwise(F.lit(""))
+        fields = [
+            F.coalesce(F.col(name).cast("string"), F.lit("")) if name in raw.columns
+            else broken if name == "locality" else F.lit("")
+            for name in RAW_COLUMNS
+        ]
+        files = raw.count() // FILE_ROWS + 1
+        rows = raw.select(
+            F.pmod(F.xxhash64("gbifID"), F.lit(files)).alias("file"), F.lit(1).alias("place"),
+            F.concat_ws("\t", *fields).alias("value"))
+        heads = spark.range(files).select(
+            F.col("id").alias("file"), F.lit(0).alias("place"), F.lit("\t".join(RAW_COLUMNS)).alias("value"))
+        path = f"{shared_folder(spark)}/raw-{uuid.uuid4().hex}"
+        (
+            heads.unionByName(rows).repartition("file").sortWithinPartitions("file", "place")
+            .select("file", "value").write.partitionBy("file").text(path)
+        )
+        _stored[key] = path
+    return _stored[key]
+
+
+def multiline_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """That file as it is read in many splits; stored, so that the size of a split holds."""
+    path = raw_file_with_breaks(spark, sf_dir)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(SPLIT_BYTES))
+    try:
+        return stored(spark, sf_dir, "multiline", lambda: read_occurrences(spark, path))
+    finally:
+        spark.conf.set(key, before)
+
+
 def whole_run(spark: SparkSession, sf_dir: str) -> Store:
     """A run of all stages from a faulty raw file, in a folder of its own."""
     key = (spark.sparkContext.applicationId, sf_dir, "run")

@@ -570,6 +570,11 @@ SELECT gbifID, speciesKey, species, {_r('decimalLatitude')}, {_r('decimalLongitu
  {_r('coordinateUncertaintyInMeters')}, taxonRank,
  recordedBy || CASE WHEN gbifID % 50 = 4 THEN '|a' || chr(9) || 'b "c"' ELSE '' END AS recordedBy
 FROM filtered WHERE gbifID % 50 NOT IN (2, 3)""",
+    "read_multiline_tsv": f"""WITH {_filtered()}
+SELECT gbifID, speciesKey, species, {_r('decimalLatitude')}, {_r('decimalLongitude')},
+ {_r('coordinateUncertaintyInMeters')}, taxonRank, recordedBy || CASE WHEN gbifID % 7 = 0
+  THEN '|a' || chr(10) || 'b "c"' || chr(10) || chr(9) || chr(10) || 'd' ELSE '' END AS recordedBy
+FROM filtered""",
     "read_utf16_tsv": f"""WITH {_filtered()}
 SELECT gbifID, speciesKey, species, {_r('decimalLatitude')}, {_r('decimalLongitude')},
  {_r('coordinateUncertaintyInMeters')}, taxonRank, recordedBy, "order"

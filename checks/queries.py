@@ -401,14 +401,21 @@ def read_tsv(spark, sf):
     return rounded(observations.filter_observations(raw))
 
 
-def read_faulty_tsv(spark, sf):
-    raw = read_occurrences(spark, fixture.raw_file(spark, sf, faulty=True))
-    # the locality, which is quoted in some rows, shows behind the observer
+def _with_locality(raw):
+    """The locality, which is quoted in some rows, shows behind the observer."""
     place = F.coalesce(F.concat(F.lit("|"), "locality"), F.lit(""))
     return rounded(observations.filter_observations(
         raw.withColumn("recordedBy", F.concat("recordedBy", place))))
 
 
+def read_faulty_tsv(spark, sf):
+    return _with_locality(read_occurrences(spark, fixture.raw_file(spark, sf, faulty=True)))
+
+
+def read_multiline_tsv(spark, sf):
+    return _with_locality(fixture.multiline_table(spark, sf))
+
+
 def read_utf16_tsv(spark, sf):
     parts = [
         observations.filter_observations(
@@ -456,7 +463,7 @@ QUERIES: dict[str, Query] = {
         feature_json, hexagon_boundaries, hexagon_features, hexagon_tiles,
         hexagon_cell_scores, zoom_to_resolution, tile_index, tile_thinning,
         tile_coalesce, tile_snap, tile_layer, feature_counts, style_rarity,
-        style_counts, style_defaults, style_opacity, read_tsv, read_faulty_tsv,
+        style_counts, style_defaults, style_opacity, read_tsv, read_faulty_tsv, read_multiline_tsv,
         read_utf16_tsv, geojson_lines, clustered_scores, whole_run,
     )
 }
