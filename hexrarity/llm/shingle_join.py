@@ -13,10 +13,13 @@ probing the whole sorted shingle sets, long lists included, with binary search,
 if the overlap reaches the required one.
 
 Documents with equal sets are one class. Only components are asked for, so a list
-proposes the pairs of its first member with the others. Classes that these links leave
-apart, though their lists hang together, are then compared in blocks with their whole
-sets; classes that are joined already need no look at each other. A group of thousands of
-near copies so costs a pair per member and what its first member did not reach.
+proposes the pairs of its first member with the others. What these links leave apart is
+settled in two ways, and classes that are joined already need no look at each other. Lists
+of up to ``LIST`` classes are merged: they count, for each pair of classes with different
+roots and fitting sizes, the short lists they share, and pairs that share c of them are
+probed. Classes that share a longer list are compared in blocks with their whole sets.
+A group of thousands of near copies so costs a pair per member and what its first member
+did not reach.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexrarity.llm.common import components, merge_links, stored
+from hexrarity.llm.common import components, free_name, merge_links, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -45,6 +48,8 @@ COUNTED = 1_500_000
 BUCKET = 60_000
 #: Class ids broadcast at most (8 bytes each); beyond, the join shuffles.
 BROADCAST_IDS = 1_000_000
+#: Classes of a list whose pairs are counted; it has at most half its square of them.
+LIST = 64
 #: Classes of a block that is compared with others at a time.
 BLOCK = 512
 #: Rows that a task of such comparisons takes at a time, about.
@@ -112,7 +117,7 @@ def _signed(x) -> pa.Array:
 
 def _summaries(words: int):
     """Per document its set's size and key; per shingle seen twice in a stretch of a
-    task's documents (equal sets once), how often."""
+    task's documents (equal sets once), how often, as a negative number."""
 
     def run(batches):
         held, many, seen = [], 0, set()
@@ -121,7 +126,7 @@ def _summaries(words: int):
             shingle, count = np.unique(np.concatenate(held), return_counts=True)
             often = count > 1
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(int(often.sum()), kind), pa.array(count[often].astype(np.int64)),
+                [pa.nulls(int(often.sum()), kind), pa.array(-count[often].astype(np.int64)),
                  _signed(shingle[often])], names=["_id", "n", "key"])
 
         for batch in batches:
@@ -286,6 +291,20 @@ def _roots(links: DataFrame, name: str) -> DataFrame:
     return components(links, "a", "b").withColumnRenamed("node", name)
 
 
+def _met_often(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes with different roots and fitting sizes that share as many of their
+    short lists as the smaller one's ``short_lists`` asks for."""
+    left = lists.select("shingle", F.col("cls").alias("a"), F.col("n").alias("_na"), F.col("root").alias("_ra"))
+    right = lists.select("shingle", F.col("cls").alias("b"), F.col("n").alias("_nb"), F.col("root").alias("_rb"))
+    smaller = F.least("_na", "_nb")
+    met = left.join(right, "shingle").where(
+        (F.col("a") < F.col("b")) & (F.col("_ra") != F.col("_rb"))
+        & (100 * smaller >= percent * F.greatest("_na", "_nb")))
+    enough = F.greatest(F.lit(1), F.ceil(smaller / 10))
+    return met.groupBy("a", "b", enough.alias("_enough")).agg(F.count(F.lit(1)).alias("_shared")).where(
+        "_shared >= _enough").select("a", "b")
+
+
 def _between_roots(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between classes of a family that have different roots so far.
 
@@ -330,20 +349,20 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
            id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, ``n_shingles``, ``component_id``) of every row of ``docs``.
 
-    Ids are whole numbers. Texts that are NULL, empty or white space have no shingles
-    and link with nothing; fewer than ``words`` words are one shingle. Equal texts, and
-    rows with equal ids, are linked. Long texts are read whole. An empty table gives an
-    empty one. Other columns are not returned.
+    Ids are whole numbers. A row without one has nothing to be named by: it links with
+    nothing, and its component is NULL. Texts that are NULL, empty or white space have no
+    shingles and link with nothing; fewer than ``words`` words are one shingle. Equal
+    texts, and rows with equal ids, are linked. Long texts are read whole. An empty table
+    gives an empty one. Other columns are not returned.
     """
     spark = docs.sparkSession
     chosen = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text_column).alias("_text"))
     seen = stored(chosen.mapInArrow(_summaries(words), "_id long, n long, key long"))
-    # (A row with an id is a document; ids that are NULL have nothing to be reported by.)
-    own = seen.where("_id IS NOT NULL")
-    classes = stored(own.where("n > 0").groupBy("key").agg(
+    own = seen.where("n >= 0")
+    classes = stored(own.where("n > 0 AND _id IS NOT NULL").groupBy("key").agg(
         F.min("_id").alias("rep"), F.max("n").alias("n")))
     frequent = (
-        seen.where("_id IS NULL").groupBy("key").agg(F.sum("n").alias("sum"))
+        seen.where("n < 0").groupBy("key").agg(F.sum(-F.col("n")).alias("sum"))
         .where(F.col("sum") >= SIGHTINGS).orderBy(F.desc("sum"), "key").limit(FREQUENT)
         .select("key").toArrow()
     )
@@ -378,19 +397,31 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     # (Stored: AQE can split a join of plain shuffles where a list is very long.)
     first = stored(lists.groupBy("shingle").agg(F.min(F.struct("cls", "n")).alias("_first")))
     sizes = [F.col("n"), F.col("_first.n")]
+    near = 100 * F.least(*sizes) >= percent * F.greatest(*sizes)
     stars = stored(
-        lists.join(first, "shingle").where(F.col("_first.cls") != F.col("cls"))
-        .select(F.col("_first.cls").alias("a"), F.col("cls").alias("b"),
-                (100 * F.least(*sizes) >= percent * F.greatest(*sizes)).alias("near")).distinct())
-    links = stored(verify(stars.where("near")))
-    # All classes that share a list are of one family; whoever links is, too. (A first
-    # member that is too large or too small for two others still holds them together.)
-    families = components(stars, "a", "b")
+        lists.join(first, "shingle").where((F.col("_first.cls") != F.col("cls")) & near)
+        .select(F.col("_first.cls").alias("a"), F.col("cls").alias("b")).distinct())
+    links = stored(verify(stars))
+    root_of = stored(
+        candidates.select("cls").join(_roots(links, "cls"), "cls", "left")
+        .select("cls", F.coalesce("root", "cls").alias("root")))
+    # Lists that hold classes of different roots still, by how many classes they have.
+    mixed = lists.join(root_of, "cls").groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("_many"), F.min("root").alias("_least"), F.max("root").alias("_most"))
+    mixed = stored(mixed.where("_least <> _most").select("shingle", "_many"))
+    counted = stored(
+        lists.join(mixed.where(F.col("_many") <= LIST).select("shingle"), "shingle").join(root_of, "cls"))
+    links = links.unionByName(stored(verify(_met_often(counted, percent))))
+    # All classes that share a long list are of one family; whoever links there is, too. (A
+    # first member that is too large or too small for two others still holds them together.)
+    long = mixed.where(F.col("_many") > LIST).select("shingle")
+    families = components(
+        lists.join(long, "shingle").join(first, "shingle")
+        .select(F.col("_first.cls").alias("a"), F.col("cls").alias("b")).where("a <> b").distinct(), "a", "b")
     members = stored(
-        candidates.join(families.withColumnRenamed("node", "cls"), "cls", "left")
-        .select("cls", F.coalesce("root", "cls").alias("family"))
-        .join(_roots(links, "cls"), "cls", "left")
-        .select("cls", "family", F.coalesce("root", "cls").alias("root")))
+        families.select(F.col("node").alias("cls"), F.col("root").alias("family"))
+        .unionByName(families.select(F.col("root").alias("cls"), F.col("root").alias("family")).distinct())
+        .join(root_of, "cls").select("cls", "family", "root"))
     links = links.unionByName(stored(_between_roots(members, sets, percent)))
     roots = components(
         links.join(classes.select(F.col("key").alias("a"), F.col("rep").alias("_ra")), "a")
@@ -401,12 +432,20 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         .select("key", F.coalesce("root", "rep").alias("root")))
     return own.join(of_class, "key", "left").select(
         F.col("_id").alias(id_column), F.col("n").alias("n_shingles"),
-        F.coalesce("root", "_id").alias("component_id"))
+        F.when(F.col("_id").isNotNull(), F.coalesce("root", "_id")).alias("component_id"))
 
 
 def representatives(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                     id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id."""
+    """``docs`` with one document of each component: the one with the smallest id, and one
+    of its rows if it has several. Rows without id stay."""
     groups = joined(docs, words, percent, id_column, text_column)
-    first = groups.where(F.col(id_column) == F.col("component_id")).select(id_column).distinct()
-    return docs.join(first, id_column, "left_semi")
+    own = F.col(id_column).cast("long")
+    rows = free_name(docs, "_rows")
+    first = stored(
+        groups.where(F.col(id_column) == F.col("component_id")).groupBy(own.alias(rows + "id")).agg(
+            F.count(F.lit(1)).alias(rows)))
+    kept = docs.join(first, own == F.col(rows + "id")).drop(rows + "id")
+    once = kept.where(F.col(rows) == 1).drop(rows)
+    several = kept.where(F.col(rows) > 1).drop(rows).dropDuplicates([id_column])
+    return once.unionByName(several).unionByName(docs.where(own.isNull()))

@@ -96,6 +96,7 @@ def test_shingle_join_rounds(spark, monkeypatch):
     monkeypatch.setattr(shingle_join, "BUCKET", 50)
     monkeypatch.setattr(shingle_join, "BLOCK", 7)
     monkeypatch.setattr(shingle_join, "GROUP", 20)
+    monkeypatch.setattr(shingle_join, "LIST", 3)
     rng = random.Random(9)
     words = [f"w{k}" for k in range(60)]
     text = [rng.choice(words) for _ in range(80)]
@@ -108,9 +109,11 @@ def test_shingle_join_rounds(spark, monkeypatch):
     assert sorted(map(tuple, shingle_join.joined(df).collect())) == joined_by_brute_force(rows)
 
 
-def test_shingle_join_nested(spark):
+@pytest.mark.parametrize("longest", [1, 64])
+def test_shingle_join_nested(spark, monkeypatch, longest):
     """Texts that grow by tails: the smallest and the largest are no pair, and whichever
     heads the lists, the links between are found."""
+    monkeypatch.setattr(shingle_join, "LIST", longest)
     rows = []
     for k in range(60):
         words = [f"n{k}x{j}" for j in range(200)]
@@ -132,6 +135,38 @@ def test_shingle_join_id_of_many_texts(spark):
     assert sorted(map(tuple, shingle_join.joined(df).collect())) == joined_by_brute_force(rows)
 
 
+@pytest.mark.parametrize("longest", [2, 64])
+def test_shingle_join_hot_group(spark, monkeypatch, longest):
+    """A third of all rows are near copies of one text, another third share most of a
+    passage with others they do not link with."""
+    monkeypatch.setattr(shingle_join, "LIST", longest)
+    rng = random.Random(12)
+    text = [f"h{k}" for k in range(90)]
+    passages = [[f"p{n}x{k}" for k in range(40)] for n in range(5)]
+    rows = []
+    for _ in range(80):
+        copy = list(text)
+        for _ in range(rng.randint(0, 3)):
+            copy[rng.randrange(90)] = f"e{rng.randrange(50)}"
+        rows.append(" ".join(copy))
+        rows.append(" ".join(sum(rng.sample(passages, 2), [])[: rng.randint(44, 80)]))
+        rows.append(" ".join(f"s{rng.randrange(40)}" for _ in range(60)))
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, shingle_join.joined(df).collect())) == joined_by_brute_force(list(enumerate(rows)))
+
+
+def test_shingle_join_null_ids_and_repeated_rows(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, text), (1, text), (2, text), (None, text), (None, text), (None, None), (3, None), (3, "a b"), (3, "a b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted(map(tuple, shingle_join.joined(df).collect()), key=str)
+    assert found == sorted([(1, 26, 1)] * 2 + [(2, 26, 1), (3, 0, 3), (3, 1, 3), (3, 1, 3)]
+                           + [(None, 26, None)] * 2 + [(None, 0, None)], key=str)
+    kept = [tuple(r) for r in shingle_join.representatives(df).collect()]
+    assert sorted(k for k, _ in kept if k) == [1, 3] and kept.count((1, text)) == 1
+    assert sorted((t for k, t in kept if k is None), key=str) == [None, text, text]
+
+
 def test_shingle_join_odd_rows(spark, documents, clash):
     rows = [tuple(r) for r in documents.collect()]
     assert sorted(map(tuple, shingle_join.joined(clash(documents)).collect())) == joined_by_brute_force(rows)
