@@ -537,6 +537,32 @@ SELECT gbifID, resolution, cell FROM long""",
    CAST(round(nelng * 1000000) AS BIGINT), CAST(round(swlat * 1000000) AS BIGINT),
    CAST(round(nelat * 1000000) AS BIGINT)) AS corners FROM box) USING (resolution, cell)
  GROUP BY resolution, z, x, y, count_species, count_observers""", TILES),
+    "tile_dissolve": _features("""SELECT g.*, coalesce(n_edges, 0) AS n_edges, coalesce(edges, '') AS edges
+FROM (SELECT resolution, z, x, y, count_species, count_observers, count(*) AS n_features
+ FROM tiled JOIN scores USING (resolution, cell) GROUP BY ALL) g
+LEFT JOIN (SELECT resolution, z, x, y, count_species, count_observers, count(*) AS n_edges,
+  string_agg(edge, ',' ORDER BY edge) AS edges
+ FROM (SELECT *, CASE WHEN turns > 0 THEN lx || ' ' || ly || ' ' || hx || ' ' || hy
+   ELSE hx || ' ' || hy || ' ' || lx || ' ' || ly END AS edge, unnest(range(abs(turns))) AS copy FROM outline)
+ GROUP BY resolution, z, x, y, count_species, count_observers) o USING (resolution, z, x, y, count_species, count_observers)""", TILES + """,
+steps AS (
+ SELECT resolution, cell, i, px, py, lead(px) OVER w AS qx, lead(py) OVER w AS qy
+ FROM (SELECT resolution, cell, i, CAST(round(lng * 1000000) AS BIGINT) AS px,
+  CAST(round(lat * 1000000) AS BIGINT) AS py FROM closed)
+ WINDOW w AS (PARTITION BY resolution, cell ORDER BY i)),
+directed AS (
+ SELECT *, (px < qx OR px = qx AND py < qy) AS forward FROM steps
+ WHERE qx IS NOT NULL AND (px <> qx OR py <> qy)),
+members AS (
+ SELECT *, count(*) OVER (PARTITION BY resolution, z, x, y, count_species, count_observers) AS n
+ FROM tiled JOIN scores USING (resolution, cell)),
+outline AS (
+ SELECT resolution, z, x, y, count_species, count_observers, CASE WHEN n = 1 THEN i END AS own,
+  CASE WHEN forward THEN px ELSE qx END AS lx, CASE WHEN forward THEN py ELSE qy END AS ly,
+  CASE WHEN forward THEN qx ELSE px END AS hx, CASE WHEN forward THEN qy ELSE py END AS hy,
+  CAST(sum(CASE WHEN forward THEN 1 ELSE -1 END) AS BIGINT) AS turns
+ FROM members JOIN directed USING (resolution, cell)
+ GROUP BY ALL HAVING turns <> 0)"""),
     "tile_snap": _features("""SELECT resolution, z, x, y, cell, string_agg(
   CAST(px AS VARCHAR) || ' ' || CAST(py AS VARCHAR), ',' ORDER BY i) AS ring
  FROM (SELECT * FROM snapped QUALIFY
@@ -582,6 +608,9 @@ FROM filtered, (VALUES ('UTF-16LE'), ('UTF-16BE')) AS v("order")""",
     "geojson_lines": _scoring("""SELECT resolution, lower(hex(cell)) AS h3, count_species,
  count_observers, TRUE AS closed, count(*) OVER (PARTITION BY resolution) AS written FROM scores"""),
     "clustered_scores": _scoring("SELECT *, count(*) OVER () AS written FROM scores"),
+    "whole_run_counts": f"""WITH RECURSIVE {_filtered()},{HEXAGONS},{SCORING},zooms(resolution, z0, z1) AS (VALUES {ZOOMS})
+SELECT resolution, count(*) AS n_drawn, count(*) AS n_tiled, CAST(max(z1) AS INTEGER) AS max_zoom
+FROM scores JOIN zooms USING (resolution) GROUP BY resolution""",
     "whole_run": f"WITH RECURSIVE {_filtered()},{HEXAGONS},{SCORING}\nSELECT * FROM scores",
     "style_opacity": _scoring(
         f"SELECT resolution, cell, {_r('confidence_scores * 0.75', 'fill_opacity', 9)} FROM scores"

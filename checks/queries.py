@@ -341,6 +341,23 @@ def tile_coalesce(spark, sf):
     )
 
 
+def tile_dissolve(spark, sf):
+    """The outline of equal features of a tile, by its directed edges."""
+    table = tiles.tile_index(fixture.lattice_features(spark, sf))
+    merged = tiles.dissolve_tiles(table, ["count_species", "count_observers"])
+
+    def micro(p: Column) -> Column:
+        return F.concat_ws(" ", *(
+            F.round(p[axis] * 1000000).cast("long").cast("string") for axis in ("lng", "lat")))
+
+    edges = F.flatten(F.transform("rings", lambda ring: F.filter(F.transform(
+        ring, lambda p, i: F.when(F.get(ring, i - 1) != p, F.concat_ws(" ", micro(F.get(ring, i - 1)), micro(p)))),
+        lambda e: e.isNotNull())))
+    return merged.select(
+        *tiles.TILE, "count_species", "count_observers", "n_features",
+        F.size(edges).cast("long").alias("n_edges"), F.array_join(F.array_sort(edges), ",").alias("edges"))
+
+
 def tile_snap(spark, sf):
     table = tiles.snap_tiles(tiles.tile_index(fixture.lattice_features(spark, sf)))
     return table.select(*tiles.TILE, "cell", tile_ring_text(F.col("ring")).alias("ring"))
@@ -446,6 +463,16 @@ def clustered_scores(spark, sf):
     return read_scores(spark, path).withColumn("written", F.lit(rows).cast("long"))
 
 
+def whole_run_counts(spark, sf):
+    """What the drawing and tiling stages of a run have stored: features, and those that the
+    tiles of the finest zoom hold."""
+    store = fixture.whole_run(spark, sf)
+    drawn = store.table("features").groupBy("resolution").agg(F.count("*").alias("n_drawn"))
+    finest = store.table("tiles").groupBy("resolution", "h3").agg(F.max("z").alias("z"))
+    tiled = finest.groupBy("resolution").agg(F.count("*").alias("n_tiled"), F.max("z").alias("max_zoom"))
+    return drawn.join(tiled, "resolution")
+
+
 def whole_run(spark, sf):
     return rounded(fixture.whole_run(spark, sf).table("scores"))
 
@@ -462,8 +489,8 @@ QUERIES: dict[str, Query] = {
         cell_counts, feature_guard, dateline_unwrap, cell_bbox, cell_links, cell_lookup,
         feature_json, hexagon_boundaries, hexagon_features, hexagon_tiles,
         hexagon_cell_scores, zoom_to_resolution, tile_index, tile_thinning,
-        tile_coalesce, tile_snap, tile_layer, feature_counts, style_rarity,
+        tile_coalesce, tile_dissolve, tile_snap, tile_layer, feature_counts, style_rarity,
         style_counts, style_defaults, style_opacity, read_tsv, read_faulty_tsv, read_multiline_tsv,
-        read_utf16_tsv, geojson_lines, clustered_scores, whole_run,
+        read_utf16_tsv, geojson_lines, clustered_scores, whole_run, whole_run_counts,
     )
 }

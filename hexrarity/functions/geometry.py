@@ -28,6 +28,11 @@ def close_ring(ring: Column) -> Column:
     return F.concat(ring, F.slice(ring, 1, 1))
 
 
+def closed_ring(ring: Column) -> Column:
+    """The ring, closed if it is not."""
+    return F.when(F.get(ring, F.lit(0)) == F.get(ring, F.size(ring) - 1), ring).otherwise(close_ring(ring))
+
+
 def ring_coordinates(ring: Column) -> Column:
     """Ring as GeoJSON positions ``[[lng, lat], ...]``."""
     return F.transform(ring, lambda p: F.array(p["lng"], p["lat"]))
@@ -41,3 +46,45 @@ def ring_bbox(ring: Column) -> dict[str, Column]:
         "swlat": F.array_min(lats), "swlng": F.array_min(lngs),
         "nelat": F.array_max(lats), "nelng": F.array_max(lngs),
     }
+
+
+def cut_ring(ring: Column, low: tuple[Column, Column], high: tuple[Column, Column]) -> Column:
+    """The part of a closed ``x, y`` ring of a convex polygon within a box, closed again;
+    empty if there is none. The box's four half-planes are taken one after the other."""
+    def plane(axis: int, bound: Column, side: float) -> Column:
+        return F.struct(
+            F.lit(axis).alias("axis"), bound.cast("double").alias("bound"), F.lit(side).alias("side"))
+
+    planes = F.array(*(
+        plane(axis, bound[axis], side) for axis in (0, 1) for bound, side in ((low, 1.0), (high, -1.0))))
+
+    def cut(done: Column, half: Column) -> Column:
+        def along(p: Column) -> Column:
+            return F.when(half["axis"] == 0, p["x"]).otherwise(p["y"])
+
+        def inside(p: Column) -> Column:
+            return half["side"] * (along(p) - half["bound"]) >= 0
+
+        def step(i: Column) -> Column:
+            p, q = F.get(done, i - 1), F.get(done, i)
+            way = (half["bound"] - along(p)) / (along(q) - along(p))
+            met = F.array(F.struct(
+                F.when(half["axis"] == 0, half["bound"]).otherwise(p["x"] + way * (q["x"] - p["x"])).alias("x"),
+                F.when(half["axis"] == 1, half["bound"]).otherwise(p["y"] + way * (q["y"] - p["y"])).alias("y")))
+            return (
+                F.when(inside(q) & inside(p), F.array(q)).when(inside(q), F.concat(met, F.array(q)))
+                .when(inside(p), met).otherwise(F.slice(done, 1, 0))
+            )
+
+        points = F.flatten(F.transform(F.sequence(F.lit(1), F.size(done) - 1), step))
+        closed = F.transform(F.array(points), close_ring)[0]
+        return F.when(F.size(done) > 1, closed).otherwise(F.slice(done, 1, 0))
+
+    return F.aggregate(planes, ring, cut)
+
+
+def ring_area(ring: Column, x: str = "x", y: str = "y") -> Column:
+    """Area of a closed ring, negative if it turns clockwise."""
+    steps = F.transform(ring, lambda p, i: F.coalesce(
+        F.get(ring, i - 1)[x] * p[y] - p[x] * F.get(ring, i - 1)[y], F.lit(0)))
+    return F.aggregate(steps, F.lit(0.0), lambda total, a: total + a) / 2

@@ -1,7 +1,9 @@
 """Features indexed by map tile.
 
-Tiles are the usual Web Mercator z/x/y squares. A feature is listed in every
-tile its bounding box touches, for the zooms its resolution serves.
+Tiles are the usual Web Mercator z/x/y squares. A feature is indexed under every tile
+that its bounding box touches, for the zooms its resolution serves, and then cut to the
+tile and a margin around it, which leaves out tiles that only the box touches. Features
+of a tile with equal attributes can be dissolved into their outline.
 """
 
 from __future__ import annotations
@@ -13,9 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexrarity.config import DEFAULT_LAYER, RESOLUTIONS, ZOOM_RANGES
+from hexrarity.functions.geometry import closed_ring, cut_ring
+from hexrarity.functions.outline import outline
 from hexrarity.schemas import SCORE_COLUMNS
 
 EXTENT = 4096  # tile units per side
+MARGIN = 80  # tile units around a tile that its features are cut at
 MAX_LATITUDE = 85.0511287798066  # where the square map ends
 TILE = ["resolution", "z", "x", "y"]
 RINGS_PER_ROW = 65_536  # of a coalesced row, on average at most
@@ -103,6 +108,18 @@ def tile_index(features: DataFrame, plan: ZoomPlan = ZoomPlan()) -> DataFrame:
     )
 
 
+def clip_tiles(indexed: DataFrame, margin: int = MARGIN) -> DataFrame:
+    """``world`` cut to the tile and its margin (in tile units); rows of which nothing is left vanish. Rings of convex polygons, as cells are.
+    What lies within stays as it is."""
+    side, share = F.pow(F.lit(2.0), F.col("z")), margin / EXTENT
+    low = tuple((F.col(name) - share) / side for name in ("wrap", "y"))
+    high = tuple((F.col(name) + 1 + share) / side for name in ("wrap", "y"))
+    within = F.forall("world", lambda p: (
+        (p["x"] >= low[0]) & (p["x"] <= high[0]) & (p["y"] >= low[1]) & (p["y"] <= high[1])))
+    cut = F.when(within, F.col("world")).otherwise(cut_ring(closed_ring(F.col("world")), low, high))
+    return indexed.withColumn("world", cut).filter(F.size("world") > 2)
+
+
 def thinning_keeps(
     cell: Column, z: Column, max_zoom: Column, drop_rate: float | None
 ) -> Column:
@@ -162,6 +179,58 @@ def coalesce_tiles(indexed: DataFrame, attributes: Sequence[str] = SCORE_COLUMNS
     return merged.drop("_part")
 
 
+def dissolve_tiles(indexed: DataFrame, attributes: Sequence[str] = SCORE_COLUMNS) -> DataFrame:
+    """Features of a tile whose attributes are all equal as one: ``rings`` is the outline of
+    what they cover together, holes turning the other way, smallest point first; cell ids
+    are not kept.
+
+    Edges are directed, so an edge between two of the features is there in both
+    directions, and both go; counts of directions are combined before they are
+    shuffled, whatever the number of features. What is left is the outline, which is
+    stitched together for the one row that holds it. Features without equals keep their
+    ring. Rings in degrees are matched, and given, to the billionth.
+    """
+    names = indexed.schema["ring"].dataType.elementType.names
+    kinds = [f.dataType for f in indexed.schema["ring"].dataType.elementType]
+    scale = 1 if names == ["x", "y"] else 10**9
+    key = [*TILE, *attributes]
+    groups = indexed.groupBy(*key).agg(
+        F.count("*").alias("n_features"), F.first("ring").alias("ring"))
+    alone = groups.filter("n_features = 1").select(*key, F.array("ring").alias("rings"), "n_features")
+    several = groups.filter("n_features > 1").drop("ring")
+
+    def equal(left: DataFrame, right: DataFrame) -> list[Column]:
+        return [left[c] == right[c] if c in TILE else left[c].eqNullSafe(right[c]) for c in key]
+
+    members = indexed.join(several, equal(indexed, several), "left_semi")
+    whole = F.transform(closed_ring(F.col("ring")), lambda p: F.struct(*(
+        F.round(p[n] * scale).cast("long").alias(a) for n, a in zip(names, "xy", strict=True))))
+    steps = F.transform(whole, lambda p, i: F.struct(F.get(whole, i - 1).alias("a"), p.alias("b")))
+    edges = members.select(*key, F.inline(steps)).filter("a <> b")
+    forward = F.col("a") < F.col("b")
+    left = (
+        edges.groupBy(*key, F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
+        .agg(F.sum(F.when(forward, 1).otherwise(-1)).alias("turns")).filter("turns <> 0")
+    )
+    ahead, (low, high) = F.col("turns") > 0, (F.col("low"), F.col("high"))
+    edge = F.struct(
+        F.when(ahead, low["x"]).otherwise(high["x"]).alias("ax"), F.when(ahead, low["y"]).otherwise(high["y"]).alias("ay"),
+        F.when(ahead, high["x"]).otherwise(low["x"]).alias("bx"), F.when(ahead, high["y"]).otherwise(low["y"]).alias("by"))
+    drawn = left.select(*key, F.explode(F.array_repeat(edge, F.abs("turns").cast("int"))).alias("edge")).groupBy(
+        *key).agg(F.collect_list("edge").alias("edges"))
+    drawn = drawn.withColumn("rings", outline(F.col("edges")))
+    back = F.transform("rings", lambda ring: F.transform(ring, lambda p: F.struct(*(
+        (p[a] / F.lit(scale) if scale > 1 else p[a]).cast(kind).alias(n)
+        for n, a, kind in zip(names, "xy", kinds, strict=True)))))
+    drawn = drawn.select(*key, back.alias("rings"))
+    # (Nothing is left of features that snapping has collapsed into lines.)
+    merged = several.join(drawn, equal(several, drawn), "left").select(
+        *(several[c] for c in key), F.coalesce("rings", F.slice(F.array(F.slice(F.array(F.struct(*(
+            F.lit(0).cast(kind).alias(n) for n, kind in zip(names, kinds, strict=True)))), 1, 0)), 1, 0)).alias("rings"),
+        "n_features")
+    return alone.unionByName(merged)
+
+
 def tile_features(
     features: DataFrame,
     plan: ZoomPlan = ZoomPlan(),
@@ -172,13 +241,14 @@ def tile_features(
 ) -> DataFrame:
     """Tile-indexed feature table with constant column ``layer``.
 
-    Thinning and snapping are row-wise on the index; only coalescing shuffles.
+    Thinning, cutting and snapping are row-wise on the index; only coalescing shuffles.
+    Rings in degrees (without simplification) are not cut.
     """
-    tiles = thin_tiles(tile_index(features, plan), drop_rate, plan)
+    tiles = clip_tiles(thin_tiles(tile_index(features, plan), drop_rate, plan))
     if simplification:
         tiles = snap_tiles(tiles)
     if coalesce:
-        tiles = coalesce_tiles(tiles)
+        tiles = dissolve_tiles(tiles)
     else:
         tiles = tiles.select(
             *TILE, "h3", *SCORE_COLUMNS, F.array("ring").alias("rings"),
