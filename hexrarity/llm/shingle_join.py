@@ -32,7 +32,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexrarity.llm.common import components, free_name, merge_links, stored
+from hexrarity.llm.common import components, free_name, merge_links, stored, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -120,6 +120,7 @@ def _summaries(words: int):
     task's documents (equal sets once), how often, as a negative number."""
 
     def run(batches):
+        worker_cache(("shingles",), dict)  # frees what an earlier stage has cached here
         held, many, seen = [], 0, set()
 
         def frequent():
