@@ -407,11 +407,12 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         candidates.select("cls").join(_roots(links, "cls"), "cls", "left")
         .select("cls", F.coalesce("root", "cls").alias("root")))
     # Lists that hold classes of different roots still, by how many classes they have.
-    mixed = lists.join(root_of, "cls").groupBy("shingle").agg(
+    # (Classes that share lists with their own root's only need no further look.)
+    rooted = stored(lists.join(root_of, "cls"))
+    mixed = rooted.groupBy("shingle").agg(
         F.count(F.lit(1)).alias("_many"), F.min("root").alias("_least"), F.max("root").alias("_most"))
     mixed = stored(mixed.where("_least <> _most").select("shingle", "_many"))
-    counted = stored(
-        lists.join(mixed.where(F.col("_many") <= LIST).select("shingle"), "shingle").join(root_of, "cls"))
+    counted = stored(rooted.join(mixed.where(F.col("_many") <= LIST).select("shingle"), "shingle"))
     links = links.unionByName(stored(verify(_met_often(counted, percent))))
     # All classes that share a long list are of one family; whoever links there is, too. (A
     # first member that is too large or too small for two others still holds them together.)
