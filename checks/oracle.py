@@ -529,6 +529,20 @@ SELECT gbifID, resolution, cell FROM long""",
     "tile_thinning": _features(f"""SELECT resolution, z, x, y, cell FROM tiled
  WHERE ((cell % 1000003) * 7919 % 1000003) / CAST(1000003 AS DOUBLE)
   < pow(CAST({DROP_RATE} AS DOUBLE), z - z1)""", TILES),
+    "tile_thinning_by_place": _features(f"""SELECT t.resolution, t.z, t.x, t.y, t.cell
+FROM tiled t JOIN numbered n ON n.resolution = t.resolution AND n.cell = t.cell
+WHERE list_reduce(list_concat([n.number], range(0, t.z1 - t.z)), lambda number, step:
+ CASE WHEN number >= 0 AND floor((number + 1) / 2.5::DOUBLE) > floor(number / 2.5::DOUBLE)
+  THEN CAST(floor(number / 2.5::DOUBLE) AS BIGINT) ELSE -1 END) >= 0""", TILES + f""",
+centres AS (
+ SELECT resolution, cell,
+  CAST(floor(((min(lng) + max(lng)) / 2 + 180) / 360 * 65536) AS BIGINT) % 65536 AS cx,
+  least(greatest(CAST(floor(((min(lat) + max(lat)) / 2 + 90) / 180 * 65536) AS BIGINT), 0), 65535) AS cy
+ FROM closed GROUP BY resolution, cell),
+numbered AS (
+ SELECT resolution, cell, row_number() OVER (PARTITION BY resolution ORDER BY
+  {" + ".join(f"((cx & {1 << k}) << {k}) + ((cy & {1 << k}) << {k + 1})" for k in range(16))}, cell) - 1 AS number
+ FROM centres)"""),
     "tile_coalesce": _features("""SELECT resolution, z, x, y, count_species, count_observers,
  count(*) AS n_features, count(*) AS n_rings,
  string_agg(corners, ',' ORDER BY corners) AS boxes

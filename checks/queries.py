@@ -328,6 +328,12 @@ def tile_thinning(spark, sf):
     return tiles.thin_tiles(table, DROP_RATE).select(*tiles.TILE, "cell")
 
 
+def tile_thinning_by_place(spark, sf):
+    ranked = tiles.rank_by_place(fixture.lattice_features(spark, sf))
+    table = tiles.thin_by_place(tiles.tile_index(ranked), DROP_RATE)
+    return table.select(*tiles.TILE, "cell")
+
+
 def tile_coalesce(spark, sf):
     table = tiles.tile_index(fixture.lattice_features(spark, sf))
     merged = tiles.coalesce_tiles(table, ["count_species", "count_observers"])
@@ -488,7 +494,7 @@ QUERIES: dict[str, Query] = {
         score_summary, score_summary_ranked, score_summary_json,
         cell_counts, feature_guard, dateline_unwrap, cell_bbox, cell_links, cell_lookup,
         feature_json, hexagon_boundaries, hexagon_features, hexagon_tiles,
-        hexagon_cell_scores, zoom_to_resolution, tile_index, tile_thinning,
+        hexagon_cell_scores, zoom_to_resolution, tile_index, tile_thinning, tile_thinning_by_place,
         tile_coalesce, tile_dissolve, tile_snap, tile_layer, feature_counts, style_rarity,
         style_counts, style_defaults, style_opacity, read_tsv, read_faulty_tsv, read_multiline_tsv,
         read_utf16_tsv, geojson_lines, clustered_scores, whole_run, whole_run_counts,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexrarity.config import DEFAULT_LAYER, RESOLUTIONS, ZOOM_RANGES
@@ -23,6 +23,8 @@ EXTENT = 4096  # tile units per side
 MARGIN = 80  # tile units around a tile that its features are cut at
 MAX_LATITUDE = 85.0511287798066  # where the square map ends
 TILE = ["resolution", "z", "x", "y"]
+CURVE_BITS = 16  # of longitude and of latitude, along the curve
+RANKED = 65_536  # cells that a task ranks along the curve, about
 RINGS_PER_ROW = 65_536  # of a coalesced row, on average at most
 
 
@@ -145,6 +147,69 @@ def thin_tiles(
     return indexed.filter(thinning_keeps(F.col("cell"), F.col("z"), last, drop_rate))
 
 
+def curve_place(ring: Column) -> Column:
+    """Place of a ring's centre on a Z-shaped curve through squares of longitude and
+    latitude, ``CURVE_BITS`` bits each: what lies in a square of any size is together."""
+    def bits(axis: str, low: float, turn: float) -> Column:
+        values = F.transform(ring, lambda p: p[axis])
+        middle = (F.array_min(values) + F.array_max(values)) / 2
+        cell = F.floor((middle - low) / turn * (1 << CURVE_BITS))
+        return F.pmod(cell, F.lit(1 << CURVE_BITS)) if axis == "lng" else F.least(
+            F.greatest(cell, F.lit(0)), F.lit((1 << CURVE_BITS) - 1))
+
+    place = F.lit(0).cast("long")
+    for shift, number in ((0, bits("lng", -180.0, 360.0)), (1, bits("lat", -90.0, 180.0))):
+        for k in range(CURVE_BITS):
+            place = place + F.shiftleft(number.bitwiseAND(F.lit(1 << k).cast("long")), k + shift)
+    return place
+
+
+def rank_by_place(features: DataFrame) -> DataFrame:
+    """Adds ``place_rank``, each feature's number along the curve within its resolution.
+
+    None of a resolution is ranked in one task: features are numbered within squares that
+    hold at most about ``RANKED`` cells, and a square starts where those before it end.
+    """
+    cells = F.pow(F.lit(7.0), F.col("resolution")) * 120
+    depth = F.least(F.greatest(F.ceil(F.log(4.0, cells / RANKED)), F.lit(0)), F.lit(CURVE_BITS)).cast("int")
+    placed = features.withColumn("_place", curve_place(F.col("ring"))).withColumn(
+        "_square", F.call_function("shiftright", F.col("_place"), 2 * (CURVE_BITS - depth)))
+    counts = placed.groupBy("resolution", "_square").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("resolution").orderBy("_square")
+    starts = counts.select("resolution", "_square", (F.sum("_n").over(before) - F.col("_n")).alias("_start"))
+    inside = Window.partitionBy("resolution", "_square").orderBy("_place", "cell")
+    return (
+        placed.withColumn("_number", F.row_number().over(inside) - 1)
+        .join(starts, ["resolution", "_square"])
+        .withColumn("place_rank", F.col("_start") + F.col("_number"))
+        .drop("_place", "_square", "_number", "_start")
+    )
+
+
+def thin_by_place(
+    indexed: DataFrame, drop_rate: float | None, plan: ZoomPlan = ZoomPlan()
+) -> DataFrame:
+    """Of every ``drop_rate`` features along the curve (``place_rank``) one stays, for each
+    zoom below the last, and of these again; so a feature kept at one zoom is kept at all
+    finer ones, and any square keeps its share but for a feature or two. Rates up to 1
+    keep all."""
+    check_drop_rate(drop_rate)
+    if drop_rate is None or drop_rate <= 1:
+        return indexed.drop("place_rank")
+    rate = F.lit(float(drop_rate))
+
+    def step(state: Column, _: Column) -> Column:
+        """Every rate-th is kept; its number among the kept follows from its own."""
+        number = F.floor(state["number"] / rate)
+        kept = state["kept"] & (F.floor((state["number"] + 1) / rate) > number)
+        return F.struct(number.alias("number"), kept.alias("kept"))
+
+    steps = plan.max_zoom(F.col("resolution")) - F.col("z")
+    zooms = F.slice(F.array(*map(F.lit, range(1, 31))), F.lit(1), steps)
+    start = F.struct(F.col("place_rank").cast("long").alias("number"), F.lit(True).alias("kept"))
+    return indexed.filter(F.aggregate(zooms, start, step)["kept"]).drop("place_rank")
+
+
 def snap_tiles(indexed: DataFrame) -> DataFrame:
     """Replace lng/lat rings by rings in whole tile units (0..4096 inside the
     tile), without repeats of the previous vertex."""
@@ -241,10 +306,14 @@ def tile_features(
 ) -> DataFrame:
     """Tile-indexed feature table with constant column ``layer``.
 
-    Thinning, cutting and snapping are row-wise on the index; only coalescing shuffles.
-    Rings in degrees (without simplification) are not cut.
+    Cutting and snapping are row-wise on the index; thinning ranks the features by place
+    first, and coalescing shuffles tiles. Rings in degrees (without simplification) are
+    not cut.
     """
-    tiles = clip_tiles(thin_tiles(tile_index(features, plan), drop_rate, plan))
+    check_drop_rate(drop_rate)
+    thins = drop_rate is not None and drop_rate > 1
+    indexed = tile_index(rank_by_place(features) if thins else features, plan)
+    tiles = clip_tiles(thin_by_place(indexed, drop_rate, plan))
     if simplification:
         tiles = snap_tiles(tiles)
     if coalesce:

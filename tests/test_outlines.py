@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hexrarity.functions.geometry import ring_area
 from hexrarity.functions.outline import rings_of
+from hexrarity.operators import tiles
 from hexrarity.operators.tiles import (
     EXTENT, MARGIN, ZoomPlan, clip_tiles, dissolve_tiles, snap_tiles, tile_features, tile_index,
 )
@@ -107,3 +108,32 @@ def test_corner_tiles_vanish(spark):
     ring = [(5.0, 4.0), (6.5, 4.0), (5.0, 6.5), (5.0, 4.0)]
     indexed = tile_index(features_of(spark, [ring]), PLAN)
     assert indexed.count() == 4 and clip_tiles(indexed, 0).count() == 3
+
+
+@pytest.mark.parametrize("rate", [2.0, 2.5])
+def test_thinning_by_place(spark, rate, monkeypatch):
+    """Every coarse square keeps its share of features but for two, zoom by zoom, and what is
+    kept is kept at finer zooms; ranks have no gaps, whatever is ranked together."""
+    draw = random.Random(8)
+    places = [(draw.uniform(-170, 170) if k % 3 else 10 + draw.random(), draw.uniform(-80, 80) if k % 3 else 45 + draw.random())
+              for k in range(900)]
+    features = features_of(spark, [square(x, y, 0.01) for x, y in places])
+    plan = ZoomPlan((5,), ((3, 6),))
+    ranks = {}
+    for ranked in (tiles.RANKED, 500):
+        monkeypatch.setattr(tiles, "RANKED", ranked)
+        ranks[ranked] = {r["cell"]: r["place_rank"] for r in tiles.rank_by_place(features).collect()}
+    assert len({tuple(sorted(r.items())) for r in ranks.values()}) == 1
+    assert sorted(ranks[500].values()) == list(range(900))
+    rows = tiles.thin_by_place(tile_index(tiles.rank_by_place(features), plan), rate, plan).collect()
+    kept = {z: {r["cell"] for r in rows if r["z"] == z} for z in range(3, 7)}
+    assert len(kept[6]) == 900
+    squares = {}
+    for cell, (x, y) in enumerate(places, 1):
+        squares.setdefault((int((x + 180) // 22.5), int((y + 90) // 11.25)), set()).add(cell)
+    for z in range(3, 6):
+        assert kept[z] <= kept[z + 1]
+        for cells in squares.values():
+            assert abs(len(cells & kept[z]) - len(cells) / rate ** (6 - z)) <= 2
+    assert tile_features(features, plan, drop_rate=rate).count() == len(
+        [r for r in rows])
