@@ -469,6 +469,7 @@ SELECT gbifID, resolution, cell FROM long""",
     "cell_scores_country": _scoring("SELECT * FROM scores", "IT"),
     "hot_key_join": _scoring("SELECT * FROM scores"),
     "score_summary": _with_summary("SELECT * FROM summary"),
+    "score_summary_radix": _with_summary("SELECT * FROM summary"),
     "score_summary_ranked": _with_summary(" UNION ALL ".join(
         f"""SELECT resolution, '{column}' AS "column", unnest({list(probabilities)}) AS probability,
  unnest({name}) AS quantile FROM summary"""

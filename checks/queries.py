@@ -191,6 +191,10 @@ def score_summary_ranked(spark, sf):
     return rounded(summary.ranked_quantiles(rounded(fixture.score_table(spark, sf))))
 
 
+def score_summary_radix(spark, sf):
+    return rounded(summary.summarize(rounded(fixture.score_table(spark, sf)), summary.radix_quantiles))
+
+
 def score_summary_json(spark, sf):
     # each entry with its place in the object, and all lists
     made = rounded(summary.summarize(rounded(fixture.score_table(spark, sf))))
@@ -491,7 +495,7 @@ QUERIES: dict[str, Query] = {
         distinct_cell_species_observer, observer_counts_by_cell,
         mean_rarity_cell_observer, observer_baseline, residuals, cell_metrics,
         shannon_neff, confidence, cell_scores, cell_scores_country, hot_key_join,
-        score_summary, score_summary_ranked, score_summary_json,
+        score_summary, score_summary_ranked, score_summary_radix, score_summary_json,
         cell_counts, feature_guard, dateline_unwrap, cell_bbox, cell_links, cell_lookup,
         feature_json, hexagon_boundaries, hexagon_features, hexagon_tiles,
         hexagon_cell_scores, zoom_to_resolution, tile_index, tile_thinning, tile_thinning_by_place,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,20 +17,29 @@ QUANTILES = {
     "confidence_scores": ("confidence_scores_quantiles", TAILS),
 }
 
-#: Bits of a value that a pass looks at; together the passes know all 64.
+# approx_percentile is off by at most n / SKETCH_ACCURACY ranks
+SKETCH_ACCURACY = 10_000
+SLACK = 4 / SKETCH_ACCURACY
+
+
+#: Bits of a value that a pass of ``radix_quantiles`` looks at; together they know all 64.
 DIGIT_BITS = 16
 PASSES = 64 // DIGIT_BITS
 
 
-def summarize(scores: DataFrame) -> DataFrame:
+def summarize(
+    scores: DataFrame, quantiles: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """One row per resolution: exact interpolated quantiles of five columns; NULL where a
-    column has no value. No group is gathered anywhere (``ranked_quantiles``)."""
+    column has no value. No group is gathered anywhere. ``quantiles`` is
+    ``ranked_quantiles``, the quicker one on small tables, or ``radix_quantiles``, which
+    ranks nothing and cannot miss."""
     lists = {
         name: F.array_sort(F.collect_list(
             F.when(F.col("column") == column, F.struct("probability", "quantile"))))
         for column, (name, _) in QUANTILES.items()
     }
-    ranked = ranked_quantiles(scores).groupBy("resolution").agg(
+    ranked = (quantiles or ranked_quantiles)(scores).groupBy("resolution").agg(
         *(entries.alias(name) for name, entries in lists.items()))
     every = scores.select("resolution").distinct()
     return every.join(F.broadcast(ranked), "resolution", "left").select("resolution", *(
@@ -37,6 +48,99 @@ def summarize(scores: DataFrame) -> DataFrame:
     ))
 
 
+def _bracketed(column: str, probabilities: tuple[float, ...]) -> Column:
+    """Array of (probability, low, high) from the sketch array ``column``."""
+    return F.array(*(
+        F.struct(
+            F.lit(p).alias("probability"),
+            F.col(column)[2 * i].alias("low"),
+            F.col(column)[2 * i + 1].alias("high"),
+        )
+        for i, p in enumerate(probabilities)
+    ))
+
+
+def _sketch(column: str, probabilities: tuple[float, ...]) -> Column:
+    ends = [p for q in probabilities for p in (max(q - SLACK, 0.0), min(q + SLACK, 1.0))]
+    return F.percentile_approx(
+        F.col(column).cast("double"), F.array(*map(F.lit, ends)), SKETCH_ACCURACY
+    )
+
+
+def ranked_quantiles(scores: DataFrame) -> DataFrame:
+    """(resolution, column, probability, quantile), exact, without gathering a
+    group anywhere.
+
+    A sketch brackets each quantile between two values. A second pass counts
+    what lies below the bracket and ranks only the values inside it, about
+    ``2 * SLACK`` of the group. The sketch decides how much is ranked, not the
+    result; a bracket that misses its rank raises.
+    """
+    per_resolution = scores.groupBy("resolution").agg(
+        *(
+            _sketch(column, probabilities).alias(column)
+            for column, (_, probabilities) in QUANTILES.items()
+        ),
+        *(F.count(column).alias(f"n_{column}") for column in QUANTILES),
+    )
+    # one row per resolution, column and probability: 16 rows a resolution
+    entries = F.array(*(
+        F.struct(
+            F.lit(column).alias("column"),
+            F.col(f"n_{column}").alias("rows"),
+            _bracketed(column, probabilities).alias("brackets"),
+        )
+        for column, (_, probabilities) in QUANTILES.items()
+    ))
+    brackets = (
+        per_resolution.select("resolution", F.inline(entries))
+        .select("resolution", "column", "rows", F.inline("brackets"))
+    )
+    values = scores.select("resolution", F.inline(F.array(*(
+        F.struct(F.lit(column).alias("column"), F.col(column).cast("double").alias("value"))
+        for column in QUANTILES
+    )))).filter(F.col("value").isNotNull())
+
+    key = ["resolution", "column", "probability"]
+    value = F.col("value")
+    zone = F.when(value < F.col("low"), -1).when(value > F.col("high"), 1).otherwise(0)
+    # what lies outside a bracket collapses to one row on either side
+    counted = (
+        values.join(F.broadcast(brackets), ["resolution", "column"])
+        .withColumn("zone", zone)
+        .withColumn("inside", F.when(F.col("zone") == 0, value))
+        .groupBy(*key, "rows", "zone", "inside")
+        .agg(F.count("*").alias("n"), F.min(value).alias("least"), F.max(value).alias("most"))
+    )
+    in_order = Window.partitionBy(*key).orderBy("zone", "inside")
+    upto = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    position = F.col("probability") * (F.col("rows") - 1)
+    ranked = counted.withColumn("upto", upto).withColumn("rank", F.floor(position))
+
+    def at(rank: Column) -> Column:
+        """Value of this rank (from 0) if it is known from this row."""
+        first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
+        return (
+            F.when((F.col("zone") == 0) & rank.between(first, last), F.col("inside"))
+            .when((F.col("zone") == -1) & (rank == last), F.col("most"))
+            .when((F.col("zone") == 1) & (rank == first), F.col("least"))
+        )
+
+    picked = ranked.groupBy(*key).agg(
+        F.max(at(F.col("rank"))).alias("lower"),
+        F.max(at(F.col("rank") + 1)).alias("upper"),
+        F.max(position - F.col("rank")).alias("fraction"),
+        F.max(F.col("rows") > F.col("rank") + 1).alias("has_upper"),
+    )
+    missed = F.col("lower").isNull() | (F.col("has_upper") & F.col("upper").isNull())
+    lower, upper = F.col("lower"), F.coalesce("upper", "lower")
+    return picked.select(
+        *key,
+        F.when(missed, F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
+        .otherwise(lower + (upper - lower) * F.col("fraction")).alias("quantile"),
+    )
+
+
 def ordered_bits(value: Column) -> Column:
     """A long for each double, equal for equal ones and in their order: exponent and
     mantissa as they stand in the double's bits, negative below zero. Zeros are equal, and
@@ -56,7 +160,7 @@ def ordered_bits(value: Column) -> Column:
     return F.when(value < 0, -bits).otherwise(bits)
 
 
-def ranked_quantiles(scores: DataFrame) -> DataFrame:
+def radix_quantiles(scores: DataFrame) -> DataFrame:
     """(resolution, column, probability, quantile), exact, by radix selection.
 
     A quantile lies between the values of two ranks. Values are counted by the highest

@@ -81,7 +81,7 @@ def to_world(ring: Column) -> Column:
 
 def tile_index(features: DataFrame, plan: ZoomPlan = ZoomPlan()) -> DataFrame:
     """One row per feature and tile: adds ``z, x, y``, ``world`` (the ring in map
-    units, projected once per feature) and ``wrap``, the unwrapped tile column (a
+    units, projected once per feature), ``box`` (its bounds) and ``wrap``, the unwrapped tile column (a
     ring may reach beyond +-180; ``x`` is taken around the globe).
     """
     resolution, z = F.col("resolution"), F.col("z")
@@ -106,6 +106,8 @@ def tile_index(features: DataFrame, plan: ZoomPlan = ZoomPlan()) -> DataFrame:
         boxed.withColumn("wrap", F.explode(F.sequence(tile("_west"), once_round)))
         .withColumn("y", F.explode(F.sequence(row("_top"), row("_bottom"))))
         .withColumn("x", F.pmod(F.col("wrap"), side))
+        .withColumn("box", F.struct(*(
+            F.col(f"_{end}").alias(end) for end in ("west", "east", "top", "bottom"))))
         .drop("_west", "_east", "_top", "_bottom")
     )
 
@@ -116,8 +118,10 @@ def clip_tiles(indexed: DataFrame, margin: int = MARGIN) -> DataFrame:
     side, share = F.pow(F.lit(2.0), F.col("z")), margin / EXTENT
     low = tuple((F.col(name) - share) / side for name in ("wrap", "y"))
     high = tuple((F.col(name) + 1 + share) / side for name in ("wrap", "y"))
-    within = F.forall("world", lambda p: (
-        (p["x"] >= low[0]) & (p["x"] <= high[0]) & (p["y"] >= low[1]) & (p["y"] <= high[1])))
+    box = F.col("box")
+    within = (
+        (box["west"] >= low[0]) & (box["east"] <= high[0])
+        & (box["top"] >= low[1]) & (box["bottom"] <= high[1]))
     cut = F.when(within, F.col("world")).otherwise(cut_ring(closed_ring(F.col("world")), low, high))
     return indexed.withColumn("world", cut).filter(F.size("world") > 2)
 

@@ -5,7 +5,7 @@ import json
 import numpy as np
 import pytest
 
-from hexrarity.operators.summary import QUANTILES, summarize
+from hexrarity.operators.summary import QUANTILES, radix_quantiles, ranked_quantiles, summarize
 from hexrarity.sources.tables import read_summary, write_summary
 
 SCHEMA = (
@@ -25,10 +25,11 @@ def score_rows(sizes, seed=3):
 
 
 @pytest.mark.parametrize("sizes", [{3: 1, 4: 2, 5: 3, 6: 10}, {3: 41, 7: 60_000}])
-def test_exact_interpolated_quantiles(spark, sizes):
+@pytest.mark.parametrize("quantiles", [ranked_quantiles, radix_quantiles])
+def test_exact_interpolated_quantiles(spark, sizes, quantiles):
     rows = list(score_rows(sizes))
     df = spark.createDataFrame(rows, SCHEMA)
-    got = {r["resolution"]: r for r in summarize(df).collect()}
+    got = {r["resolution"]: r for r in summarize(df, quantiles).collect()}
     names = [field.split()[0] for field in SCHEMA.split(", ")]
     assert set(got) == set(sizes)
     for resolution in sizes:
@@ -63,3 +64,13 @@ def test_written_summary(spark, tmp_path):
     assert [len(v) for v in written["5"].values()] == [4, 3, 3, 3, 3]
     back = read_summary(spark, str(tmp_path / "summary"))
     assert sorted(back.collect()) == sorted(summary.select(*back.columns).collect())
+
+
+def test_radix_of_odd_values(spark):
+    """Zeros, the smallest and largest doubles, infinities, and ranks among equal values."""
+    values = [0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, 1.0, 1.0, 1.0, 2.0**-1022, -2.0, 2.0 - 2**-52] * 3
+    rows = [(5, k, v, 1, 1, 1, float("inf") if k else 0.5) for k, v in enumerate(values)]
+    row = summarize(spark.createDataFrame(rows, SCHEMA), radix_quantiles).first()
+    probabilities = QUANTILES["rarity_zscore"][1]
+    assert row["rarity_quantiles"] == pytest.approx(list(np.quantile(np.array(values), probabilities)), rel=1e-12)
+    assert row["count_species_quantiles"] == [1.0, 1.0, 1.0]
