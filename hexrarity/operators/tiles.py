@@ -1,7 +1,7 @@
 """Features indexed by map tile.
 
 Tiles are the usual Web Mercator z/x/y squares. A feature is indexed under every tile
-that its bounding box touches, for the zooms its resolution serves, and then cut to the
+that its bounding box touches, for the zooms its resolution serves. It can be cut to the
 tile and a margin around it, which leaves out tiles that only the box touches. Features
 of a tile with equal attributes can be dissolved into their outline.
 """
@@ -307,8 +307,10 @@ def tile_features(
     coalesce: bool = False,
     simplification: bool = True,
     layer: str = DEFAULT_LAYER,
+    margin: int | None = None,
 ) -> DataFrame:
-    """Tile-indexed feature table with constant column ``layer``.
+    """Tile-indexed feature table with constant column ``layer``. With a ``margin``, features
+    are cut that far outside their tile (``clip_tiles``); else tiles list whole features.
 
     Cutting and snapping are row-wise on the index; thinning ranks the features by place
     first, and coalescing shuffles tiles. Rings in degrees (without simplification) are
@@ -317,7 +319,9 @@ def tile_features(
     check_drop_rate(drop_rate)
     thins = drop_rate is not None and drop_rate > 1
     indexed = tile_index(rank_by_place(features) if thins else features, plan)
-    tiles = clip_tiles(thin_by_place(indexed, drop_rate, plan))
+    tiles = thin_by_place(indexed, drop_rate, plan)
+    if margin is not None:
+        tiles = clip_tiles(tiles, margin)
     if simplification:
         tiles = snap_tiles(tiles)
     if coalesce:

@@ -99,7 +99,7 @@ def test_clip(spark):
         assert r["area"] == pytest.approx(r["whole"], rel=1e-9)
     same = clip_tiles(indexed).where("cell = 2").select("world").first()
     assert same == indexed.where("cell = 2").select("world").first()
-    for r in tile_features(features_of(spark, rings), PLAN).collect():
+    for r in tile_features(features_of(spark, rings), PLAN, margin=MARGIN).collect():
         assert all(-MARGIN <= p[a] <= EXTENT + MARGIN for p in r["rings"][0] for a in ("x", "y"))
 
 
