@@ -13,11 +13,12 @@ probing the whole sorted shingle sets, long lists included, with binary search,
 if the overlap reaches the required one.
 
 Documents with equal sets are one class. Only components are asked for, so a list
-proposes the pairs of its first member with the others. What these links leave apart is
-settled in two ways, and classes that are joined already need no look at each other. Lists
-of up to ``LIST`` classes are merged: they count, for each pair of classes with different
-roots and fitting sizes, the short lists they share, and pairs that share c of them are
-probed. Classes that share a longer list are compared in blocks with their whole sets.
+proposes the pairs of its first member with the others, and those that are proposed by c
+lists are probed, unless the bits of their marks (``marks``) differ too much. What these
+links leave apart is settled in two ways, and classes that are joined already need no look
+at each other. Lists of up to ``LIST`` classes are merged: they count, for each pair of
+classes with different roots and fitting sizes, the short lists they share, and pairs that
+share c of them are probed likewise. Classes that share a longer list are compared in blocks with their whole sets.
 A group of thousands of near copies so costs a pair per member and what its first member
 did not reach.
 """
@@ -48,6 +49,8 @@ COUNTED = 1_500_000
 BUCKET = 60_000
 #: Class ids broadcast at most (8 bytes each); beyond, the join shuffles.
 BROADCAST_IDS = 1_000_000
+#: Bits of a class's marks, a power of two.
+MARKS = 1024
 #: Classes of a list whose pairs are counted; it has at most half its square of them.
 LIST = 64
 #: Classes of a block that is compared with others at a time.
@@ -98,6 +101,13 @@ def short_lists(n, percent: int = PERCENT):
     return min(n, n - required(n, percent) + least), least
 
 
+def marks(shingles: np.ndarray) -> np.ndarray:
+    """``MARKS`` bits in 64-bit words; every shingle turns its own over. Two sets differ by
+    at least as many shingles as their marks differ by bits."""
+    turned = np.bincount((shingles >> np.uint64(20)) & np.uint64(MARKS - 1), minlength=MARKS) & 1
+    return np.packbits(turned.astype(np.uint8)).view(np.int64)
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     """Whether two sorted sets reach the similarity: the shorter one's shingles are
     looked up in the longer one."""
@@ -261,17 +271,19 @@ def _links_between(percent: int):
 
 
 def _sets(words: int):
-    """Class keys and shingle sets of texts; those of a slice once."""
+    """Class keys, sizes, marks and shingle sets of texts; those of a slice once."""
 
     def run(batches):
         for batch in batches:
             for first in range(0, batch.num_rows, 1000):
                 own = (shingle_set(t.as_py(), words) for t in batch.column(0).slice(first, 1000))
-                found = {set_key(x): x.tobytes() for x in own if len(x)}
+                found = {set_key(x): x for x in own if len(x)}
                 yield pa.RecordBatch.from_arrays(
                     [_signed(np.array(list(found), np.uint64)),
-                     pa.array(list(found.values()), pa.binary())],
-                    names=["cls", "shingles"])
+                     pa.array([len(x) for x in found.values()], pa.int64()),
+                     pa.array([marks(x) for x in found.values()], pa.list_(pa.int64())),
+                     pa.array([x.tobytes() for x in found.values()], pa.binary())],
+                    names=["cls", "n", "marks", "shingles"])
 
     return run
 
@@ -301,7 +313,12 @@ def _met_often(lists: DataFrame, percent: int) -> DataFrame:
     met = left.join(right, "shingle").where(
         (F.col("a") < F.col("b")) & (F.col("_ra") != F.col("_rb"))
         & (100 * smaller >= percent * F.greatest("_na", "_nb")))
-    enough = F.greatest(F.lit(1), F.ceil(smaller / 10))
+    return _shared_enough(met.select("a", "b", smaller.alias("_n")))
+
+
+def _shared_enough(met: DataFrame) -> DataFrame:
+    """Pairs that stand in ``met`` as often as short lists are asked for with ``_n`` shingles."""
+    enough = F.greatest(F.lit(1), F.ceil(F.col("_n") / 10))
     return met.groupBy("a", "b", enough.alias("_enough")).agg(F.count(F.lit(1)).alias("_shared")).where(
         "_shared >= _enough").select("a", "b")
 
@@ -342,7 +359,7 @@ def _between_roots(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
     tiles = stored(tiles)
     groups = max(1, tiles.count() // GROUP)
     return (
-        tiles.join(sets, "cls").withColumn("_group", F.pmod(F.col("tile"), F.lit(groups)))
+        tiles.join(sets.select("cls", "shingles"), "cls").withColumn("_group", F.pmod(F.col("tile"), F.lit(groups)))
         .groupBy("_group").applyInArrow(_links_between(percent), "a long, b long"))
 
 
@@ -386,12 +403,29 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     ids = candidates.select("_id").distinct()
     sets = stored(
         chosen.join(F.broadcast(ids) if few else ids, "_id", "left_semi").select("_text")
-        .mapInArrow(_sets(words), "cls long, shingles binary")
+        .mapInArrow(_sets(words), "cls long, n long, marks array<long>, shingles binary")
         .join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"]))
 
+    def sets_of(classes: DataFrame) -> DataFrame:
+        # (The others need not be shuffled.)
+        return sets.join(F.broadcast(classes) if few else classes, "cls", "left_semi")
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        left = sets.select(F.col("cls").alias("a"), F.col("n").alias("_na"), F.col("marks").alias("_ma"))
+        right = sets.select(F.col("cls").alias("b"), F.col("n").alias("_nb"), F.col("marks").alias("_mb"))
+        apart = F.aggregate(
+            F.zip_with("_ma", "_mb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        both = F.col("_na") + F.col("_nb")
+        # (At most half of what the sets have beyond their difference is shared.)
+        return pairs.join(left, "a").join(right, "b").where(
+            (100 + percent) * (both - apart) >= 2 * percent * both).select("a", "b")
+
     def verify(pairs: DataFrame) -> DataFrame:
-        left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("_x"))
-        right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("_y"))
+        pairs = stored(possible(pairs))
+        left = sets_of(pairs.select(F.col("a").alias("cls")).distinct()).select(
+            F.col("cls").alias("a"), F.col("shingles").alias("_x"))
+        right = sets_of(pairs.select(F.col("b").alias("cls")).distinct()).select(
+            F.col("cls").alias("b"), F.col("shingles").alias("_y"))
         both = pairs.select("a", "b").join(left, "a").join(right, "b")
         return both.select("a", "b", "_x", "_y").mapInArrow(_verified(percent), "a long, b long")
 
@@ -399,16 +433,18 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     first = stored(lists.groupBy("shingle").agg(F.min(F.struct("cls", "n")).alias("_first")))
     sizes = [F.col("n"), F.col("_first.n")]
     near = 100 * F.least(*sizes) >= percent * F.greatest(*sizes)
-    stars = stored(
+    # (Where other classes come first in lists that two share, these count too few; what is
+    # left apart is counted in full below.)
+    stars = _shared_enough(
         lists.join(first, "shingle").where((F.col("_first.cls") != F.col("cls")) & near)
-        .select(F.col("_first.cls").alias("a"), F.col("cls").alias("b")).distinct())
+        .select(F.col("_first.cls").alias("a"), F.col("cls").alias("b"), F.least(*sizes).alias("_n")))
     links = stored(verify(stars))
     root_of = stored(
         candidates.select("cls").join(_roots(links, "cls"), "cls", "left")
         .select("cls", F.coalesce("root", "cls").alias("root")))
     # Lists that hold classes of different roots still, by how many classes they have.
     # (Classes that share lists with their own root's only need no further look.)
-    rooted = stored(lists.join(root_of, "cls"))
+    rooted = stored(lists.join(F.broadcast(root_of) if few else root_of, "cls"))
     mixed = rooted.groupBy("shingle").agg(
         F.count(F.lit(1)).alias("_many"), F.min("root").alias("_least"), F.max("root").alias("_most"))
     mixed = stored(mixed.where("_least <> _most").select("shingle", "_many"))
@@ -424,7 +460,7 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         families.select(F.col("node").alias("cls"), F.col("root").alias("family"))
         .unionByName(families.select(F.col("root").alias("cls"), F.col("root").alias("family")).distinct())
         .join(root_of, "cls").select("cls", "family", "root"))
-    links = links.unionByName(stored(_between_roots(members, sets, percent)))
+    links = links.unionByName(stored(_between_roots(members, sets_of(members.select("cls")), percent)))
     roots = components(
         links.join(classes.select(F.col("key").alias("a"), F.col("rep").alias("_ra")), "a")
         .join(classes.select(F.col("key").alias("b"), F.col("rep").alias("_rb")), "b"),

@@ -310,3 +310,16 @@ def test_sign_code(spark):
             ([float("nan")] * 64,)]
     df = spark.createDataFrame(rows, "v array<double>").select(topk_codes.sign_code(F.col("v")))
     assert [r[0] for r in df.collect()] == [-1, 0, -(2**63), None, None, None, None]
+
+
+def test_marks_never_differ_by_more_than_the_sets():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 300, 3000):
+        base = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        for kept in (0, n // 2, n):
+            other = np.unique(np.concatenate([base[:kept], rng.integers(0, 2**63, n // 3 + 1).astype(np.uint64)]))
+            differ = len(np.setxor1d(base, other))
+            x, y = shingle_join.marks(base), shingle_join.marks(other)
+            bits = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+            assert bits <= differ and (differ - bits) % 2 == 0
+            assert len(x) * 64 == shingle_join.MARKS
