@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 #: Executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Entries of a worker's word cache; it is emptied when full.
-CACHE_WORDS = 600_000
+#: Entries of a worker's word cache, which is emptied when full, and the characters of the
+#: longest words that it keeps. (A text without spaces is one word, and unlikely to return.)
+CACHE_WORDS = 200_000
+LONGEST_WORD = 64
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -68,6 +70,8 @@ class WordCache(dict):
 
     def __missing__(self, word):
         value = self.make(word)
+        if isinstance(word, str) and len(word) > LONGEST_WORD:
+            return value
         if len(self) >= self.limit:
             self.clear()
         self[word] = value
@@ -81,6 +85,7 @@ def worker_cache(key: tuple, make_all):
     store = worker_store().setdefault("held", {})
     if key not in store:
         store.clear()
+        pa.default_memory_pool().release_unused()
         store[key] = make_all()
     return store[key]
 

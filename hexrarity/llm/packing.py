@@ -25,7 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexrarity.llm.common import ranked_within, stored, texts, worker_cache
+from hexrarity.llm.common import LONGEST_WORD, ranked_within, stored, texts, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -70,8 +70,17 @@ class ChunkIds:
 
     def encode(self, many: list[str]) -> list[bytes]:
         chunks = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in many]
-        self.learn(set().union(*chunks))
-        return [b"".join(map(self.ids.__getitem__, c)) for c in chunks]
+        distinct = set().union(*chunks)
+        self.learn(distinct)
+        ids = [b"".join(map(self.ids.__getitem__, c)) for c in chunks]
+        # (A text without spaces is one chunk, and unlikely to return.)
+        for chunk in distinct:
+            if len(chunk) > LONGEST_WORD:
+                parts = LETTERS_SIGNS.fullmatch(chunk)
+                for long in (chunk, *((parts[1].lower(), parts[2]) if parts else ())):
+                    if len(long) > LONGEST_WORD:
+                        self.ids.pop(long, None)
+        return ids
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,

@@ -89,3 +89,16 @@ def test_rows(spark, documents, clash, capacity):
 
 def test_empty_table(spark, documents):
     assert packing.packed(documents.limit(0), PATH).count() == 0
+
+
+def test_long_chunks_are_not_kept():
+    from hexrarity.llm import common
+
+    with open(PATH, encoding="utf-8") as file:
+        chunks = packing.ChunkIds(file.read())
+    texts = ["字" * 900 + str(k) for k in range(30)] + ["short words", "Ab" * 200 + "!" * 90]
+    assert chunks.encode(texts) == chunks.encode(texts)
+    assert max(map(len, chunks.ids)) <= common.LONGEST_WORD
+    cache = common.WordCache(len, limit=3)
+    assert [cache[w] for w in ("a", "b" * 65, "c" * 64)] == [1, 65, 64]
+    assert set(cache) == {"a", "c" * 64}
