@@ -377,8 +377,11 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     chosen = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text_column).alias("_text"))
     seen = stored(chosen.mapInArrow(_summaries(words), "_id long, n long, key long"))
     own = seen.where("n >= 0")
-    classes = stored(own.where("n > 0 AND _id IS NOT NULL").groupBy("key").agg(
-        F.min("_id").alias("rep"), F.max("n").alias("n")))
+    classes = stored(
+        own.where("n > 0 AND _id IS NOT NULL").groupBy("key", "_id").agg(
+            F.max("n").alias("n"), F.count(F.lit(1)).alias("_rows"))
+        .groupBy("key").agg(F.min(F.struct("_id", "_rows")).alias("_first"), F.max("n").alias("n"))
+        .select("key", F.col("_first._id").alias("rep"), "n", (F.col("_first._rows") > 1).alias("several")))
     frequent = (
         seen.where("n < 0").groupBy("key").agg(F.sum(-F.col("n")).alias("sum"))
         .where(F.col("sum") >= SIGHTINGS).orderBy(F.desc("sum"), "key").limit(FREQUENT)
@@ -395,16 +398,19 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     candidates = stored(
         met.join(classes.withColumnRenamed("key", "cls"), "cls")
         .where(F.col("_met") >= F.greatest(F.lit(1), F.ceil(F.col("n") / 10)))
-        .select("cls", F.col("rep").alias("_id"), "n"))
+        .select("cls", F.col("rep").alias("_id"), "n", "several"))
     few = candidates.count() <= BROADCAST_IDS
     wanted = F.broadcast(candidates) if few else candidates
     lists = stored(shared.join(wanted.select("cls", "n"), "cls"))
     # (Rows with a representative's id may have other texts, of other classes.)
     ids = candidates.select("_id").distinct()
-    sets = stored(
+    found = stored(
         chosen.join(F.broadcast(ids) if few else ids, "_id", "left_semi").select("_text")
         .mapInArrow(_sets(words), "cls long, n long, marks array<long>, shingles binary")
-        .join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"]))
+        .join(wanted.select("cls", "several"), "cls"))
+    # (Only a row that is repeated can have given its set twice.)
+    sets = found.where("NOT several").drop("several")
+    sets = sets.unionByName(stored(found.where("several").drop("several").dropDuplicates(["cls"])))
 
     def sets_of(classes: DataFrame) -> DataFrame:
         # (The others need not be shuffled.)
@@ -448,11 +454,11 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     mixed = rooted.groupBy("shingle").agg(
         F.count(F.lit(1)).alias("_many"), F.min("root").alias("_least"), F.max("root").alias("_most"))
     mixed = stored(mixed.where("_least <> _most").select("shingle", "_many"))
-    counted = stored(rooted.join(mixed.where(F.col("_many") <= LIST).select("shingle"), "shingle"))
+    counted = rooted.join(mixed.where(F.col("_many") <= LIST).select("shingle"), "shingle")
     links = links.unionByName(stored(verify(_met_often(counted, percent))))
     # All classes that share a long list are of one family; whoever links there is, too. (A
     # first member that is too large or too small for two others still holds them together.)
-    long = mixed.where(F.col("_many") > LIST).select("shingle")
+    long = stored(mixed.where(F.col("_many") > LIST).select("shingle"))
     families = components(
         lists.join(long, "shingle").join(first, "shingle")
         .select(F.col("_first.cls").alias("a"), F.col("cls").alias("b")).where("a <> b").distinct(), "a", "b")
