@@ -485,11 +485,14 @@ def representatives(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     of its rows if it has several. Rows without id stay."""
     groups = joined(docs, words, percent, id_column, text_column)
     own = F.col(id_column).cast("long")
-    rows = free_name(docs, "_rows")
-    first = stored(
-        groups.where(F.col(id_column) == F.col("component_id")).groupBy(own.alias(rows + "id")).agg(
-            F.count(F.lit(1)).alias(rows)))
-    kept = docs.join(first, own == F.col(rows + "id")).drop(rows + "id")
-    once = kept.where(F.col(rows) == 1).drop(rows)
-    several = kept.where(F.col(rows) > 1).drop(rows).dropDuplicates([id_column])
-    return once.unionByName(several).unionByName(docs.where(own.isNull()))
+    rows, name, gone = (free_name(docs, wish) for wish in ("_rows", "_rows_id", "_rows_gone"))
+    # Ids that go or are repeated; most are neither, so most texts are not shuffled for them.
+    special = stored(
+        groups.where(F.col(id_column).isNotNull()).groupBy(F.col(id_column).alias(name)).agg(
+            F.count(F.lit(1)).alias(rows), F.max(F.col(id_column) != F.col("component_id")).alias(gone))
+        .where(F.col(gone) | (F.col(rows) > 1)))
+    known = F.broadcast(special) if special.count() <= BROADCAST_IDS else special
+    kept = docs.join(known, own == F.col(name), "left").where(~F.coalesce(gone, F.lit(False))).drop(name, gone)
+    once = kept.where(F.col(rows).isNull()).drop(rows)
+    several = kept.where(F.col(rows).isNotNull()).drop(rows).dropDuplicates([id_column])
+    return once.unionByName(several)
