@@ -131,3 +131,12 @@ def test_occurrences(spark, tmp_path, split, encoding, end):
     assert found == sorted((int(r["gbifID"]), r["locality"], r["recordedBy"]) for r in expected)
     assert len(read_lines(spark, path, "UTF-8").select("start").distinct().collect()) >= 10_000 // split
     assert read_occurrences(spark, path, name, multi_line=False).count() < 200
+
+
+def test_records_are_parsed_once(spark, tmp_path):
+    """Conditions on fields are not answered by parsing the record again for each."""
+    path = write(tmp_path / "raw.tsv", [line(locality='"a\nb"')])
+    table = read_occurrences(spark, str(path))
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") == 1
+    assert [r["locality"] for r in table.collect()] == ["a\nb"]
