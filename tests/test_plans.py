@@ -12,7 +12,7 @@ from hexrarity.operators.features import cell_features, find_cells
 from hexrarity.operators.observations import assign_cells
 from hexrarity.operators.occupancy import species_occupancy
 from hexrarity.operators.scores import residuals, score_cells, valid_observers
-from hexrarity.operators.skew import estimated_bytes
+from hexrarity.operators.skew import estimated_bytes, join_dimension, tasks_for
 from hexrarity.operators.tiles import tile_features
 from hexrarity.sources.tables import read_scores, write_scores
 
@@ -144,3 +144,36 @@ def test_hot_observer_is_split(spark):
 
 def test_size_estimate(spark):
     assert estimated_bytes(spark.range(1000)) == 8000
+
+
+def test_facts_stay_dealt_by_key(spark):
+    """A join that turns into a broadcast as it runs leaves its result partitioned by key,
+    so that what follows needs no shuffle of more rows."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", 1 << 20)
+    try:
+        fact = spark.range(20_000).selectExpr("id % 50 AS k", "id")
+        dimension = spark.range(50).selectExpr("id AS k", "1 AS w", "id * 2 AS v")
+        joined = join_dimension(fact, dimension, "k", "w", ["id"], limit_bytes=0, partition=True, tasks=11)
+        assert joined.rdd.getNumPartitions() == 11
+        found = joined.groupBy("k", "_salt", "id").count()
+        assert found.count() == 20_000
+        assert not any("id" in keys for keys in shuffles(plan(found, run=True)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_hot_list_shares_the_baselines_shuffles(spark):
+    """What finds hot observers asks for the columns that their baselines ask for."""
+    rows = spark.range(1000).selectExpr(
+        "7 AS resolution", "id AS cell", "concat('o', id % 9) AS recordedBy", "1L AS n", "id * 0.1D AS mean_rarity")
+    text = residuals(rows, limit_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("AS observer_cells") == text.count("AS baseline") == 2
+
+
+def test_number_of_tasks(spark):
+    small, large = spark.range(10), spark.range(10**9)
+    assert tasks_for(small) is None
+    assert tasks_for(large) == -(-8 * 10**9 // (8 << 20))
+    assert tasks_for(spark.range(10**12)) == 8  # of unknown size: as many as a shuffle has
