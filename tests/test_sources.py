@@ -9,6 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from checks import fixture
 from hexrarity.operators.features import cell_features
 from hexrarity.operators.observations import (
     assign_cells, filter_observations, normalise_country, observation_stats, to_long,
@@ -230,3 +231,24 @@ def test_missing_input(spark, tmp_path):
 def test_cell_null_guard(spark):
     rows = spark.createDataFrame(score_rows(), SCORES)
     assert cell_features(rows).filter(F.col("ring").isNull()).count() == 0
+
+
+@pytest.mark.parametrize("encoding", ["UTF-16LE", "UTF-16BE"])
+def test_packed_raw_files_hold_the_same_rows(spark, tmp_path, monkeypatch, encoding):
+    spark.range(60).selectExpr(
+        "id AS l_orderkey", "1 + id % 6 AS l_linenumber", "id % 7 AS l_partkey", "id % 3 AS l_suppkey",
+        "CAST(id AS DOUBLE) AS l_quantity", "'N' AS l_returnflag").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(60).selectExpr("id AS o_orderkey", "id % 11 AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(7).selectExpr("id AS p_partkey", "concat('ü', id) AS p_name").write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(3).selectExpr("id AS s_suppkey", "id AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    monkeypatch.setattr(fixture, "_stored", {})
+    plain = read_occurrences(spark, fixture.raw_file(spark, str(tmp_path), encoding)).collect()
+    monkeypatch.setattr(fixture, "_stored", {})
+    monkeypatch.setattr(fixture, "PLAIN_ROWS", 10)
+    monkeypatch.setattr(fixture, "PACKED_ROWS", 9)
+    path = fixture.raw_file(spark, str(tmp_path), encoding)
+    files = spark.read.format("binaryFile").load(path).select("path").collect()
+    assert len(files) > 6 and all(f[0].endswith(".gz") for f in files)
+    packed = read_occurrences(spark, path).collect()
+    assert len(packed) == 60
+    assert sorted(map(str, packed)) == sorted(map(str, plain))
