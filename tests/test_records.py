@@ -10,6 +10,7 @@ import pytest
 
 from hexrarity.schemas import RAW_COLUMNS
 from hexrarity.sources.occurrences import read_occurrences
+from hexrarity.sources import records as records_module
 from hexrarity.sources.records import find_breaks, read_lines, records, stays_open
 from tests.test_sources import line, write
 
@@ -140,3 +141,13 @@ def test_records_are_parsed_once(spark, tmp_path):
     plan = table._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_csv(") == 1
     assert [r["locality"] for r in table.collect()] == ["a\nb"]
+
+
+def test_files_without_quotes_are_not_looked_at(spark, tmp_path, monkeypatch):
+    def none(separator):
+        raise AssertionError("no quotes, no states")
+
+    monkeypatch.setattr(records_module, "_maps", none)
+    path = write(tmp_path / "raw.tsv", [line(), line(gbifID="2")])
+    assert find_breaks(read_lines(spark, path, "UTF-8"), "\t") is None
+    assert read_occurrences(spark, path).count() == 2
