@@ -50,8 +50,9 @@ class ChunkIds:
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.ids: dict[str, bytes] = {"": b""}
 
-    def learn(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self.ids]
+    def learn(self, chunks: set[str]) -> list[str]:
+        """Adds the ids of chunks; returns those that were not known."""
+        new = list(chunks.difference(self.ids))
         if len(self.ids) + len(new) > CACHE_CHUNKS:
             self.ids, new = {"": b""}, list(chunks - {""})
         parts = [LETTERS_SIGNS.fullmatch(c) for c in new]
@@ -67,14 +68,15 @@ class ChunkIds:
         for chunk, m in zip(new, parts, strict=True):
             if m:
                 self.ids[chunk] = self.ids[m[1].lower()] + self.ids[m[2]]
+        return new
 
     def encode(self, many: list[str]) -> list[bytes]:
         chunks = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in many]
-        distinct = set().union(*chunks)
-        self.learn(distinct)
+        new = self.learn(set().union(*chunks))
         ids = [b"".join(map(self.ids.__getitem__, c)) for c in chunks]
-        # (A text without spaces is one chunk, and unlikely to return.)
-        for chunk in distinct:
+        # (A text without spaces is one chunk, and unlikely to return. None is kept, so a long
+        # chunk is always new.)
+        for chunk in new:
             if len(chunk) > LONGEST_WORD:
                 parts = LETTERS_SIGNS.fullmatch(chunk)
                 for long in (chunk, *((parts[1].lower(), parts[2]) if parts else ())):

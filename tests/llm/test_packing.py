@@ -102,3 +102,15 @@ def test_long_chunks_are_not_kept():
     cache = common.WordCache(len, limit=3)
     assert [cache[w] for w in ("a", "b" * 65, "c" * 64)] == [1, 65, 64]
     assert set(cache) == {"a", "c" * 64}
+
+
+def test_long_chunks_are_not_kept():
+    """Whenever they come, and only chunks that were not known are looked at for it."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as file:
+        chunks = packing.ChunkIds(file.read())
+    long = "x" * (packing.LONGEST_WORD + 1)
+    first = chunks.encode([f"a {long} b", "b a"])
+    assert chunks.encode([f"a {long} b", "b a"]) == first
+    assert long not in chunks.ids
+    assert chunks.learn({"a", "b"}) == []
