@@ -13,6 +13,10 @@ from hexrarity.llm import packing, quality, shingle_join, toxicity
 from hexrarity.llm.common import stored
 from hexrarity.llm.queries import table, tokenizer_file
 
+#: Chunks that a worker of the packing keeps: fewer than when it runs alone, as the stages
+#: before it have left the executors' heaps large.
+KEPT_CHUNKS = 250_000
+
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the conditional random field does not find toxic."""
@@ -33,7 +37,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every kept document's pieces with their places in the sequences."""
-    return packing.packed(docs, tokenizer_file("word_bpe_49k.json"))
+    return packing.packed(docs, tokenizer_file("word_bpe_49k.json"), kept=KEPT_CHUNKS)
 
 
 STAGES = [

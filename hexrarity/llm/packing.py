@@ -31,8 +31,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CAPACITY = 4096
 END_ID = 1
-#: Chunks whose ids a worker keeps.
+#: Chunks whose ids a worker keeps. (Fewer take less memory and more time.)
 CACHE_CHUNKS = 900_000
+#: Chunks that the tokenizer gets at once: what it returns is many times larger than ids.
+ENCODED = 4000
 
 #: A run of plain letters, then plain signs: the tokenizer's own pattern parts the two,
 #: and neither has an apostrophe, a digit or a character that normalizing would change.
@@ -43,28 +45,32 @@ class ChunkIds:
     """Ids of the white-space free chunks of texts. The tokenizer drops white space and
     joins nothing across it, so the ids of a text are those of its chunks."""
 
-    def __init__(self, tokenizer: str):
+    def __init__(self, tokenizer: str, kept: int = CACHE_CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.ids: dict[str, bytes] = {"": b""}
+        self.kept = kept
 
     def learn(self, chunks: set[str]) -> list[str]:
         """Adds the ids of chunks; returns those that were not known."""
         new = list(chunks.difference(self.ids))
-        if len(self.ids) + len(new) > CACHE_CHUNKS:
-            self.ids, new = {"": b""}, list(chunks - {""})
+        if len(self.ids) + len(new) > self.kept:
+            # (What these texts need stays, the words of most texts among it.)
+            self.ids = {"": b""} | {c: self.ids[c] for c in chunks if c in self.ids}
         parts = [LETTERS_SIGNS.fullmatch(c) for c in new]
         roots = {
             x for c, m in zip(new, parts, strict=True)
             for x in ((m[1].lower(), m[2]) if m else (c,)) if x not in self.ids
         }
         order = list(roots)
-        for root, code in zip(
-            order, self.tokenizer.encode_batch_fast(order, add_special_tokens=False), strict=True
-        ):
-            self.ids[root] = np.array(code.ids, "<u4").tobytes()
+        for at in range(0, len(order), ENCODED):
+            some = order[at : at + ENCODED]
+            for root, code in zip(
+                some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True
+            ):
+                self.ids[root] = np.array(code.ids, "<u4").tobytes()
         for chunk, m in zip(new, parts, strict=True):
             if m:
                 self.ids[chunk] = self.ids[m[1].lower()] + self.ids[m[2]]
@@ -87,16 +93,16 @@ class ChunkIds:
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
            end_id: int = END_ID, id_column: str = "doc_id",
-           text_column: str = "text") -> DataFrame:
+           text_column: str = "text", kept: int = CACHE_CHUNKS) -> DataFrame:
     """(id, ``piece``, ``start``, ``length``, ``ids_crc32``) of every piece."""
     with open(tokenizer_path, encoding="utf-8") as file:
         tokenizer = file.read()
     held = docs.sparkSession.sparkContext.broadcast(tokenizer)
-    key = ("chunks", hashlib.sha256(tokenizer.encode()).hexdigest())
+    key = ("chunks", hashlib.sha256(tokenizer.encode()).hexdigest(), kept)
     end, width = np.array([end_id], "<u4").tobytes(), 4 * capacity
 
     def run(batches):
-        chunks = worker_cache(key, lambda: ChunkIds(held.value))
+        chunks = worker_cache(key, lambda: ChunkIds(held.value, kept))
         for batch in batches:
             for first in range(0, batch.num_rows, 1000):
                 part = batch.slice(first, 1000)
@@ -167,24 +173,11 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
     return np.array(rows, np.int64).reshape(-1, 5)
 
 
-def packed(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
-           end_id: int = END_ID, id_column: str = "doc_id",
-           text_column: str = "text") -> DataFrame:
-    """Every piece of ``docs`` with its ``sequence_id`` and ``offset`` there.
-
-    Columns: id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``,
-    ``offset``. NULL and empty texts have the end id only. Rows with equal ids are
-    separate documents; equal lengths are told apart by id and piece. An empty table
-    gives an empty one. Other columns are not returned.
-    """
-    cut = stored(pieces(docs, tokenizer_path, capacity, end_id, id_column, text_column))
-    histogram = cut.groupBy("length").count().collect()  # at most ``capacity`` rows
-    slots = plan({r["length"]: r["count"] for r in histogram}, capacity)
-    slots = slots[np.lexsort((slots[:, 1], slots[:, 0]))]
-    held = docs.sparkSession.sparkContext.broadcast(slots)
+def _placing(held):
+    """A function for the executors: lengths and ranks to places in the broadcast plan."""
 
-    @F.arrow_udf("sequence_id long, offset long")
     def place(length: pa.Array, rank: pa.Array) -> pa.Array:
+        worker_cache(("places",), dict)  # frees the chunks that were cached here
         size, nth = length.to_numpy(), rank.to_numpy()
         planned = held.value
         row = planned[np.searchsorted(
@@ -196,6 +189,27 @@ def packed(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
             names=["sequence_id", "offset"],
         )
 
+    return place
+
+
+def packed(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
+           end_id: int = END_ID, id_column: str = "doc_id",
+           text_column: str = "text", kept: int = CACHE_CHUNKS) -> DataFrame:
+    """Every piece of ``docs`` with its ``sequence_id`` and ``offset`` there.
+
+    Columns: id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``,
+    ``offset``. NULL and empty texts have the end id only. Rows with equal ids are
+    separate documents; equal lengths are told apart by id and piece. An empty table
+    gives an empty one. Other columns are not returned. ``kept`` is how many chunks' ids a
+    worker holds between texts; it changes no result.
+    """
+    cut = stored(pieces(docs, tokenizer_path, capacity, end_id, id_column, text_column, kept))
+    histogram = cut.groupBy("length").count().collect()  # at most ``capacity`` rows
+    slots = plan({r["length"]: r["count"] for r in histogram}, capacity)
+    slots = slots[np.lexsort((slots[:, 1], slots[:, 0]))]
+    held = docs.sparkSession.sparkContext.broadcast(slots)
+
+    place = F.arrow_udf(_placing(held), "sequence_id long, offset long")
     ranked = ranked_within(cut, "length", [id_column, "piece"], "_rank")
     return ranked.withColumn("_slot", place("length", "_rank")).select(
         id_column, "piece", "start", "length", "ids_crc32", "_slot.sequence_id", "_slot.offset"

@@ -38,6 +38,8 @@ TOXIC_ROWS = 1000
 CLEAN_ROWS = 2500
 HASHED = 1 << 18
 WINDOW = 48
+#: Texts that a worker scores at a time.
+TEXTS = 1000
 #: Windows of tokens that the field is trained on, at most.
 WINDOWS = 24_000
 EPOCHS = 60
@@ -242,6 +244,13 @@ def _judge(docs: DataFrame, model: Model):
     return judge
 
 
+def _slices(batches):
+    """Every row of the batches, ``TEXTS`` at most at a time."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, TEXTS):
+            yield batch.slice(first, TEXTS)
+
+
 def scored(docs: DataFrame, model: Model, id_column: str = "doc_id",
            text_column: str = "text", keep_spans: bool = False) -> DataFrame:
     """``docs`` ids with ``score`` (0 to 1) and ``predicted`` (1 from one half on);
@@ -255,20 +264,18 @@ def scored(docs: DataFrame, model: Model, id_column: str = "doc_id",
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())]))
 
     def run(batches):
-        for batch in batches:
-            for first in range(0, batch.num_rows, 4000):
-                part = batch.slice(first, 4000)
-                found = common.texts(part.column(1))
-                score, largest, starts, lengths, p = judge(found)
-                columns = [part.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32))]
-                names = ["_id", "score", "predicted"]
-                if keep_spans:
-                    columns.append(pa.array([
-                        _spans(t, p[s : s + n]) if big >= 0.5 else []
-                        for t, s, n, big in zip(found, starts, lengths, largest, strict=True)
-                    ], span_type))
-                    names.append("spans")
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+        for part in _slices(batches):
+            found = common.texts(part.column(1))
+            score, largest, starts, lengths, p = judge(found)
+            columns = [part.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32))]
+            names = ["_id", "score", "predicted"]
+            if keep_spans:
+                columns.append(pa.array([
+                    _spans(t, p[s : s + n]) if big >= 0.5 else []
+                    for t, s, n, big in zip(found, starts, lengths, largest, strict=True)
+                ], span_type))
+                names.append("spans")
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema[id_column].dataType.simpleString()
     schema = f"_id {kind}, score double, predicted int"
@@ -285,11 +292,9 @@ def filtered(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
     at = docs.columns.index(text_column)
 
     def run(batches):
-        for batch in batches:
-            for first in range(0, batch.num_rows, 4000):
-                part = batch.slice(first, 4000)
-                score = judge(common.texts(part.column(at)))[0]
-                yield part.filter(pa.array(score < 0.5))
+        for part in _slices(batches):
+            score = judge(common.texts(part.column(at)))[0]
+            yield part.filter(pa.array(score < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
 

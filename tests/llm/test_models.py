@@ -134,3 +134,13 @@ def test_nothing_known_keeps_everything(spark, documents):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert toxicity.filtered(documents, toxicity.fit(documents, labels)).count() == documents.count()
     assert quality.filtered(documents, quality.fit(documents, labels)).count() == documents.count()
+
+
+def test_toxicity_takes_few_texts_at_a_time():
+    """A worker holds the weights of that many texts' words; no row is lost between."""
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_pydict({"n": list(range(n))}) for n in (2500, 0, 3, 1000)]
+    found = list(toxicity._slices(batches))
+    assert max(x.num_rows for x in found) <= 1000
+    assert [r for x in found for r in x["n"].to_pylist()] == [r for x in batches for r in x["n"].to_pylist()]

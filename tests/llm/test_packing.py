@@ -114,3 +114,39 @@ def test_long_chunks_are_not_kept():
     assert chunks.encode([f"a {long} b", "b a"]) == first
     assert long not in chunks.ids
     assert chunks.learn({"a", "b"}) == []
+
+
+def test_kept_chunks_follow_the_limit(monkeypatch):
+    """However many there are; the tokenizer gets few at a time, and the ids are the same."""
+    with open(PATH, encoding="utf-8") as file:
+        tokenizer = file.read()
+    few, all_of_them = packing.ChunkIds(tokenizer, kept=300), packing.ChunkIds(tokenizer)
+    monkeypatch.setattr(packing, "ENCODED", 30)
+
+    class Watched:
+        def __init__(self, own):
+            self.own, self.most = own, 0
+
+        def encode_batch_fast(self, some, **more):
+            self.most = max(self.most, len(some))
+            return self.own.encode_batch_fast(some, **more)
+
+    few.tokenizer = Watched(few.tokenizer)
+    for first in range(0, 2000, 100):
+        texts = [f"The same, n{k} Word{k % 70}. wORD{k % 70}" for k in range(first, first + 100)]
+        assert few.encode(texts) == all_of_them.encode(texts)
+        assert len(few.ids) <= 300 + 200 and "The" in few.ids
+    assert 0 < few.tokenizer.most <= 30 and len(all_of_them.ids) > 2000
+
+
+def test_places_free_the_chunks():
+    """The ids of chunks do not stay in a worker beyond the pieces."""
+    import pyarrow as pa
+
+    from hexrarity.llm import common
+
+    held = type("Held", (), {"value": packing.plan({5: 3}, 10)})
+    common.worker_cache(("chunks",), lambda: {"a": b""})
+    found = packing._placing(held)(pa.array([5, 5, 5]), pa.array([0, 1, 2])).to_pylist()
+    assert [(r["sequence_id"], r["offset"]) for r in found] == [(0, 0), (0, 5), (1, 0)]
+    assert ("chunks",) not in common.worker_store()["held"]
