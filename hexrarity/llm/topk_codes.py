@@ -8,9 +8,13 @@ stops when its kth verified distance is within this proven radius; the others go
 Equal codes are one entry; as answers are ordered by distance and id, an entry needs only
 its k + 1 smallest ids.
 
-Where looking up the ball of the next radius costs more than reading all codes, the
-queries still open then compare with all codes, in blocks of queries against blocks of
-codes, which is exact too.
+Queries are dealt into groups, one per task. A group is sent all codes as they follow by
+their smallest ids, packed into rows; it indexes them block by block, looks up within the
+block in memory, and takes each query's kth distance so far along to the next one. So
+neither lookups nor what they find are rows: only codes are shuffled, once for each group.
+
+Where proving a query's kth distance takes more lookups than reading the block, the query
+is compared with all codes of the block, which is exact too.
 """
 
 from __future__ import annotations
@@ -29,12 +33,23 @@ from hexrarity.llm.common import stored
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BITS = 64
-#: Codes that can be compared in a block (some nanoseconds each) for the cost of one
-#: lookup (a row made, shuffled and joined).
-LOOKUP = 256
-#: Codes and queries of a block of the closing comparison.
+#: Codes that can be compared in a block (about a nanosecond each) for the cost of one
+#: lookup with what it finds.
+LOOKUP = 48
+#: Codes that are compared before any are indexed, so that queries have a distance to prove,
+#: and those of an indexed block.
 CODES = 16_384
+BLOCK = 1 << 21
+#: Codes of a row (some thousand rows are one Arrow batch).
+PACKED = 512
+#: Queries of a group, while there are no more than so many groups, and the most of a group.
 QUERIES = 1024
+GROUPS = 64
+LARGEST = 65_536
+#: Queries and codes that are compared at once: their distances stay in a core's cache.
+TILE = (128, 4096)
+#: The distance of no code.
+NONE = 255
 #: Slices of the rows of one code, for its smallest ids.
 SLICES = 1024
 
@@ -63,31 +78,192 @@ def _masks(bits: int, flips: int) -> list[int]:
     return [(1 << top) | rest for top in range(flips - 1, bits) for rest in _masks(top, flips - 1)]
 
 
-def _value(code: Column, shift: int, bits: int) -> Column:
-    return F.shiftrightunsigned(code, shift).bitwiseAND(F.lit((1 << bits) - 1))
+def _pack(batches):
+    """Codes in their order, packed into rows, with the number of their ids."""
+    for batch in batches:
+        at, codes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        many = batch.column(2).to_numpy().astype(np.uint8)
+        cuts = range(0, batch.num_rows, PACKED)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at[::PACKED], pa.int64()),
+             pa.array([codes[c : c + PACKED].tobytes() for c in cuts], pa.binary()),
+             pa.array([many[c : c + PACKED].tobytes() for c in cuts], pa.binary())],
+            names=["at", "codes", "many"])
+
+
+class _Best:
+    """The k nearest entries so far of some queries, by distance and place. Entries come in
+    the order of their smallest ids, so that the first of equally distant ones is wanted: an
+    entry with a row among the k best is itself among the k best by distance and smallest
+    id. ``bound`` is a distance within which there are k rows, ``reach`` the first distance
+    at which an entry that comes later is not wanted."""
+
+    def __init__(self, queries: np.ndarray, k: int):
+        self.queries, self.k = queries, k
+        shape = (len(queries), k)
+        self.distance = np.full(shape, NONE, np.uint8)
+        self.place, self.code = np.zeros(shape, np.int64), np.zeros(shape, np.uint64)
+        self.many = np.zeros(shape, np.uint8)
+        self.bound = np.full(len(queries), BITS, np.uint8)
+        self.reach = np.full(len(queries), BITS + 1, np.uint8)
+
+    def add(self, rows, distance, place, code, many) -> None:
+        if not len(rows):
+            return
+        touched, rows = np.unique(rows, return_inverse=True)
+        old = self.distance[touched] < NONE
+        rows = np.concatenate([np.nonzero(old)[0], rows])
+        distance, place, code, many = (
+            np.concatenate([have[touched][old], more]) for have, more in (
+                (self.distance, distance), (self.place, place), (self.code, code), (self.many, many)))
+        order = np.lexsort((place, distance, rows))
+        rows, place = rows[order], place[order]
+        new = np.ones(len(rows), bool)
+        new[1:] = (rows[1:] != rows[:-1]) | (place[1:] != place[:-1])
+        order, rows = order[new], rows[new]
+        nth = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        first = nth < self.k
+        order, at = order[first], (touched[rows[first]], nth[first])
+        self.distance[touched], self.many[touched] = NONE, 0
+        self.distance[at], self.code[at], self.many[at] = distance[order], code[order], many[order]
+        self.place[at] = place[new][first]
+        distance, total = self.distance[touched], np.cumsum(self.many[touched], axis=1, dtype=np.int64)
+        enough = total >= self.k
+        bound = np.where(enough[:, -1], distance[np.arange(len(touched)), enough.argmax(axis=1)], BITS)
+        last = distance[:, -1]
+        self.bound[touched] = bound
+        self.reach[touched] = np.minimum(np.where(last == NONE, BITS + 1, last), bound + 1)
+
+    def compare(self, rows: np.ndarray, codes: np.ndarray, many: np.ndarray, start: int) -> None:
+        """All codes of a block that begins at place ``start`` for the queries ``rows``."""
+        few, some = TILE
+        space = np.empty(few * some, np.uint64), np.empty(few * some, np.uint8), np.empty(few * some, bool)
+        done = 0
+        while done < len(codes):
+            part = codes[done : done + min(max(start + done, 1024), 4 * some)]
+            for first in range(0, len(rows), few):
+                own = rows[first : first + few]
+                queries, reach = self.queries[own][:, None], self.reach[own][:, None]
+                hits = []
+                for left in range(0, len(part), some):
+                    shape = len(own), len(part[left : left + some])
+                    differ, distance, near = (x[: shape[0] * shape[1]].reshape(shape) for x in space)
+                    np.bitwise_xor(queries, part[None, left : left + some], out=differ)
+                    np.bitwise_count(differ, out=distance)
+                    np.less(distance, reach, out=near)
+                    many_near = np.count_nonzero(near)
+                    if many_near > 4 * self.k * len(own):
+                        near &= _smallest(distance, self.k)
+                    if many_near:
+                        hit = np.flatnonzero(near)
+                        row, place = np.divmod(hit, shape[1])
+                        hits.append((own[row], distance.ravel()[hit], place + left + done))
+                if hits:
+                    row, distance, place = map(np.concatenate, zip(*hits, strict=True))
+                    self.add(row, distance, place + start, codes[place], many[place])
+            done += len(part)
+
+    def look_up(self, codes: np.ndarray, many: np.ndarray, start: int, lookup: int) -> np.ndarray:
+        """Rounds of lookups in a block that begins at place ``start``, for the queries whose
+        bound they prove at less cost than reading the block; returns the others."""
+        parts = segments(len(codes))
+        cost, rounds = 0, 0
+        while rounds <= BITS:
+            cost += sum(math.comb(bits, rounds) for _, bits in parts)
+            if cost * lookup > len(codes):
+                break
+            rounds += 1
+        cheap = self.bound // len(parts) < rounds
+        left = np.flatnonzero(cheap)
+        if not len(left):
+            return np.flatnonzero(~cheap)
+        index = []
+        for shift, bits in parts:
+            value = (codes >> np.uint64(shift) & np.uint64((1 << bits) - 1)).astype(np.uint32)
+            ends = np.zeros((1 << bits) + 1, np.int64)
+            np.cumsum(np.bincount(value, minlength=1 << bits), out=ends[1:])
+            order = np.argsort(value).astype(np.int32)
+            index.append((order, codes[order], ends.astype(np.int32)))
+        flips = 0
+        while len(left):
+            for (shift, bits), (order, sorted_codes, ends) in zip(parts, index, strict=True):
+                masks = np.array(_masks(bits, flips) if flips <= bits else [], np.int64)
+                value = (self.queries >> np.uint64(shift) & np.uint64((1 << bits) - 1)).astype(np.int64)
+                at_once = max(1, (1 << 18) // max(1, len(masks)))
+                for first in range(0, len(left), at_once):
+                    own = left[first : first + at_once]
+                    for row, at in _entries(own, value[own][:, None] ^ masks[None, :], ends):
+                        distance = np.bitwise_count(self.queries[row] ^ sorted_codes[at])
+                        near = np.flatnonzero(distance <= self.bound[row])
+                        row, place = row[near], order[at[near]].astype(np.int64)
+                        self.add(row, distance[near], place + start, codes[place], many[place])
+            left = left[self.bound[left] // len(parts) > flips]
+            flips += 1
+        return np.flatnonzero(~cheap)
 
 
-def _scan(k: int):
-    """The k nearest entries of a block of codes for a block of queries. Codes come in the
-    order of their smallest ids, so that the first of equally distant ones is wanted: an
-    entry with a row among the k best is itself among the k best by distance and
-    smallest id."""
+def _smallest(distance: np.ndarray, k: int) -> np.ndarray:
+    """Marks the k smallest of each row, of equal ones the first."""
+    width = distance.shape[1]
+    if width <= k:
+        return np.ones(distance.shape, bool)
+    order = distance.astype(np.int32) * width + np.arange(width, dtype=np.int32)
+    return order <= np.partition(order, k - 1, axis=1)[:, k - 1 : k]
+
+
+def _entries(own: np.ndarray, values: np.ndarray, ends: np.ndarray):
+    """(queries, places in the index) of what is indexed under the values, which have a row
+    for each of ``own``; not too many at once."""
+    begin = ends[values.ravel()]
+    many = ends[values.ravel() + 1] - begin
+    full = np.flatnonzero(many)
+    begin, many, row = begin[full].astype(np.int64), many[full].astype(np.int64), own[full // max(1, values.shape[1])]
+    # A value with very many entries is dealt into runs.
+    if len(many) and many.max() > CODES:
+        runs = -(-many // CODES)
+        nth = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)
+        begin, row = np.repeat(begin, runs) + nth * CODES, np.repeat(row, runs)
+        many = np.minimum(np.repeat(many, runs) - nth * CODES, CODES)
+    total = np.cumsum(many)
+    first = 0
+    while first < len(many):
+        before = total[first] - many[first]
+        last = max(first + 1, int(np.searchsorted(total, before + (1 << 18), "right")))
+        some = many[first:last]
+        step = begin[first:last] - (total[first:last] - some - before)
+        yield np.repeat(row[first:last], some), np.repeat(step, some) + np.arange(some.sum())
+        first = last
+
+
+def _search(k: int, seed: int, lookup: int):
+    """The k nearest entries of a group's queries: rows of queries, then rows of codes in
+    the order of their smallest ids."""
 
     def run(batches):
+        own, held, best, done = [], [], None, 0
+
+        def block(codes, many):
+            rest = best.look_up(codes, many, done, lookup) if done else np.arange(len(best.queries))
+            best.compare(rest, codes, many, done)
+
         for batch in batches:
-            for row in range(batch.num_rows):
-                queries = batch.column(0)[row].values.to_numpy().view(np.uint64)
-                codes = batch.column(1)[row].values.to_numpy().view(np.uint64)
-                near = min(k, len(codes))
-                for first in range(0, len(queries), 256):
-                    own = queries[first : first + 256]
-                    order = np.bitwise_count(own[:, None] ^ codes[None, :]).astype(np.int64)
-                    order = order * len(codes) + np.arange(len(codes))
-                    best = np.argpartition(order, near - 1, axis=1)[:, :near]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat(own, near).view(np.int64)),
-                         pa.array(codes[best.ravel()].view(np.int64))],
-                        names=["query", "code"])
+            own.append(batch.column(0).drop_null().to_numpy().view(np.uint64))
+            held += [
+                (np.frombuffer(c.as_buffer(), np.uint64), np.frombuffer(m.as_buffer(), np.uint8))
+                for c, m in zip(batch.column(1).drop_null(), batch.column(2).drop_null(), strict=True)]
+            while held and sum(len(c) for c, _ in held) >= (size := BLOCK if done else seed):
+                best = best or _Best(np.concatenate(own), k)
+                codes, many = (np.concatenate(x) for x in zip(*held, strict=True))
+                block(codes[:size], many[:size])
+                done += size
+                held = [(codes[size:], many[size:])] if len(codes) > size else []
+        best = best or _Best(np.concatenate([np.zeros(0, np.uint64), *own]), k)
+        if held:
+            block(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        row, nth = np.nonzero(best.distance < NONE)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(best.queries[row].view(np.int64)), pa.array(best.code[row, nth].view(np.int64))],
+            names=["query", "code"])
 
     return run
 
@@ -102,47 +278,11 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, id_column: str, code: s
     returned. An empty table gives an empty one.
     """
     entries = stored(_smallest_ids(rows, k, id_column, code))
-    count = entries.count()
     asked = queries.where(F.col(code).isNotNull() & F.col(id_column).isNotNull()).select(
         F.col(id_column).alias("query_id"), F.col(code).alias("query"))
     asked = stored(asked)
-    parts = segments(count)
-    index = entries.select("code", F.size("ids").alias("many"), F.explode(F.array(*[
-        F.struct(F.lit(n).alias("segment"), _value(F.col("code"), *part).alias("value"))
-        for n, part in enumerate(parts)])).alias("_at")).select("code", "many", "_at.*")
-    open_queries = asked.select("query").distinct()
-    found = None
-    answered = []
-    flips = 0
-    while True:
-        if not open_queries.take(1):
-            break
-        lookups = sum(math.comb(bits, flips) for _, bits in parts if flips <= bits)
-        if lookups == 0 or lookups * LOOKUP > count:
-            answered.append(_compared(open_queries, entries, k))
-            break
-        probes = open_queries.select("query", F.explode(F.array(*[
-            F.struct(F.lit(n).alias("segment"), _value(F.col("query"), *part).alias("own"),
-                     F.array(*[F.lit(m).cast("long") for m in _masks(part[1], flips)]).alias("masks"))
-            for n, part in enumerate(parts) if flips <= part[1]])).alias("_at")).select(
-            "query", "_at.segment", "_at.own", F.explode("_at.masks").alias("mask")).select(
-            "query", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
-        hits = probes.join(index, ["segment", "value"]).select("query", "code", "many").distinct()
-        found = stored(hits if found is None else
-                       found.join(open_queries, "query").unionByName(hits).distinct())
-        proven = len(parts) * (flips + 1) - 1
-        within = F.bit_count(F.col("query").bitwiseXOR(F.col("code"))) <= proven
-        # (One more than k: the query itself may be among them.)
-        closed = stored(found.where(within).groupBy("query").agg(F.sum("many").alias("_rows"))
-                        .where(F.col("_rows") > k).select("query"))
-        answered.append(found.where(within).select("query", "code").join(closed, "query"))
-        open_queries = stored(open_queries.join(closed, "query", "left_anti"))
-        flips += 1
-    if not answered:
-        answered.append(_compared(open_queries, entries, k))
-    pairs = answered[0].select("query", "code")
-    for more in answered[1:]:
-        pairs = pairs.unionByName(more.select("query", "code"))
+    # (One more than k: the query itself may be among them.)
+    pairs = _pairs(stored(asked.select("query").distinct()), entries, k + 1)
     pairs = pairs.withColumn("distance", F.bit_count(F.col("query").bitwiseXOR(F.col("code"))))
     # Nearest entries per distinct query first: k + 1 rows at most each.
     by_distance = Window.partitionBy("query").orderBy("distance", "neighbor_id")
@@ -176,16 +316,21 @@ def _smallest_ids(rows: DataFrame, k: int, id_column: str, code: str) -> DataFra
     return few.groupBy("code").agg(F.slice(F.array_sort(F.collect_list("_id")), 1, k + 1).alias("ids"))
 
 
-def _compared(open_queries: DataFrame, entries: DataFrame, k: int) -> DataFrame:
-    """Open queries against all codes, block by block."""
-    blocks = max(1, entries.count() // CODES)
-    groups = max(1, open_queries.count() // QUERIES)
-    code_blocks = entries.groupBy(F.pmod(F.xxhash64("code"), F.lit(blocks)).alias("_block")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct(F.col("ids")[0].alias("id"), "code"))),
-                    lambda x: x["code"]).alias("codes"))
-    query_blocks = open_queries.groupBy(F.pmod(F.xxhash64("query"), F.lit(groups)).alias("_group")).agg(
-        F.collect_list("query").alias("queries"))
-    each = query_blocks.select("queries", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
-    each = each.withColumn("_block", F.col("_block").cast("long"))
-    return each.join(code_blocks, "_block").repartition(F.xxhash64("queries", "_block")).select(
-        "queries", "codes").mapInArrow(_scan(k + 1), "query long, code long")
+def _pairs(queries: DataFrame, entries: DataFrame, k: int) -> DataFrame:
+    """(``query``, ``code``): the k nearest entries of each of the distinct queries."""
+    count = queries.count()
+    groups = max(1, min(-(-count // QUERIES), max(GROUPS, -(-count // LARGEST))))
+    # Ids in the order of the rows, as they grow along the sorted partitions.
+    packed = stored(
+        entries.select("code", F.least(F.size("ids"), F.lit(255)).alias("many"), F.col("ids")[0].alias("_id"))
+        .orderBy("_id").select(F.monotonically_increasing_id().alias("at"), "code", "many")
+        .mapInArrow(_pack, "at long, codes binary, many binary"))
+    each = packed.select(
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_group"), "at",
+        F.lit(None).cast("long").alias("query"), "codes", "many")
+    own = queries.select(
+        F.pmod(F.xxhash64("query"), F.lit(groups)).cast("int").alias("_group"), F.lit(-1).cast("long").alias("at"),
+        "query", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("binary").alias("many"))
+    return stored(
+        own.unionByName(each).repartitionById(groups, F.col("_group")).sortWithinPartitions("at")
+        .select("query", "codes", "many").mapInArrow(_search(k, CODES, LOOKUP), "query long, code long"))

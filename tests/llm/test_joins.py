@@ -305,6 +305,74 @@ def test_topk_table(spark):
         rows, [r for r in rows if r[0] % 20 == 0], 10)
 
 
+def near_codes(many, seed):
+    """Rows of codes around a few centers, some of them equal."""
+    rng = random.Random(seed)
+    centers = [rng.getrandbits(64) for _ in range(12)]
+    rows = []
+    for key in range(many):
+        code = rng.choice(centers) if rng.random() < 0.8 else rng.getrandbits(64)
+        for _ in range(rng.choice([0, 0, 1, 2, 3, 5, 9])):
+            code ^= 1 << rng.randrange(64)
+        rows.append((key, code - 2**64 if code >= 2**63 else code))
+    return rows
+
+
+def test_topk_broadcasts_no_lookups(spark, monkeypatch):
+    """A query has hundreds of lookups: no plan makes them, or copies of queries for blocks, on
+    the side of a join that goes to the driver."""
+    monkeypatch.setattr(topk_codes, "LOOKUP", 1)
+    plans = []
+
+    def stored(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return common.stored(df)
+
+    monkeypatch.setattr(topk_codes, "stored", stored)
+    df = spark.createDataFrame(near_codes(600, 5), "vec_id long, code long")
+    found = topk_codes.nearest(df, df.where("vec_id % 5 = 0"), 7, "vec_id", "code")
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    for plan in plans:
+        above = None
+        for line in plan.splitlines():
+            depth = len(line) - len(line.lstrip(" :+-"))
+            if above is not None and depth <= above:
+                above = None
+            assert above is None or "Generate" not in line, plan
+            if above is None and "BroadcastExchange" in line:
+                above = depth
+
+
+@pytest.mark.parametrize("lookup", [0.01, 1, 48])
+def test_topk_in_blocks(spark, monkeypatch, lookup):
+    """Several groups of queries and blocks of codes, ids that come twice, queries asked twice."""
+    for name, value in (("CODES", 60), ("BLOCK", 150), ("PACKED", 32), ("QUERIES", 20), ("GROUPS", 5),
+                        ("LARGEST", 30), ("TILE", (8, 40)), ("LOOKUP", lookup)):
+        monkeypatch.setattr(topk_codes, name, value)
+    looked_up = spark.sparkContext.accumulator(0)
+    rounds = topk_codes._Best.look_up
+
+    def counted(self, *block):
+        rest = rounds(self, *block)
+        looked_up.add(len(self.queries) - len(rest))
+        return rest
+
+    monkeypatch.setattr(topk_codes._Best, "look_up", counted)
+    rows = near_codes(700, 9)
+    asked = [r for r in rows if r[0] % 4 == 0]
+    everything = rows + [(key + 1, code) for key, code in rows[:40]]
+    df = spark.createDataFrame(everything, "vec_id long, code long")
+    found = topk_codes.nearest(df, spark.createDataFrame(asked + asked[:3], df.schema), 7, "vec_id", "code")
+    expected = []
+    for q, code in asked + asked[:3]:
+        near = sorted((((code ^ other) & (2**64 - 1)).bit_count(), key) for key, other in everything)[:8]
+        itself = next((at for at, (_, key) in enumerate(near) if key == q), 7)
+        near.pop(itself)
+        expected += [(q, rank + 1, key, d) for rank, (d, key) in enumerate(near)]
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+    assert looked_up.value > 0 or lookup == 48
+
+
 def test_sign_code(spark):
     rows = [([1.0] * 64,), ([-1.0] * 64,), ([1.0] + [-1.0] * 63,), (None,), ([1.0] * 63,), ([None] * 64,),
             ([float("nan")] * 64,)]
