@@ -2,9 +2,10 @@
 
 A 64-bit code is cut into segments of about log2(number of codes) bits, and indexed
 under the value of each. In round a, a query looks up all segment values at distance a
-from its own: after it, every code within segments * (a + 1) - 1 bits has been found,
-because a code further than a in every segment is further than that in all. A query
-stops when its kth verified distance is within this proven radius; the others go on.
+from its own, in one segment after the other: after step s, which is round s // segments,
+every code within s bits has been found, because one that is further in every segment, by
+as much as has been looked up there, is further than s in all. A query stops when its kth
+verified distance is within this proven radius; the others go on.
 Equal codes are one entry; as answers are ordered by distance and id, an entry needs only
 its k + 1 smallest ids.
 
@@ -35,7 +36,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BITS = 64
 #: Codes that can be compared in a block (about a nanosecond each) for the cost of one
 #: lookup with what it finds.
-LOOKUP = 48
+LOOKUP = 32
 #: Codes that are compared before any are indexed, so that queries have a distance to prove,
 #: and those of an indexed block.
 CODES = 16_384
@@ -47,7 +48,9 @@ QUERIES = 1024
 GROUPS = 64
 LARGEST = 65_536
 #: Queries and codes that are compared at once: their distances stay in a core's cache.
-TILE = (128, 4096)
+TILE = (32, 4096)
+#: Values that are looked up at once.
+VALUES = 1 << 16
 #: The distance of no code.
 NONE = 255
 #: Slices of the rows of one code, for its smallest ids.
@@ -158,47 +161,51 @@ class _Best:
                         hit = np.flatnonzero(near)
                         row, place = np.divmod(hit, shape[1])
                         hits.append((own[row], distance.ravel()[hit], place + left + done))
-                if hits:
-                    row, distance, place = map(np.concatenate, zip(*hits, strict=True))
-                    self.add(row, distance, place + start, codes[place], many[place])
+                self._add_found(hits, codes, many, start)
             done += len(part)
 
+    def _add_found(self, hits: list, codes: np.ndarray, many: np.ndarray, start: int) -> None:
+        if hits:
+            row, distance, place = map(np.concatenate, zip(*hits, strict=True))
+            self.add(row, distance, place + np.int64(start), codes[place], many[place])
+
     def look_up(self, codes: np.ndarray, many: np.ndarray, start: int, lookup: int) -> np.ndarray:
-        """Rounds of lookups in a block that begins at place ``start``, for the queries whose
-        bound they prove at less cost than reading the block; returns the others."""
+        """Lookups in a block that begins at place ``start``, for the queries whose bound they
+        prove at less cost than reading the block; returns the others."""
         parts = segments(len(codes))
-        cost, rounds = 0, 0
-        while rounds <= BITS:
-            cost += sum(math.comb(bits, rounds) for _, bits in parts)
-            if cost * lookup > len(codes):
-                break
-            rounds += 1
-        cheap = self.bound // len(parts) < rounds
+        costs = np.cumsum([math.comb(parts[step % len(parts)][1], step // len(parts)) for step in range(BITS + 1)])
+        cheap = costs[self.bound] * lookup <= len(codes)
         left = np.flatnonzero(cheap)
-        if not len(left):
-            return np.flatnonzero(~cheap)
-        index = []
-        for shift, bits in parts:
-            value = (codes >> np.uint64(shift) & np.uint64((1 << bits) - 1)).astype(np.uint32)
-            ends = np.zeros((1 << bits) + 1, np.int64)
-            np.cumsum(np.bincount(value, minlength=1 << bits), out=ends[1:])
-            order = np.argsort(value).astype(np.int32)
-            index.append((order, codes[order], ends.astype(np.int32)))
-        flips = 0
+        index = {}
+        step = 0
         while len(left):
-            for (shift, bits), (order, sorted_codes, ends) in zip(parts, index, strict=True):
-                masks = np.array(_masks(bits, flips) if flips <= bits else [], np.int64)
-                value = (self.queries >> np.uint64(shift) & np.uint64((1 << bits) - 1)).astype(np.int64)
-                at_once = max(1, (1 << 18) // max(1, len(masks)))
-                for first in range(0, len(left), at_once):
-                    own = left[first : first + at_once]
-                    for row, at in _entries(own, value[own][:, None] ^ masks[None, :], ends):
-                        distance = np.bitwise_count(self.queries[row] ^ sorted_codes[at])
-                        near = np.flatnonzero(distance <= self.bound[row])
-                        row, place = row[near], order[at[near]].astype(np.int64)
-                        self.add(row, distance[near], place + start, codes[place], many[place])
-            left = left[self.bound[left] // len(parts) > flips]
-            flips += 1
+            flips, part = divmod(step, len(parts))
+            shift, bits = parts[part]
+            mask = np.uint64((1 << bits) - 1)
+            if part not in index:
+                value = (codes >> np.uint64(shift) & mask).astype(np.uint32)
+                ends = np.zeros((1 << bits) + 1, np.int32)
+                np.cumsum(np.bincount(value, minlength=1 << bits), out=ends[1:])
+                order = np.argsort(value).astype(np.int32)
+                index[part] = order, codes[order], ends
+            order, ordered, ends = index[part]
+            masks = np.array(_masks(bits, flips) if flips <= bits else [], np.int64)
+            value = (self.queries[left] >> np.uint64(shift) & mask).astype(np.int64)
+            at_once = max(1, VALUES // max(1, len(masks)))
+            hits, waiting = [], 0
+            for first in range(0, len(left), at_once):
+                own = left[first : first + at_once]
+                for row, at in _entries(own, value[first : first + at_once, None] ^ masks, ends):
+                    distance = np.bitwise_count(ordered[at] ^ self.queries[row])
+                    near = np.flatnonzero(distance <= self.bound[row])
+                    hits.append((row[near], distance[near], order[at[near]]))
+                    waiting += len(near)
+                    if waiting > VALUES:
+                        self._add_found(hits, codes, many, start)
+                        hits, waiting = [], 0
+            self._add_found(hits, codes, many, start)
+            left = left[self.bound[left] > step]
+            step += 1
         return np.flatnonzero(~cheap)
 
 
@@ -214,24 +221,20 @@ def _smallest(distance: np.ndarray, k: int) -> np.ndarray:
 def _entries(own: np.ndarray, values: np.ndarray, ends: np.ndarray):
     """(queries, places in the index) of what is indexed under the values, which have a row
     for each of ``own``; not too many at once."""
-    begin = ends[values.ravel()]
-    many = ends[values.ravel() + 1] - begin
+    values = values.ravel()
+    begin = ends[values]
+    many = ends[values + 1] - begin
     full = np.flatnonzero(many)
-    begin, many, row = begin[full].astype(np.int64), many[full].astype(np.int64), own[full // max(1, values.shape[1])]
-    # A value with very many entries is dealt into runs.
-    if len(many) and many.max() > CODES:
-        runs = -(-many // CODES)
-        nth = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)
-        begin, row = np.repeat(begin, runs) + nth * CODES, np.repeat(row, runs)
-        many = np.minimum(np.repeat(many, runs) - nth * CODES, CODES)
-    total = np.cumsum(many)
+    row = own[full // max(1, len(values) // len(own))]
+    begin, many = begin[full], many[full]
+    total = np.cumsum(many, dtype=np.int64)
     first = 0
     while first < len(many):
         before = total[first] - many[first]
-        last = max(first + 1, int(np.searchsorted(total, before + (1 << 18), "right")))
+        last = max(first + 1, int(np.searchsorted(total, before + VALUES, "right")))
         some = many[first:last]
-        step = begin[first:last] - (total[first:last] - some - before)
-        yield np.repeat(row[first:last], some), np.repeat(step, some) + np.arange(some.sum())
+        at = np.repeat(begin[first:last] - (total[first:last] - some - before), some) + np.arange(some.sum())
+        yield np.repeat(row[first:last], some), at
         first = last
 
 
